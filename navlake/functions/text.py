@@ -28,15 +28,21 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def fields(line: Column) -> Column:
-    """The stripped fields of a stripped line."""
-    return F.transform(F.split(line, FIELD_SEPARATOR), strip)
+def field(parts: Column, at: Column | int) -> Column:
+    """A stripped field of a split line; null where the line is too short."""
+    return strip(F.get(parts, F.lit(at) if isinstance(at, int) else at))
+
+
+def title_labels(line: Column) -> Column:
+    """The lower-case column labels of a stripped title line."""
+    edge = f"[{WHITESPACE}]*"
+    return F.split(F.lower(line), f"{edge}{FIELD_SEPARATOR}{edge}")
 
 
 def feed_number(text: Column) -> Column:
     """A finite double, or null where the text is no plain decimal number."""
-    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    return F.when(F.abs(value) < float("inf"), value)
+    value = text.try_cast("double")
+    return F.when(text.rlike(_NUMBER) & (F.abs(value) < float("inf")), value)
 
 
 def feed_date(text: Column) -> Column:

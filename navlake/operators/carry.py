@@ -8,8 +8,8 @@ def carry_forward(lines: DataFrame, columns: list[str]) -> DataFrame:
 
     ``feed_file``, ``feed_block`` and ``feed_row`` give the order. Windows run inside one
     block (one input split), so the largest task is a split however large a file grows.
-    What a block inherits comes from one summary row per block, joined back on the keys
-    the rows are already partitioned by.
+    What a block inherits comes from one summary row per block, reduced inside the tasks
+    that read it and joined back on the keys the rows are already partitioned by.
     """
     block = ["feed_file", "feed_block"]
     inside = (
@@ -23,7 +23,9 @@ def carry_forward(lines: DataFrame, columns: list[str]) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     inherited = (
-        local.groupBy(*block).agg(*[F.max_by(c, "feed_row").alias(c) for c in columns])
+        lines.groupBy(*block).agg(*[
+            F.max_by(c, F.when(F.col(c).isNotNull(), F.col("feed_row"))).alias(c) for c in columns
+        ])
         .select(*block, *[
             F.last(c, ignorenulls=True).over(above).alias(f"inherited_{c}") for c in columns
         ])

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from navlake.functions.text import without_company_suffix
+from navlake.functions.text import strip, without_company_suffix
 
 
 def resolve_company(
@@ -81,7 +81,7 @@ def unresolved_companies(
 
 
 def _keyed(names: DataFrame, aliases: DataFrame | None) -> DataFrame:
-    keyed = names.select("name").distinct().withColumn("key", F.trim("name"))
+    keyed = names.select("name").distinct().withColumn("key", strip(F.col("name")))
     if aliases is not None:
         keyed = keyed.join(
             aliases.select(F.col("alias").alias("key"), F.col("name").alias("full_name")),

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from navlake.functions.arithmetic import percent
 from navlake.functions.periods import as_of_date
@@ -47,32 +47,32 @@ def coverage_report(master: DataFrame, nav: DataFrame) -> DataFrame:
     )
 
 
-def freshness_report(nav: DataFrame, as_of: dt.date | str | None = None, year: int | None = None):
+def freshness_report(
+    nav: DataFrame, as_of: dt.date | str | None = None, year: int | None = None
+) -> DataFrame:
     """Rows, schemes, date range, rows on the last date, and whether that is today.
 
     ``year`` restricts the check to one partition.
     """
     rows = nav if year is None else nav.where(F.col("year") == year)
-    per_scheme_day = rows.groupBy("scheme_code", "nav_date").agg(F.count(F.lit(1)).alias("n"))
-    per_scheme = per_scheme_day.groupBy("scheme_code").agg(
-        F.sum("n").alias("n"),
+    # The last date comes from a scan of the date column alone; what is shuffled then is
+    # one partial row per scheme and task.
+    latest = rows.agg(F.max("nav_date")).scalar()
+    per_scheme = rows.withColumn("on_latest", F.col("nav_date") == latest).groupBy(
+        "scheme_code"
+    ).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if("on_latest").alias("n_latest"),
         F.min("nav_date").alias("date_from"),
         F.max("nav_date").alias("date_to"),
-        F.max_by("n", "nav_date").alias("n_last"),
-    )
-    per_last_day = per_scheme.groupBy("date_to").agg(
-        F.sum("n").alias("n"),
-        F.count(F.lit(1)).alias("schemes"),
-        F.min("date_from").alias("date_from"),
-        F.sum("n_last").alias("n_last"),
     )
     today = as_of_date(as_of)
-    return per_last_day.agg(
+    return per_scheme.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("nav_rows"),
-        F.coalesce(F.sum("schemes"), F.lit(0)).alias("schemes"),
+        F.count(F.lit(1)).alias("schemes"),
         F.min("date_from").alias("date_from"),
         F.max("date_to").alias("latest"),
-        F.coalesce(F.max_by("n_last", "date_to"), F.lit(0)).alias("rows_on_latest"),
+        F.coalesce(F.sum("n_latest"), F.lit(0)).alias("rows_on_latest"),
     ).select(
         "*", today.alias("today"),
         F.when(F.col("latest") == today, F.lit("MATCH"))
@@ -114,34 +114,33 @@ def load_status(nav: DataFrame, feed: DataFrame) -> DataFrame:
     )
 
 
-def date_chunks(spark, first: dt.date, last: dt.date, days: int) -> DataFrame:
+def date_chunks(spark: SparkSession, first: Column, last: Column, days: int) -> DataFrame:
     """Consecutive chunks of at most ``days`` days over [first, last], the last one clipped."""
     return spark.range(1).select(
-        F.posexplode(F.sequence(
-            F.lit(first), F.lit(last), F.make_dt_interval(F.lit(days))
-        )).alias("chunk", "chunk_start")
-    ).withColumn(
-        "chunk_end", F.least(F.date_add("chunk_start", days - 1), F.lit(last))
-    )
+        F.posexplode(F.sequence(first, last, F.make_dt_interval(F.lit(days))))
+        .alias("chunk", "chunk_start")
+    ).withColumn("chunk_end", F.least(F.date_add("chunk_start", days - 1), last))
 
 
-def chunk_coverage(nav: DataFrame, as_of: dt.date, years: int = 5, days: int = 180) -> DataFrame:
+def chunk_coverage(
+    nav: DataFrame, as_of: dt.date | str | None = None, years: int = 5, days: int = 180
+) -> DataFrame:
     """Rows and schemes in each chunk of the backfill span; empty chunks are gaps."""
-    spark = nav.sparkSession
-    first = spark.range(1).select(F.add_months(F.lit(as_of), -12 * years)).first()[0]
-    in_span = nav.where(F.col("nav_date").between(F.lit(first), F.lit(as_of)))
+    last = as_of_date(as_of)
+    first = F.add_months(last, -12 * years)
+    in_span = nav.where(F.col("nav_date").between(first, last))
     if "year" in nav.columns:
-        in_span = in_span.where(F.col("year").between(first.year, as_of.year))
+        in_span = in_span.where(F.col("year").between(F.year(first), F.year(last)))
     counted = (
         in_span
-        .withColumn("chunk", F.floor(F.datediff("nav_date", F.lit(first)) / days).cast("int"))
+        .withColumn("chunk", F.floor(F.datediff("nav_date", first) / days).cast("int"))
         .groupBy("chunk", "scheme_code").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("chunk").agg(
             F.sum("n").alias("nav_rows"), F.count(F.lit(1)).alias("schemes")
         )
     )
     return (
-        date_chunks(spark, first, as_of, days).join(counted, "chunk", "left")
+        date_chunks(nav.sparkSession, first, last, days).join(counted, "chunk", "left")
         .select(
             "chunk", "chunk_start", "chunk_end",
             F.coalesce("nav_rows", F.lit(0)).alias("nav_rows"),

@@ -23,8 +23,8 @@ from navlake.schema import RETURN_COLUMNS
 
 AS_OF, LAST_NAV = "asof_backward", "last_nav_forward"
 
-# Anchors (one code and date per scheme) are broadcast while the master proves that there
-# are at most this many; beyond it a window over the scheme's rows finds the anchor.
+# Anchors (one code and date per scheme) are broadcast while at most this many schemes are
+# asked for; beyond it a window over the scheme's rows finds the anchor.
 BROADCAST_ANCHORS = 500_000
 
 # Fixed value: days a first NAV may lie after the start boundary under require_full_window.
@@ -47,25 +47,21 @@ def fund_returns(
 
     ``codes`` is a short list, a DataFrame of ``scheme_code``, or None for the whole
     master. ``anchors`` picks how last-NAV dates reach the rows: ``broadcast``,
-    ``window``, or ``auto`` by the size of the master.
+    ``window``, or ``auto``, which counts the asked schemes.
     """
     wanted = [parse_period(p) for p in ([periods] if isinstance(periods, str) else periods)]
-    asked = _asked(nav, master, codes)
     mine = _rows_of(nav, codes)
+    asked = _asked(master, codes)
     if convention == AS_OF:
         today = as_of_date(as_of)
         wide = _wide_as_of(mine, wanted, today)
     elif convention == LAST_NAV:
         today = None
-        wide = _wide_last_nav(_with_anchor(mine, asked, master, codes, anchors), wanted)
+        wide = _wide_last_nav(_with_anchor(mine, asked, anchors), wanted)
     else:
         raise ValueError(f"convention must be '{AS_OF}' or '{LAST_NAV}', not '{convention}'")
 
-    labelled = (
-        asked.join(master.withColumn("in_master", F.lit(True)), "scheme_code", "left")
-        .join(wide, "scheme_code", "left")
-    )
-    long = labelled.select(
+    long = asked.join(wide, "scheme_code", "left").select(
         "scheme_code", "scheme_name", "fund_house", "category", "in_master",
         "first_date", "end_date", "end_nav",
         F.inline(F.array(*[_period_struct(i, p, today) for i, p in enumerate(wanted)])),
@@ -145,12 +141,14 @@ def _totals() -> list[Column]:
     ]
 
 
-def _asked(nav: DataFrame, master: DataFrame, codes) -> DataFrame:
+def _asked(master: DataFrame, codes) -> DataFrame:
+    """The asked codes with their labels; ``in_master`` is null for unknown ones."""
+    known = master.withColumn("in_master", F.lit(True))
     if codes is None:
-        return master.select("scheme_code")
-    if isinstance(codes, DataFrame):
-        return codes.select("scheme_code")
-    return nav.sparkSession.createDataFrame([(c,) for c in codes], "scheme_code string")
+        return known
+    if not isinstance(codes, DataFrame):
+        codes = master.sparkSession.createDataFrame([(c,) for c in codes], "scheme_code string")
+    return codes.select("scheme_code").join(known, "scheme_code", "left")
 
 
 def _rows_of(nav: DataFrame, codes) -> DataFrame:
@@ -187,15 +185,14 @@ def _wide_as_of(nav: DataFrame, periods: list[Period], today: Column) -> DataFra
     return rows.groupBy("scheme_code").agg(*columns)
 
 
-def _with_anchor(nav: DataFrame, asked: DataFrame, master: DataFrame, codes, how: str) -> DataFrame:
+def _with_anchor(nav: DataFrame, asked: DataFrame, how: str) -> DataFrame:
     """History rows with their scheme's last date.
 
     A scheme has one row per calendar day at most, so the window's groups stay small; the
     broadcast form shuffles only per-scheme aggregates but reads the history twice.
     """
     if how == "auto":
-        schemes = len(codes) if isinstance(codes, list) else master.count()
-        how = "broadcast" if schemes <= BROADCAST_ANCHORS else "window"
+        how = "broadcast" if asked.count() <= BROADCAST_ANCHORS else "window"
     if how == "window":
         scheme = Window.partitionBy("scheme_code")
         return nav.withColumn("anchor", F.max("nav_date").over(scheme))
@@ -203,7 +200,7 @@ def _with_anchor(nav: DataFrame, asked: DataFrame, master: DataFrame, codes, how
         raise ValueError(f"anchors must be 'auto', 'broadcast' or 'window', not '{how}'")
     last = (
         nav.groupBy("scheme_code").agg(F.max("nav_date").alias("anchor"))
-        .join(asked.distinct(), "scheme_code", "left_semi")
+        .join(asked.select("scheme_code").distinct(), "scheme_code", "left_semi")
     )
     return nav.join(F.broadcast(last), "scheme_code")
 

@@ -64,14 +64,14 @@ def load_rows(
 def daily_update(spark: SparkSession, landing: str, lake: Lake, **options) -> bool:
     """Load a daily feed, limited to the schemes of the master."""
     universe = tables.read_scheme_master(spark, lake.master)
-    rows = feeds.parse_daily_feed(feeds.read_feed_lines(spark, landing), universe)
+    rows = feeds.parse_daily_feed(feeds.read_feed(spark, landing), universe)
     return load_rows(spark, rows, lake, options.pop("source", "daily"), **options)
 
 
 def labelled_daily_update(spark: SparkSession, landing: str, lake: Lake, **options) -> bool:
     """Load a labelled daily feed; schemes new to it join the master."""
     rows = feeds.parse_labelled_feed(
-        feeds.read_feed_lines(spark, landing), feeds.LABELLED_DAILY
+        feeds.read_feed(spark, landing), feeds.LABELLED_DAILY
     )
     return load_rows(spark, rows, lake, options.pop("source", "daily"), **options)
 
@@ -79,7 +79,7 @@ def labelled_daily_update(spark: SparkSession, landing: str, lake: Lake, **optio
 def backfill_history(spark: SparkSession, landing: str, lake: Lake, **options) -> bool:
     """Load history feeds, limited to the schemes of the master."""
     universe = tables.read_scheme_master(spark, lake.master)
-    rows = feeds.parse_history_feed(feeds.read_feed_lines(spark, landing), universe)
+    rows = feeds.parse_history_feed(feeds.read_feed(spark, landing), universe)
     return load_rows(
         spark, rows, lake, options.pop("source", "bulk"), force=True, **options
     )
@@ -88,7 +88,7 @@ def backfill_history(spark: SparkSession, landing: str, lake: Lake, **options) -
 def labelled_backfill_history(spark: SparkSession, landing: str, lake: Lake, **options) -> bool:
     """Load labelled history feeds."""
     rows = feeds.parse_labelled_feed(
-        feeds.read_feed_lines(spark, landing), feeds.LABELLED_HISTORY
+        feeds.read_feed(spark, landing), feeds.LABELLED_HISTORY
     )
     return load_rows(
         spark, rows, lake, options.pop("source", "history"), force=True, **options
@@ -106,7 +106,7 @@ def migrate_scoped(
     master_table.write_scheme_master(spark, scoped, target.master)
     written = tables.read_scheme_master(spark, target.master)
     history.relayout_scoped(nav, written, target.history)
-    if tables.path_exists(spark, source.raw):
+    if tables.find_table(spark, source.raw) is not None:
         history.relayout_raw_scoped(
             tables.read_raw_nav(spark, source.raw), written, target.raw
         )

@@ -326,7 +326,7 @@ def load_status(spark, d):
 
 @query
 def chunk_coverage(spark, d):
-    return quality.chunk_coverage(fx.nav_raw(spark, d), dt.date.fromisoformat("2003-06-30"))
+    return quality.chunk_coverage(fx.nav_raw(spark, d), "2003-06-30")
 
 
 # Company names.
@@ -392,21 +392,21 @@ def _landed(spark, text: DataFrame, purpose: str) -> str:
 @query
 def parse_daily_feed(spark, d):
     landing = _landed(spark, fx.daily_feed_text(spark, d), "daily-feed")
-    rows = feeds.parse_daily_feed(feeds.read_feed_lines(spark, landing), fx.master(spark, d))
+    rows = feeds.parse_daily_feed(feeds.read_feed(spark, landing), fx.master(spark, d))
     return rows.select(*NAV_COLUMNS)
 
 
 @query
 def parse_history_feed(spark, d):
     landing = _landed(spark, fx.history_feed_text(fx.nav(spark, d)), "history-feed")
-    return feeds.parse_history_feed(feeds.read_feed_lines(spark, landing)).select(*NAV_COLUMNS)
+    return feeds.parse_history_feed(feeds.read_feed(spark, landing)).select(*NAV_COLUMNS)
 
 
 @query
 def parse_labelled_feed(spark, d):
     text = fx.labelled_feed_text(fx.nav(spark, d), fx.master(spark, d))
     landing = _landed(spark, text, "labelled-feed")
-    rows = feeds.parse_labelled_feed(feeds.read_feed_lines(spark, landing), feeds.LABELLED_DAILY)
+    rows = feeds.parse_labelled_feed(feeds.read_feed(spark, landing), feeds.LABELLED_DAILY)
     return rows.select(*NAV_COLUMNS, "fund_house", "category", "scheme_name")
 
 

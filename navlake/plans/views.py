@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from navlake.operators.labels import label_nav
-from navlake.operators.summary import category_summary, fund_house_summary, latest_nav_with_ties
+from navlake.operators.summary import category_summary, fund_house_summary, latest_nav
 from navlake.plans.lake import Lake
 from navlake.sources.tables import read_nav_history, read_scheme_master, require_tables
 
@@ -17,8 +17,11 @@ def register_views(spark: SparkSession, lake: Lake) -> None:
 
 
 def create_views(master: DataFrame, nav: DataFrame) -> None:
-    """The views scheme_master, nav_history, latest_nav, category_summary, fund_house_summary."""
-    latest = latest_nav_with_ties(nav, master)
+    """The views scheme_master, nav_history, latest_nav, category_summary, fund_house_summary.
+
+    ``nav`` must be unique on (scheme, date), as the lake's history is.
+    """
+    latest = latest_nav(nav, master)
     views = {
         "scheme_master": master,
         "nav_history": label_nav(nav, master),

@@ -13,7 +13,7 @@ from navlake.functions.periods import as_of_date
 from navlake.operators.dedupe import dedupe_nav
 from navlake.operators.labels import filter_universe
 from navlake.schema import FEED_ORDER, NAV_COLUMNS
-from navlake.sources.tables import path_exists, read_nav_history, read_raw_nav
+from navlake.sources.tables import as_nav_history, find_table, read_raw_nav
 
 # Fixed value: years of raw files kept by default.
 RETENTION_YEARS = 5
@@ -54,10 +54,11 @@ def merge_nav_history(
         *NAV_COLUMNS, F.lit(1).alias("is_fresh"), F.struct(F.lit(0), *order).alias("written")
     )
     rows = fresh
-    if path_exists(spark, path):
+    table = find_table(spark, path)
+    if table is not None:
         # A handful of calendar years, whatever the size of the batch.
         years = [r[0] for r in batch.select(F.year("nav_date")).distinct().collect()]
-        stored = read_nav_history(spark, path).where(F.col("year").isin(years)).select(
+        stored = as_nav_history(table).where(F.col("year").isin(years)).select(
             *NAV_COLUMNS,
             F.lit(0).alias("is_fresh"),
             F.lit(None).cast(fresh.schema["written"].dataType).alias("written"),
@@ -70,8 +71,9 @@ def backfill_funds(
     spark: SparkSession, rows: DataFrame, path: str, order_by: list[str | Column] = ()
 ) -> None:
     """Add the history of late-listed funds; rows already stored win over the backfill."""
-    if path_exists(spark, path):
-        stored = read_nav_history(spark, path).select("scheme_code", "nav_date")
+    table = find_table(spark, path)
+    if table is not None:
+        stored = as_nav_history(table).select("scheme_code", "nav_date")
         rows = rows.join(stored, ["scheme_code", "nav_date"], "left_anti")
     merge_nav_history(spark, rows, path, order_by)
 
@@ -113,16 +115,19 @@ def relayout_raw_scoped(raw: DataFrame, universe: DataFrame, path: str) -> None:
     _replace_partitions(filter_universe(raw, universe), path, partitions)
 
 
-def retain_years(rows: DataFrame, as_of: dt.date | str | None = None, years: int = RETENTION_YEARS):
+def retain_years(
+    rows: DataFrame, as_of: dt.date | str | None = None, years: int = RETENTION_YEARS
+) -> DataFrame:
     """Rows of the last ``years`` years; a condition on the partition column alone."""
     return rows.where(F.col("year") >= F.year(as_of_date(as_of)) - years)
 
 
 def already_loaded(spark: SparkSession, path: str, nav_date: dt.date | None) -> bool:
     """Whether a date is in the history; reads one partition, up to the first match."""
-    if nav_date is None or not path_exists(spark, path):
+    table = find_table(spark, path) if nav_date is not None else None
+    if table is None:
         return False
-    held = read_nav_history(spark, path).where(
+    held = as_nav_history(table).where(
         (F.col("year") == nav_date.year) & (F.col("nav_date") == F.lit(nav_date))
     )
     return not held.isEmpty()

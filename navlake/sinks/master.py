@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from navlake.operators.dedupe import upsert_scheme_master
 from navlake.schema import MASTER_COLUMNS
-from navlake.sources.tables import path_exists, read_scheme_master
+from navlake.sources.tables import as_scheme_master, find_table
 
 
 def write_scheme_master(spark: SparkSession, master: DataFrame, path: str) -> int:
@@ -13,9 +13,8 @@ def write_scheme_master(spark: SparkSession, master: DataFrame, path: str) -> in
     Readers take the highest version, which appears only when its job commits, so the new
     table may be computed from the one it replaces.
     """
-    version = 1
-    if path_exists(spark, path):
-        version += spark.read.parquet(path).agg(F.max("version")).first()[0]
+    current = find_table(spark, path)
+    version = 1 if current is None else 1 + current.agg(F.max("version")).first()[0]
     (
         master.select(*MASTER_COLUMNS, F.lit(version).alias("version"))
         .write.mode("append").partitionBy("version").parquet(path)
@@ -29,5 +28,6 @@ def refresh_scheme_master(
     """Upsert labels seen in a feed; nothing is written when the feed holds none."""
     if labelled.isEmpty():
         return
-    existing = read_scheme_master(spark, path) if path_exists(spark, path) else None
+    current = find_table(spark, path)
+    existing = None if current is None else as_scheme_master(current)
     write_scheme_master(spark, upsert_scheme_master(existing, labelled, order_by), path)

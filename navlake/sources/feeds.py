@@ -28,25 +28,8 @@ LABELLED_DAILY = LabelledLayout(name=3, nav=4, date=5)
 LABELLED_HISTORY = LabelledLayout(name=1, nav=4, date=7)
 
 
-def with_position(raw: DataFrame) -> DataFrame:
-    """Stripped, non-blank lines with their place in the input.
-
-    ``raw`` holds the text source's ``value`` and metadata columns. Rows of one split stay
-    in one task in file order, so (file, block start, row id) orders the lines of a file.
-    """
-    return (
-        raw.select(
-            F.explode(F.split("value", text.OTHER_LINE_ENDS)).alias("line"),
-            "feed_time", "feed_file", "feed_block",
-        )
-        .withColumn("feed_row", F.monotonically_increasing_id())
-        .withColumn("line", text.strip(F.col("line")))
-        .where(F.col("line") != "")
-    )
-
-
 def raw_lines(reader, path: str) -> DataFrame:
-    """The text source with the metadata ``with_position`` needs; works for streams too."""
+    """Lines of the feed files below ``path`` and where each lies; works for streams too."""
     return reader.text(path).select(
         "value",
         F.col("_metadata.file_modification_time").alias("feed_time"),
@@ -55,85 +38,118 @@ def raw_lines(reader, path: str) -> DataFrame:
     )
 
 
-def read_feed_lines(spark: SparkSession, path: str) -> DataFrame:
-    return with_position(raw_lines(spark.read, path))
+def read_feed(spark: SparkSession, path: str) -> DataFrame:
+    return raw_lines(spark.read, path)
 
 
-def in_universe(rows: DataFrame, universe: DataFrame | None) -> DataFrame:
-    if universe is None:
-        return rows
-    return rows.join(universe.select("scheme_code").distinct(), "scheme_code", "left_semi")
-
-
-def parse_daily_feed(lines: DataFrame, universe: DataFrame | None = None) -> DataFrame:
+def parse_daily_feed(feed: DataFrame, universe: DataFrame | None = None) -> DataFrame:
     """Rows of the daily feed: code; isin; isin; name; nav; date."""
-    parts = lines.withColumn("parts", text.fields(F.col("line"))).where(F.size("parts") >= 6)
-    return in_universe(_nav_rows(parts, F.lit(4), F.lit(5)), universe)
+    texts = _lines(feed).select(
+        F.size("parts").alias("fields"),
+        text.field(F.col("parts"), 0).alias("scheme_code"),
+        text.field(F.col("parts"), 4).alias("nav"),
+        text.field(F.col("parts"), 5).alias("nav_date"),
+        *FEED_ORDER[:-1],
+    )
+    rows = _numbered(_typed(texts)).where(
+        (F.col("fields") >= 6) & text.is_digits(F.col("scheme_code")) & F.expr(_SOUND)
+    )
+    return in_universe(rows.select(*NAV_COLUMNS, *FEED_ORDER), universe)
 
 
-def parse_history_feed(lines: DataFrame, universe: DataFrame | None = None) -> DataFrame:
+def parse_history_feed(feed: DataFrame, universe: DataFrame | None = None) -> DataFrame:
     """Rows of the history feed, whose title line may move the NAV and date columns."""
-    parts = lines.withColumn("parts", text.fields(F.col("line"))).where(F.size("parts") >= 8)
-    title = F.get("parts", F.lit(0)) == text.COLUMN_TITLE
-    labels = F.transform("parts", F.lower)
-    placed = parts.select(
-        "*",
-        F.when(title, _title_position(labels, text.NAV_TITLE)).alias("nav_at"),
-        F.when(title, _title_position(labels, text.DATE_TITLE)).alias("date_at"),
+    lines = _lines(feed).withColumn("scheme_code", text.field(F.col("parts"), 0))
+    is_title = (F.col("scheme_code") == text.COLUMN_TITLE) & (F.size("parts") >= 8)
+    labels = text.title_labels(F.col("line"))
+    placed = _numbered(lines.select(
+        "parts", "scheme_code",
+        F.when(is_title, _title_position(labels, text.NAV_TITLE)).alias("nav_at"),
+        F.when(is_title, _title_position(labels, text.DATE_TITLE)).alias("date_at"),
+        *FEED_ORDER[:-1],
+    )).where(
+        (F.size("parts") >= 8)
+        & (F.col("nav_at").isNotNull() | text.is_digits(F.col("scheme_code")))
     )
     carried = carry_forward(placed, ["nav_at", "date_at"])
-    rows = _nav_rows(
-        carried,
-        F.coalesce("nav_at", F.lit(6)),
-        F.coalesce("date_at", F.lit(7)),
+    texts = carried.where(text.is_digits(F.col("scheme_code"))).select(
+        "scheme_code",
+        text.field(F.col("parts"), F.coalesce("nav_at", F.lit(6))).alias("nav"),
+        text.field(F.col("parts"), F.coalesce("date_at", F.lit(7))).alias("nav_date"),
+        *FEED_ORDER,
     )
-    return in_universe(rows, universe)
+    return in_universe(_typed(texts).where(_SOUND), universe)
 
 
-def parse_labelled_feed(lines: DataFrame, layout: LabelledLayout) -> DataFrame:
+def parse_labelled_feed(feed: DataFrame, layout: LabelledLayout) -> DataFrame:
     """Labelled rows: category from the section line above, fund house from the line below it."""
-    parts = lines.withColumn("parts", text.fields(F.col("line")))
+    texts = _lines(feed).select(
+        "line",
+        text.field(F.col("parts"), 0).alias("scheme_code"),
+        text.field(F.col("parts"), layout.nav).alias("nav"),
+        text.field(F.col("parts"), layout.date).alias("nav_date"),
+        text.field(F.col("parts"), layout.name).alias("scheme_name"),
+        *FEED_ORDER[:-1],
+    )
     line = F.col("line")
-    is_data = text.is_labelled_code(F.get("parts", F.lit(0)))
+    is_data = text.is_labelled_code(F.col("scheme_code"))
     is_section = text.is_section_header(line)
     is_title = line.startswith(text.COLUMN_TITLE)
-    labelled = parts.select(
+    labelled = _numbered(_typed(texts.select(
         "*",
         is_data.alias("is_data"),
         F.when(~is_data & is_section, text.section_category(line)).alias("category"),
         F.when(~is_data & ~is_section & ~is_title, line).alias("fund_house"),
+    )).drop("line"))
+    # Malformed rows do not touch the carried labels, so they are dropped before the shuffle.
+    useful = labelled.where(
+        f"if(is_data, {_SOUND} and scheme_name is not null, "
+        "category is not null or fund_house is not null)"
     )
     return (
-        carry_forward(labelled, ["category", "fund_house"])
+        carry_forward(useful, ["category", "fund_house"])
         .where("is_data")
-        .select(
-            F.get("parts", F.lit(0)).alias("scheme_code"),
-            text.feed_date(F.get("parts", F.lit(layout.date))).alias("nav_date"),
-            text.feed_number(F.get("parts", F.lit(layout.nav))).alias("nav"),
-            F.get("parts", F.lit(layout.name)).alias("scheme_name"),
-            "fund_house", "category", *FEED_ORDER,
-        )
-        .where("nav is not null and nav_date is not null and scheme_name is not null")
         .select(*NAV_COLUMNS, *LABEL_COLUMNS, *FEED_ORDER)
     )
 
 
+def in_universe(rows: DataFrame, universe: DataFrame | None) -> DataFrame:
+    if universe is None:
+        return rows
+    return rows.join(universe.select("scheme_code").distinct(), "scheme_code", "left_semi")
+
+
+_SOUND = "nav is not null and nav_date is not null"
+
+
+def _lines(feed: DataFrame) -> DataFrame:
+    """Stripped lines and their fields. Blank lines stay; no parser takes them for a row."""
+    pieces = feed.select(
+        F.explode(F.split("value", text.OTHER_LINE_ENDS)).alias("line"), *FEED_ORDER[:-1]
+    )
+    lines = pieces.withColumn("line", text.strip(F.col("line")))
+    return lines.withColumn("parts", F.split("line", text.FIELD_SEPARATOR))
+
+
+def _typed(texts: DataFrame) -> DataFrame:
+    return texts.withColumns({
+        "nav": text.feed_number(F.col("nav")), "nav_date": text.feed_date(F.col("nav_date")),
+    })
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with their place in the split.
+
+    A split is read by one task in file order, so (file, block start, row id) orders the
+    lines of a file. Filters cannot move below the row id, hence the columns computed so
+    far are computed once per line.
+    """
+    return rows.withColumn("feed_row", F.monotonically_increasing_id())
+
+
 def _title_position(labels: Column, title: str) -> Column:
     at = F.array_position(labels, title)
     lacking = F.raise_error(F.concat(
         F.lit(f"history feed header lacks '{title}': "), F.array_join(labels, ";")
     ))
     return F.when(at == 0, lacking.cast("int")).otherwise((at - 1).cast("int"))
-
-
-def _nav_rows(parts: DataFrame, nav_at: Column, date_at: Column) -> DataFrame:
-    return (
-        parts.where(text.is_digits(F.get("parts", F.lit(0))))
-        .select(
-            F.get("parts", F.lit(0)).alias("scheme_code"),
-            text.feed_date(F.get("parts", date_at)).alias("nav_date"),
-            text.feed_number(F.get("parts", nav_at)).alias("nav"),
-            *FEED_ORDER,
-        )
-        .where("nav is not null and nav_date is not null")
-    )

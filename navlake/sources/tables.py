@@ -6,30 +6,32 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from navlake.schema import FEED_ORDER, LABEL_COLUMNS, MASTER_COLUMNS, NAV_COLUMNS
+from navlake.schema import FEED_ORDER, LABEL_COLUMNS, MASTER_COLUMNS, NAV_COLUMNS, NAV_SCHEMA
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a read of ``path`` finds Parquet data."""
+def find_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None where there is no data."""
     try:
-        spark.read.parquet(path)
-        return True
+        return spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
+            return None
         raise
 
 
 def require_tables(spark: SparkSession, *paths: str) -> None:
     """Fail early and by name when a lake is not there, as after a mistyped path."""
-    missing = [p for p in paths if not path_exists(spark, p)]
+    missing = [p for p in paths if find_table(spark, p) is None]
     if missing:
         raise FileNotFoundError(f"no Parquet data at {', '.join(missing)}")
 
 
 def read_scheme_master(spark: SparkSession, path: str) -> DataFrame:
     """The label table: its newest version where ``write_scheme_master`` wrote it."""
-    table = spark.read.parquet(path)
+    return as_scheme_master(spark.read.parquet(path))
+
+
+def as_scheme_master(table: DataFrame) -> DataFrame:
     if "version" in table.columns:
         newest = table.agg(F.max("version")).first()[0]
         table = table.where(F.col("version") == newest)
@@ -38,7 +40,11 @@ def read_scheme_master(spark: SparkSession, path: str) -> DataFrame:
 
 def read_nav_history(spark: SparkSession, path: str) -> DataFrame:
     """Processed NAV rows, with the partition column ``year`` kept for pruning."""
-    return spark.read.parquet(path).select(
+    return as_nav_history(spark.read.parquet(path))
+
+
+def as_nav_history(table: DataFrame) -> DataFrame:
+    return table.select(
         F.col("scheme_code").cast("string").alias("scheme_code"),
         F.col("nav_date").cast("date").alias("nav_date"),
         F.col("nav").cast("double").alias("nav"),
@@ -48,9 +54,10 @@ def read_nav_history(spark: SparkSession, path: str) -> DataFrame:
 
 def read_year(spark: SparkSession, path: str, year: int) -> DataFrame:
     """One year partition; no rows where the table or the year is missing."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], "scheme_code string, nav_date date, nav double, year int")
-    return read_nav_history(spark, path).where(F.col("year") == year)
+    table = find_table(spark, path)
+    if table is None:
+        return spark.createDataFrame([], NAV_SCHEMA).withColumn("year", F.lit(year))
+    return as_nav_history(table).where(F.col("year") == year)
 
 
 def between_dates(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from navlake.plans.lake import Lake, load_rows
-from navlake.sources.feeds import raw_lines, with_position
+from navlake.sources.feeds import raw_lines
 
 
 def ingest_stream(
@@ -20,7 +20,7 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Load every feed file not seen before, then stop.
 
-    ``parse`` turns positioned lines into feed rows. The checkpoint remembers the files
+    ``parse`` turns raw feed lines into rows. The checkpoint remembers the files
     already taken. A batch that is retried replaces its own raw partition, and the merge
     gives the same history again; late rows rewrite the year they belong to.
     """
@@ -28,13 +28,11 @@ def ingest_stream(
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
-    def load(lines: DataFrame, batch_id: int) -> None:
-        # The batch may lie in any session; its own is the one that can write.
-        session = lines.sparkSession
-        day = lines.agg(F.max(F.to_date("feed_time"))).first()[0]
+    def load(feed: DataFrame, batch_id: int) -> None:
+        day = feed.agg(F.max(F.to_date("feed_time"))).first()[0]
         if day is not None:
             load_rows(
-                session, parse(with_position(lines)), lake, f"{source}-{batch_id}",
+                feed.sparkSession, parse(feed), lake, f"{source}-{batch_id}",
                 ingest_date=day, force=True,
             )
 
