@@ -43,50 +43,60 @@ def write_nav_history(nav: DataFrame, path: str, order_by: list[str | Column] =
 
 
 def merge_nav_history(
-    spark: SparkSession, batch: DataFrame, path: str, order_by: list[str | Column] = ()
+    spark: SparkSession,
+    batch: DataFrame,
+    path: str,
+    order_by: list[str | Column] = (),
+    stored_wins: bool = False,
 ) -> None:
     """Add a batch to the history: batch rows replace stored rows of the same key.
 
-    Only the years in the batch are read and rewritten, whichever years they are.
+    Only the years in the batch are read and rewritten, whichever years they are. The
+    batch is made unique first; then stored and fresh rows meet in the range partitions
+    the files are written from, so stored rows are shuffled once.
     """
-    order = [c if isinstance(c, Column) else F.col(c) for c in order_by]
-    fresh = batch.select(
-        *NAV_COLUMNS, F.lit(1).alias("is_fresh"), F.struct(F.lit(0), *order).alias("written")
-    )
-    rows = fresh
+    fresh = dedupe_nav(batch, order_by)
     table = find_table(spark, path)
-    if table is not None:
-        # A handful of calendar years, whatever the size of the batch.
-        years = [r[0] for r in batch.select(F.year("nav_date")).distinct().collect()]
-        stored = as_nav_history(table).where(F.col("year").isin(years)).select(
-            *NAV_COLUMNS,
-            F.lit(0).alias("is_fresh"),
-            F.lit(None).cast(fresh.schema["written"].dataType).alias("written"),
-        )
-        rows = stored.unionByName(fresh)
-    write_nav_history(rows, path, ["is_fresh", "written"])
+    if table is None:
+        _replace_partitions(_by_year_and_scheme(fresh), path, ["year"])
+        return
+    # A handful of calendar years, whatever the size of the batch.
+    years = [r[0] for r in batch.select(F.year("nav_date")).distinct().collect()]
+    stored = as_nav_history(table).where(F.col("year").isin(years))
+    rows = (
+        stored.select(*NAV_COLUMNS, F.lit(int(stored_wins)).alias("rank"))
+        .unionByName(fresh.select(*NAV_COLUMNS, F.lit(int(not stored_wins)).alias("rank")))
+        .withColumn("year", F.year("nav_date"))
+    )
+    key = ["year", "scheme_code", "nav_date"]
+    unique = (
+        rows.repartitionByRange(*key)
+        .groupBy(*key).agg(F.max(F.struct("rank", "nav"))["nav"].alias("nav"))
+        .sortWithinPartitions(*key)
+    )
+    _replace_partitions(unique.select(*NAV_COLUMNS, "year"), path, ["year"])
 
 
 def backfill_funds(
     spark: SparkSession, rows: DataFrame, path: str, order_by: list[str | Column] = ()
 ) -> None:
     """Add the history of late-listed funds; rows already stored win over the backfill."""
-    table = find_table(spark, path)
-    if table is not None:
-        stored = as_nav_history(table).select("scheme_code", "nav_date")
-        rows = rows.join(stored, ["scheme_code", "nav_date"], "left_anti")
-    merge_nav_history(spark, rows, path, order_by)
+    merge_nav_history(spark, rows, path, order_by, stored_wins=True)
 
 
 def write_raw(
     rows: DataFrame, path: str, source: str, ingest_date: dt.date | str | None = None
 ) -> None:
-    """Add rows to the audit layer; a rerun of the same source and day replaces itself."""
+    """Add rows to the audit layer; a rerun of the same source and day replaces itself.
+
+    Rows are rebalanced by year: adaptive execution joins small years and splits large
+    ones into files of the advisory partition size.
+    """
     placed = rows.withColumns({
         "year": F.year("nav_date"),
         "ingest_date": as_of_date(ingest_date),
         "source": F.lit(source),
-    })
+    }).hint("rebalance", F.col("year"))
     _replace_partitions(placed, path, ["year", "ingest_date", "source"])
 
 

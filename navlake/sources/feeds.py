@@ -51,8 +51,9 @@ def parse_daily_feed(feed: DataFrame, universe: DataFrame | None = None) -> Data
         text.field(F.col("parts"), 5).alias("nav_date"),
         *FEED_ORDER[:-1],
     )
-    rows = _numbered(_typed(texts)).where(
-        (F.col("fields") >= 6) & text.is_digits(F.col("scheme_code")) & F.expr(_SOUND)
+    rows = _numbered(
+        _typed(texts),
+        (F.col("fields") >= 6) & text.is_digits(F.col("scheme_code")) & F.expr(_SOUND),
     )
     return in_universe(rows.select(*NAV_COLUMNS, *FEED_ORDER), universe)
 
@@ -62,14 +63,15 @@ def parse_history_feed(feed: DataFrame, universe: DataFrame | None = None) -> Da
     lines = _lines(feed).withColumn("scheme_code", text.field(F.col("parts"), 0))
     is_title = (F.col("scheme_code") == text.COLUMN_TITLE) & (F.size("parts") >= 8)
     labels = text.title_labels(F.col("line"))
-    placed = _numbered(lines.select(
-        "parts", "scheme_code",
-        F.when(is_title, _title_position(labels, text.NAV_TITLE)).alias("nav_at"),
-        F.when(is_title, _title_position(labels, text.DATE_TITLE)).alias("date_at"),
-        *FEED_ORDER[:-1],
-    )).where(
+    placed = _numbered(
+        lines.select(
+            "parts", "scheme_code",
+            F.when(is_title, _title_position(labels, text.NAV_TITLE)).alias("nav_at"),
+            F.when(is_title, _title_position(labels, text.DATE_TITLE)).alias("date_at"),
+            *FEED_ORDER[:-1],
+        ),
         (F.size("parts") >= 8)
-        & (F.col("nav_at").isNotNull() | text.is_digits(F.col("scheme_code")))
+        & (F.col("nav_at").isNotNull() | text.is_digits(F.col("scheme_code"))),
     )
     carried = carry_forward(placed, ["nav_at", "date_at"])
     texts = carried.where(text.is_digits(F.col("scheme_code"))).select(
@@ -95,19 +97,19 @@ def parse_labelled_feed(feed: DataFrame, layout: LabelledLayout) -> DataFrame:
     is_data = text.is_labelled_code(F.col("scheme_code"))
     is_section = text.is_section_header(line)
     is_title = line.startswith(text.COLUMN_TITLE)
-    labelled = _numbered(_typed(texts.select(
+    labelled = _typed(texts.select(
         "*",
         is_data.alias("is_data"),
         F.when(~is_data & is_section, text.section_category(line)).alias("category"),
         F.when(~is_data & ~is_section & ~is_title, line).alias("fund_house"),
-    )).drop("line"))
+    )).drop("line")
     # Malformed rows do not touch the carried labels, so they are dropped before the shuffle.
-    useful = labelled.where(
+    useful = F.expr(
         f"if(is_data, {_SOUND} and scheme_name is not null, "
         "category is not null or fund_house is not null)"
     )
     return (
-        carry_forward(useful, ["category", "fund_house"])
+        carry_forward(_numbered(labelled, useful), ["category", "fund_house"])
         .where("is_data")
         .select(*NAV_COLUMNS, *LABEL_COLUMNS, *FEED_ORDER)
     )
@@ -137,14 +139,15 @@ def _typed(texts: DataFrame) -> DataFrame:
     })
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """Rows with their place in the split.
+def _numbered(rows: DataFrame, condition: Column) -> DataFrame:
+    """The rows that meet ``condition``, with their place in the split.
 
     A split is read by one task in file order, so (file, block start, row id) orders the
-    lines of a file. Filters cannot move below the row id, hence the columns computed so
-    far are computed once per line.
+    lines of a file. A filter that names the row id stays above it, hence the columns
+    computed so far are computed once per line, not again inside the condition.
     """
-    return rows.withColumn("feed_row", F.monotonically_increasing_id())
+    numbered = rows.withColumn("feed_row", F.monotonically_increasing_id())
+    return numbered.where((F.col("feed_row") >= 0) & condition)
 
 
 def _title_position(labels: Column, title: str) -> Column:

@@ -62,6 +62,16 @@ def test_daily_feed_line_ends_and_universe(spark, landed):
     assert rows_of(feeds.parse_daily_feed(feed, universe), "scheme_code") == [("2",)]
 
 
+def test_conditions_do_not_parse_a_line_again(spark, landed):
+    feed = feeds.read_feed(spark, landed(a="1;;;n;1;01-Feb-2026"))
+    for rows in (feeds.parse_daily_feed(feed),
+                 feeds.parse_labelled_feed(feed, feeds.LABELLED_DAILY)):
+        plan = rows.select("scheme_code", "nav")._jdf.queryExecution().optimizedPlan().toString()
+        filters = [line for line in plan.splitlines() if "Filter" in line]
+        assert filters and not any("split(" in line for line in filters)
+        assert "Python" not in plan
+
+
 def test_daily_feed_empty_result_is_typed(spark, landed):
     empty = feeds.parse_daily_feed(feeds.read_feed(spark, landed(a="nothing here\n")))
     assert empty.collect() == []

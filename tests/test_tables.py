@@ -68,6 +68,38 @@ def test_merge_keeps_rows_of_sidecar_files(spark, nav_of, path):
     assert [r[0] for r in stored(spark, path)] == ["a", "b", "late"]
 
 
+def test_merge_shuffles_stored_rows_once(spark, nav_of, path, monkeypatch):
+    history.write_nav_history(nav_of(("a", "2024-01-01", 1), ("b", "2024-01-01", 1)), path)
+    plans = []
+    replace = history._replace_partitions
+
+    def note(rows, *args):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        replace(rows, *args)
+
+    monkeypatch.setattr(history, "_replace_partitions", note)
+    history.merge_nav_history(spark, nav_of(("a", "2024-01-01", 2)), path)
+    (plan,) = plans
+    above_union = plan[:plan.index("Union")]
+    assert above_union.count("Exchange") == 1 and "Exchange rangepartitioning" in above_union
+    assert above_union.count("Sort ") <= 2
+    assert "PartitionFilters: [isnotnull(year" in plan or "PartitionFilters: [year" in plan \
+        or "PartitionFilters: [cast(year" in plan
+
+
+def test_raw_rows_of_a_large_year_are_split(spark, tmp_path, conf):
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20000")
+    rows = spark.range(20000).selectExpr(
+        "cast(id as string) as scheme_code",
+        "if(id = 0, date'2023-01-01', date'2024-01-01') as nav_date", "rand(1) as nav")
+    raw = str(tmp_path / "raw")
+    history.write_raw(rows.repartition(8), raw, "bulk", "2024-01-02")
+    names = list(files_below(raw))
+    assert len([n for n in names if "year=2024" in n]) > 1
+    assert len([n for n in names if "year=2023" in n]) == 1
+    assert tables.read_raw_nav(spark, raw).count() == 20000
+
+
 def test_backfill_never_overwrites(spark, nav_of, path):
     history.write_nav_history(nav_of(("a", "2024-01-01", 1)), path)
     history.backfill_funds(
