@@ -39,25 +39,28 @@ def fund_returns(
     periods: str | list[str] = PERIODS,
     convention: str = LAST_NAV,
     as_of: dt.date | str | None = None,
-    codes: list[str] | DataFrame | None = None,
+    codes: str | list[str] | DataFrame | None = None,
     anchors: str = "auto",
     require_full_window: bool = False,
 ) -> DataFrame:
     """One row per asked scheme and period; failures are an ``error`` text, not an exception.
 
-    ``codes`` is a short list, a DataFrame of ``scheme_code``, or None for the whole
-    master. ``anchors`` picks how last-NAV dates reach the rows: ``broadcast``,
+    ``codes`` is a code, a short list, a DataFrame of ``scheme_code``, or None for the
+    whole master. ``anchors`` picks how last-NAV dates reach the rows: ``broadcast``,
     ``window``, or ``auto``, which counts the asked schemes.
     """
     wanted = [parse_period(p) for p in ([periods] if isinstance(periods, str) else periods)]
+    codes = [codes] if isinstance(codes, str) else codes
     mine = _rows_of(nav, codes)
-    asked = _asked(master, codes)
+    requested = _requested(master, codes)
+    known = master.withColumn("in_master", F.lit(True))
+    asked = known if codes is None else requested.join(known, "scheme_code", "left")
     if convention == AS_OF:
         today = as_of_date(as_of)
         wide = _wide_as_of(mine, wanted, today)
     elif convention == LAST_NAV:
         today = None
-        wide = _wide_last_nav(_with_anchor(mine, asked, anchors), wanted)
+        wide = _wide_last_nav(_with_anchor(mine, requested, anchors), wanted)
     else:
         raise ValueError(f"convention must be '{AS_OF}' or '{LAST_NAV}', not '{convention}'")
 
@@ -91,7 +94,9 @@ def category_returns(
     )
 
 
-def sort_returns(returns: DataFrame, sort_by: str = "return_pct", ascending: bool = False):
+def sort_returns(
+    returns: DataFrame, sort_by: str = "return_pct", ascending: bool = False
+) -> DataFrame:
     column = F.col(sort_by if sort_by in SORT_COLUMNS else "return_pct")
     first = column.asc_nulls_last() if ascending else column.desc_nulls_last()
     return returns.orderBy(first, "scheme_name", "scheme_code")
@@ -141,23 +146,22 @@ def _totals() -> list[Column]:
     ]
 
 
-def _asked(master: DataFrame, codes) -> DataFrame:
-    """The asked codes with their labels; ``in_master`` is null for unknown ones."""
-    known = master.withColumn("in_master", F.lit(True))
+def _requested(master: DataFrame, codes: list[str] | DataFrame | None) -> DataFrame:
+    """The asked codes as rows."""
     if codes is None:
-        return known
-    if not isinstance(codes, DataFrame):
-        codes = master.sparkSession.createDataFrame([(c,) for c in codes], "scheme_code string")
-    return codes.select("scheme_code").join(known, "scheme_code", "left")
+        return master.select("scheme_code")
+    if isinstance(codes, DataFrame):
+        return codes.select("scheme_code")
+    return master.sparkSession.createDataFrame([(c,) for c in codes], "scheme_code string")
 
 
-def _rows_of(nav: DataFrame, codes) -> DataFrame:
+def _rows_of(nav: DataFrame, codes: list[str] | DataFrame | None) -> DataFrame:
     """History rows of the asked schemes, restricted before anything is aggregated."""
     if codes is None:
         return nav
     if isinstance(codes, DataFrame):
         return nav.join(codes.select("scheme_code").distinct(), "scheme_code", "left_semi")
-    return nav.where(F.col("scheme_code").isin(list(codes)))
+    return nav.where(F.col("scheme_code").isin(codes))
 
 
 def _wide_as_of(nav: DataFrame, periods: list[Period], today: Column) -> DataFrame:
@@ -185,14 +189,14 @@ def _wide_as_of(nav: DataFrame, periods: list[Period], today: Column) -> DataFra
     return rows.groupBy("scheme_code").agg(*columns)
 
 
-def _with_anchor(nav: DataFrame, asked: DataFrame, how: str) -> DataFrame:
+def _with_anchor(nav: DataFrame, requested: DataFrame, how: str) -> DataFrame:
     """History rows with their scheme's last date.
 
     A scheme has one row per calendar day at most, so the window's groups stay small; the
     broadcast form shuffles only per-scheme aggregates but reads the history twice.
     """
     if how == "auto":
-        how = "broadcast" if asked.count() <= BROADCAST_ANCHORS else "window"
+        how = "broadcast" if requested.count() <= BROADCAST_ANCHORS else "window"
     if how == "window":
         scheme = Window.partitionBy("scheme_code")
         return nav.withColumn("anchor", F.max("nav_date").over(scheme))
@@ -200,7 +204,7 @@ def _with_anchor(nav: DataFrame, asked: DataFrame, how: str) -> DataFrame:
         raise ValueError(f"anchors must be 'auto', 'broadcast' or 'window', not '{how}'")
     last = (
         nav.groupBy("scheme_code").agg(F.max("nav_date").alias("anchor"))
-        .join(asked.select("scheme_code").distinct(), "scheme_code", "left_semi")
+        .join(requested.distinct(), "scheme_code", "left_semi")
     )
     return nav.join(F.broadcast(last), "scheme_code")
 

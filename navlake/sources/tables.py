@@ -44,6 +44,9 @@ def read_nav_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def as_nav_history(table: DataFrame) -> DataFrame:
+    """The fixed columns of a stored history; a flat copy gets its ``year`` computed."""
+    if "year" not in table.columns:
+        table = table.withColumn("year", F.year("nav_date"))
     return table.select(
         F.col("scheme_code").cast("string").alias("scheme_code"),
         F.col("nav_date").cast("date").alias("nav_date"),
@@ -94,7 +97,7 @@ def _agreeing_files(
     try:
         return [reader.parquet(*(files or [root]))]
     except (PySparkException, Py4JJavaError) as error:
-        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+        if "CANNOT_MERGE_SCHEMAS" not in str(error) or (files and len(files) == 1):
             raise
     if files is None:
         # The file listing every scan of this path already holds on the driver.

@@ -137,6 +137,8 @@ def test_codes_as_list_and_frame(spark, market):
     frame = spark.createDataFrame([(c,) for c in asked], "scheme_code string")
     same = returns.fund_returns(nav, master, ["1M", "SI"], LAST_NAV, codes=frame).collect()
     assert sorted(map(str, rows)) == sorted(map(str, same))
+    (one,) = returns.fund_returns(nav, master, "SI", LAST_NAV, codes="f01").collect()
+    assert str(one) in map(str, rows)
 
 
 def test_unlabelled_code_hides_its_prices(market, nav_of):

@@ -204,6 +204,15 @@ def test_master_versions(spark, master_of, tmp_path):
     assert tables.read_scheme_master(spark, flat).count() == 2
 
 
+def test_flat_history_reads_like_the_partitioned_one(spark, nav_of, tmp_path):
+    rows = nav_of(("a", "2024-01-01", 1), ("a", "2023-01-02", 2))
+    history.write_flat(rows, str(tmp_path / "flat"))
+    history.write_nav_history(rows, str(tmp_path / "parts"))
+    flat, parts = (tables.read_nav_history(spark, str(tmp_path / n)) for n in ("flat", "parts"))
+    assert flat.schema.names == parts.schema.names
+    assert sorted(flat.collect()) == sorted(parts.collect())
+
+
 def test_views_and_missing_lake(spark, nav_of, master_of, tmp_path):
     home = jobs.Lake(str(tmp_path / "lake"))
     with pytest.raises(FileNotFoundError):
