@@ -79,8 +79,8 @@ def read_raw_nav(spark: SparkSession, path: str) -> DataFrame:
     """All raw files as one table: columns by name, codes as strings, absent columns null.
 
     Spark merges the file footers on executors. Where files disagree on a column's type
-    the file list is halved until each part agrees, so a few old files among many cost a
-    few merges; the parts are then cast and united.
+    the list of files, oldest first, is halved until each part agrees. Types change when a
+    writer changes, so the parts are few; they are then cast and united.
     """
     groups = _agreeing_files(spark, path, None)
     tables = [_raw_columns(table) for table in groups]
@@ -100,11 +100,13 @@ def _agreeing_files(
         if "CANNOT_MERGE_SCHEMAS" not in str(error) or (files and len(files) == 1):
             raise
     if files is None:
-        # The file listing every scan of this path already holds on the driver.
-        files = sorted(
+        # Paths and times only: the listing every scan of this path holds on the driver.
+        listing = (
             spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-            .option("recursiveFileLookup", "true").load(root).inputFiles()
+            .option("recursiveFileLookup", "true").load(root)
+            .select("path", "modificationTime")
         )
+        files = [r["path"] for r in listing.orderBy("modificationTime", "path").collect()]
     half = len(files) // 2
     return (
         _agreeing_files(spark, root, files[:half]) + _agreeing_files(spark, root, files[half:])

@@ -112,7 +112,7 @@ LABELLED = "\n".join([
     "sif-7;i;i;Early;1.0;01-Feb-2026",
     "Scheme Code;ISIN;ISIN;Scheme Name;NAV;Date",
     "Open Ended Schemes(Equity Oriented Investment Strategies - Long-Short Fund - Ex (Top) 100)",
-    "Altiva SIF",
+    "First House SIF",
     "SIF-1;i;i;One;10.0;01-Feb-2026",
     "SIF-2;i;i;Two;bad;01-Feb-2026",
     "Second House",
@@ -123,7 +123,7 @@ LABELLED = "\n".join([
     "SIF-5;i;i;Five;50.0;01-Feb-2026",
 ])
 LABELLED_ROWS = [
-    ("SIF-1", "Altiva SIF", "Long-Short Fund - Ex (Top) 100", "One"),
+    ("SIF-1", "First House SIF", "Long-Short Fund - Ex (Top) 100", "One"),
     ("SIF-3", "Second House", "Long-Short Fund - Ex (Top) 100", "Three"),
     ("SIF-4", "Second House", "Hybrid", "Four"),
     ("SIF-5", "Open Ended Schemes without brackets", "Hybrid", "Five"),

@@ -205,20 +205,20 @@ def test_chunks_cover_the_span_without_gaps(spark, nav_of):
     assert sum(c["nav_rows"] for c in chunks) == 3
 
 
-CATALOGUE = [("HDFC Mutual Fund", 9), ("quant Mutual Fund", 13), ("Quantum Mutual Fund", 41),
-             ("Axis Mutual Fund", 53), ("The Wealth Company Mutual Fund", 83)]
+CATALOGUE = [("Harbor Mutual Fund", 9), ("quill Mutual Fund", 13), ("Quillon Mutual Fund", 41),
+             ("Aspen Mutual Fund", 53), ("The Garden Company Mutual Fund", 83)]
 
 
 @pytest.mark.parametrize("name, code, error", [
-    ("HDFC", 9, None), (" hdfc mutual FUND ", 9, None), ("quant", 13, None),
-    ("Quantum", 41, None), ("quantu", 41, None), ("qua", None, "ambiguous"),
-    ("Nobody", None, "unknown"), ("The Wealth Co.", 83, None), ("the wealth co.", None, "unknown"),
-    ("", None, "ambiguous"), ("Axis M", 53, None),
+    ("Harbor", 9, None), (" harbor mutual FUND ", 9, None), ("quill", 13, None),
+    ("Quillon", 41, None), ("quillo", 41, None), ("qui", None, "ambiguous"),
+    ("Nobody", None, "unknown"), ("The Garden Co.", 83, None), ("the garden co.", None, "unknown"),
+    ("", None, "ambiguous"), ("Aspen M", 53, None),
 ])
 def test_resolve_company(spark, name, code, error):
     catalogue = spark.createDataFrame(CATALOGUE, "name string, code long")
     aliases = spark.createDataFrame(
-        [("The Wealth Co.", "The Wealth Company Mutual Fund")], "alias string, name string"
+        [("The Garden Co.", "The Garden Company Mutual Fund")], "alias string, name string"
     )
     names = spark.createDataFrame([(name,), (name,)], "name string")
     (row,) = companies.resolve_company(names, catalogue, aliases).collect()
@@ -227,9 +227,9 @@ def test_resolve_company(spark, name, code, error):
 
 def test_company_candidates_and_unresolved(spark, master_of):
     catalogue = spark.createDataFrame(CATALOGUE, "name string, code long")
-    names = spark.createDataFrame([("qua",), ("HDFC",)], "name string")
+    names = spark.createDataFrame([("qui",), ("Harbor",)], "name string")
     assert sorted(r["code"] for r in
                   companies.company_candidates(names, catalogue).collect()) == [13, 41]
-    master = master_of(("1", "HDFC", "C", "x"), ("2", "Nobody", "C", "x"), ("3", None, "C", "x"))
+    master = master_of(("1", "Harbor", "C", "x"), ("2", "Nobody", "C", "x"), ("3", None, "C", "x"))
     assert [(r["fund_house"], r["error"]) for r in
             companies.unresolved_companies(master, catalogue).collect()] == [("Nobody", "unknown")]
