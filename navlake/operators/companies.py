@@ -10,7 +10,8 @@ def resolve_company(
 ) -> DataFrame:
     """Distinct ``name`` values with the company they mean, or an error text.
 
-    Tried in order: alias, full name in any case, name without its suffix, unique prefix.
+    ``key`` is what is looked up: the name after aliases, in lower case. Tried in order:
+    full name in any case, name without its suffix, unique prefix.
     A prefix is looked up with an equi-join against the prefixes of the catalogue names,
     already counted per prefix, so no pair of names is ever compared.
     ``catalogue`` holds ``name`` and a unique ``code``; ``aliases`` maps ``alias`` to ``name``.
@@ -35,7 +36,7 @@ def resolve_company(
         .agg(F.count(F.lit(1)).alias("candidates"), F.min("code").alias("prefix_code"))
     )
     resolved = found.join(prefixes, "key", "left").select(
-        "name",
+        "name", "key",
         F.coalesce("exact_code", F.when(F.col("candidates") == 1, F.col("prefix_code")))
         .alias("code"),
         F.when(F.col("exact_code").isNotNull(), F.lit(1))
@@ -46,23 +47,27 @@ def resolve_company(
         .when(F.col("candidates") == 0, F.lit("unknown"))
     )
     return resolved.join(listed.select("code", "company"), "code", "left").select(
-        "name", "company", "code", "candidates", error.alias("error")
+        "name", "key", "company", "code", "candidates", error.alias("error")
     )
 
 
 def company_candidates(
     names: DataFrame, catalogue: DataFrame, aliases: DataFrame | None = None
 ) -> DataFrame:
-    """The companies each ambiguous name could mean, one row per candidate."""
+    """The companies behind each ambiguous ``key``, one row per candidate.
+
+    Keys are distinct, so a company appears at most once per letter of its name, however
+    many names ask.
+    """
     ambiguous = (
-        resolve_company(names, catalogue, aliases).where("error = 'ambiguous'").select("name")
+        resolve_company(names, catalogue, aliases).where("error = 'ambiguous'")
+        .select("key").distinct()
     )
-    keyed = _keyed(ambiguous, aliases)
-    listed = catalogue.select(F.col("name").alias("company"), "code",
-                              F.lower("name").alias("lower_name"))
-    return (
-        keyed.join(_prefixes(listed, "company"), "key")
-        .select("name", "company", "code")
+    listed = catalogue.select(
+        F.col("name").alias("company"), "code", F.lower("name").alias("lower_name")
+    )
+    return _prefixes(listed, "company").join(ambiguous, "key", "left_semi").select(
+        "key", "company", "code"
     )
 
 

@@ -51,10 +51,7 @@ def load_rows(
         return False
     day = ingest_date or dt.date.today()
     history.write_raw(rows, lake.raw, source, day)
-    stored = spark.read.parquet(lake.raw).where(
-        (F.col("ingest_date") == F.lit(day).cast("date")) & (F.col("source") == source)
-        & F.col("year").isin(years)
-    )
+    stored = history.read_load(spark, lake.raw, source, day, years)
     history.merge_nav_history(spark, stored, lake.history, FEED_ORDER)
     if set(LABEL_COLUMNS) <= set(rows.columns):
         master_table.refresh_scheme_master(spark, stored, lake.master, FEED_ORDER)

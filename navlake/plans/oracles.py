@@ -389,19 +389,19 @@ prefixed AS (
   SELECT k.name, c.company, c.code FROM keyed k JOIN companies c ON starts_with(c.full_name, k.key)
   WHERE k.name NOT IN (SELECT name FROM exact)),
 counted AS (
-  SELECT k.name, CASE WHEN e.code IS NOT NULL THEN 1 ELSE coalesce(p.n, 0) END AS candidates,
+  SELECT k.name, k.key, CASE WHEN e.code IS NOT NULL THEN 1 ELSE coalesce(p.n, 0) END AS candidates,
          coalesce(e.code, CASE WHEN p.n = 1 THEN p.code END) AS code
   FROM keyed k LEFT JOIN exact e USING (name)
   LEFT JOIN (SELECT name, count(*) AS n, min(code) AS code FROM prefixed GROUP BY 1) p
     USING (name)),
 resolved AS (
-  SELECT name, c.company, code, CAST(candidates AS BIGINT) AS candidates,
+  SELECT name, key, c.company, code, CAST(candidates AS BIGINT) AS candidates,
          CASE WHEN candidates > 1 THEN 'ambiguous' WHEN candidates = 0 THEN 'unknown' END AS error
   FROM counted LEFT JOIN companies c USING (code))"""
 _add("resolve_company", [COMPANIES, NAMES, RESOLVED], "SELECT * FROM resolved")
 _add("company_candidates", [COMPANIES, NAMES, RESOLVED], """
-  SELECT name, company, code FROM prefixed
-  WHERE name IN (SELECT name FROM resolved WHERE error = 'ambiguous')""")
+  SELECT DISTINCT r.key, p.company, p.code FROM prefixed p JOIN resolved r USING (name)
+  WHERE r.error = 'ambiguous'""")
 _add("unresolved_companies", [COMPANIES, HOUSES, RESOLVED], """
   SELECT name AS fund_house, candidates, error FROM resolved WHERE error IS NOT NULL""")
 

@@ -6,6 +6,7 @@ tasks leave the old data readable until then.
 """
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -92,6 +93,8 @@ def write_raw(
     Rows are rebalanced by year: adaptive execution joins small years and splits large
     ones into files of the advisory partition size.
     """
+    if not re.fullmatch(r"[\w.-]+", source):
+        raise ValueError(f"source '{source}' must serve as a directory name")
     placed = rows.withColumns({
         "year": F.year("nav_date"),
         "ingest_date": as_of_date(ingest_date),
@@ -100,6 +103,14 @@ def write_raw(
     _replace_partitions(placed, path, ["year", "ingest_date", "source"])
 
 
+def read_load(
+    spark: SparkSession, path: str, source: str, ingest_date: dt.date | str, years: list[int]
+) -> DataFrame:
+    """The raw rows of one load, read from its own directories only."""
+    places = [f"{path}/year={y}/ingest_date={ingest_date}/source={source}" for y in sorted(years)]
+    return spark.read.option("basePath", path).parquet(*places)
+
+
 def write_flat(rows: DataFrame, path: str) -> None:
     """An unpartitioned copy for inspection."""
     rows.write.mode("overwrite").parquet(path)

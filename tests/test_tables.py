@@ -159,6 +159,11 @@ def test_raw_rerun_replaces_itself_only(spark, nav_of, tmp_path):
     assert sorted(map(tuple, rows)) == [("a", 1.0), ("a", 9.0), ("b", 2.0), ("c", 3.0)]
 
 
+def test_raw_source_must_be_a_directory_name(nav_of, tmp_path):
+    with pytest.raises(ValueError):
+        history.write_raw(nav_of(("a", "2024-01-01", 1)), str(tmp_path), "a/b")
+
+
 def test_raw_files_of_different_schemas(spark, nav_of, tmp_path):
     raw = str(tmp_path / "raw")
 
