@@ -25,43 +25,54 @@ PART_DIGESTS = 8
 
 #: Parts into which one retry deals at most; what is still stuck is dealt again.
 PARTS = 64
-RETRIES = 4
+RETRIES = 2
 
 ROUNDS = 6
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is referred to."""
+    return F.transform(F.array(value), use)[0]
+
+
 def digests(text: Column) -> Column:
     """Distinct digests of a text's paragraphs: a repeated one counts by its occurrence."""
     hashed = F.sort_array(F.transform(F.split(text, PARAGRAPH, -1), lambda p: F.xxhash64(p)))
-    return F.transform(
-        F.sequence(F.lit(1), F.size(hashed)),
-        lambda i: F.xxhash64(F.element_at(hashed, i), i - F.array_position(hashed, F.element_at(hashed, i))))
+    return _bound(hashed, lambda all_: F.transform(
+        all_, lambda h, i: F.xxhash64(h, i + 1 - F.array_position(all_, h))))
 
 
-def _check(key: Column) -> Column:
-    return F.xxhash64(key, F.lit(-1))
+def _placed(keys: Column, cells: int, level: int) -> Column:
+    """Each key with its check sum and its cell in each section; ``cells`` is a power of two."""
 
+    def place(key: Column) -> Column:
+        def cell(bits: Column, section: int) -> Column:
+            return F.shiftrightunsigned(bits, 16 * section).bitwiseAND(cells - 1).cast("int") + section * cells
 
-def _cell_of(key: Column, section: int, cells: int, level: int) -> Column:
-    bits = F.xxhash64(key, F.lit(level)) if level else key
-    return F.pmod(F.shiftrightunsigned(bits, 16 * section), F.lit(cells))
+        return _bound(F.xxhash64(key, F.lit(level)), lambda bits: F.struct(
+            key.alias("key"), F.xxhash64(key, F.lit(-1)).alias("check"),
+            *[cell(bits, section).alias(f"at{section}") for section in range(SECTIONS)]))
 
+    return F.transform(keys, place)
 
-def sketch(keys: Column, cells: int = BASE_CELLS, level: int = 0) -> Column:
-    """Array of cells ``n, key, check``, section by section."""
-    empty = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("check"))
 
-    def add(cell: Column, key: Column) -> Column:
-        return F.struct(
-            (cell["n"] + 1).alias("n"), cell["key"].bitwiseXOR(key).alias("key"),
-            cell["check"].bitwiseXOR(_check(key)).alias("check"))
+def _is_at(placed: Column, cell: Column) -> Column:
+    return (placed["at0"] == cell) | (placed["at1"] == cell) | (placed["at2"] == cell)
 
-    def cells_of(section: int) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(cells - 1)),
-            lambda c: F.aggregate(F.filter(keys, lambda k: _cell_of(k, section, cells, level) == c), empty, add))
 
-    return F.concat(*[cells_of(section) for section in range(SECTIONS)])
+def _change(cell: Column, placed: Column, by: Column) -> Column:
+    return F.struct(
+        (cell["n"] + by).alias("n"), cell["key"].bitwiseXOR(placed["key"]).alias("key"),
+        cell["check"].bitwiseXOR(placed["check"]).alias("check"))
+
+
+def sketch(keys: Column, cells: int = BASE_CELLS, level: int = 0) -> Column:
+    """Array of cells ``n, key, check``, section by section."""
+    empty = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("check"))
+    return _bound(_placed(keys, cells, level), lambda placed: F.transform(
+        F.sequence(F.lit(0), F.lit(SECTIONS * cells - 1)),
+        lambda c: F.aggregate(
+            F.filter(placed, lambda k: _is_at(k, c)), empty, lambda cell, k: _change(cell, k, F.lit(1)))))
 
 
 def subtract(left: Column, right: Column) -> Column:
@@ -74,20 +85,19 @@ def peel(difference: Column, cells: int = BASE_CELLS, level: int = 0) -> Column:
     """Array of ``key, n`` (1 only left, -1 only right) that differ; null if peeling gets stuck."""
 
     def turn(state: Column, _: Column) -> Column:
-        single = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"])))
-        found = F.array_distinct(F.transform(single, lambda c: F.struct(c["key"].alias("key"), c["n"].alias("n"))))
-
-        def less(cell: Column, at: Column) -> Column:
-            here = lambda x: F.when(at < cells, _cell_of(x["key"], 0, cells, level)) \
-                .when(at < 2 * cells, _cell_of(x["key"], 1, cells, level) + cells) \
-                .otherwise(_cell_of(x["key"], 2, cells, level) + 2 * cells) == at
-            return F.aggregate(F.filter(found, here), cell, lambda c, x: F.struct(
-                (c["n"] - x["n"]).alias("n"), c["key"].bitwiseXOR(x["key"]).alias("key"),
-                c["check"].bitwiseXOR(_check(x["key"])).alias("check")))
-
-        return F.struct(
-            F.when(F.size(found) > 0, F.transform(state["cells"], less)).otherwise(state["cells"]).alias("cells"),
-            F.concat(state["found"], found).alias("found"))
+        single = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (
+            c["check"] == F.xxhash64(c["key"], F.lit(-1))))
+        freed = F.array_distinct(F.transform(single, lambda c: F.struct(c["key"].alias("key"), c["n"].alias("n"))))
+        return _bound(freed, lambda found: F.when(F.size(found) > 0, taken(state, found)).otherwise(state))
+
+    def taken(state: Column, found: Column) -> Column:
+        placed = F.zip_with(
+            _placed(found["key"], cells, level), found["n"],
+            lambda p, n: F.struct(p["key"].alias("key"), p["check"].alias("check"), p["at0"].alias("at0"),
+                                  p["at1"].alias("at1"), p["at2"].alias("at2"), (-n).alias("by")))
+        left = _bound(placed, lambda freed: F.transform(state["cells"], lambda cell, at: F.aggregate(
+            F.filter(freed, lambda k: _is_at(k, at)), cell, lambda c, k: _change(c, k, k["by"]))))
+        return F.struct(left.alias("cells"), F.concat(state["found"], found).alias("found"))
 
     start = F.struct(difference.alias("cells"), F.array().cast("array<struct<key:bigint,n:int>>").alias("found"))
     return F.aggregate(
