@@ -19,5 +19,11 @@ def mean_of_rounded(value: Column) -> Column:
     return F.bround(F.try_divide(total, F.count(value)), 4)
 
 
+def mean_price(value: Column) -> Column:
+    """Mean of prices rounded to 4 places; summed in decimals, as ``mean_of_rounded``."""
+    total = F.sum(value.cast("decimal(28,8)")).cast("double")
+    return F.round(F.try_divide(total, F.count(value)), 4)
+
+
 def percent(part: Column, whole: Column) -> Column:
     return F.bround(F.coalesce(F.try_divide(part, whole) * F.lit(100.0), F.lit(0.0)), 1)

@@ -48,8 +48,16 @@ def nav_asof_join(
     it; those get their answer through an equi-join that adaptive execution can split.
     """
     asked = targets.select("scheme_code", F.col("target_date").alias("at")).distinct()
+    # Only asked schemes can match, and only up to the last target (or from the first one).
+    edge = F.max if direction == BACKWARD else F.min
+    bound = targets.agg(edge("target_date")).scalar()
+    near = nav.join(asked.select("scheme_code").distinct(), "scheme_code", "left_semi").where(
+        reaches(F.col("nav_date"), bound, direction, exclusive))
+    if "year" in nav.columns:
+        year = F.col("year")
+        near = near.where(year <= F.year(bound) if direction == BACKWARD else year >= F.year(bound))
     stream = (
-        nav.select(
+        near.select(
             "scheme_code", F.col("nav_date").alias("at"),
             F.struct("nav_date", "nav").alias("found"), F.lit(False).alias("is_target"),
         )

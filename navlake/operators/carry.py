@@ -2,15 +2,19 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from navlake.session import cut_lineage
+
 
 def carry_forward(lines: DataFrame, columns: list[str]) -> DataFrame:
     """Fill each null in ``columns`` with the last non-null value above it in its file.
 
     ``feed_file``, ``feed_block`` and ``feed_row`` give the order. Windows run inside one
     block (one input split), so the largest task is a split however large a file grows.
-    What a block inherits comes from one summary row per block, reduced inside the tasks
-    that read it and joined back on the keys the rows are already partitioned by.
+    What a block inherits comes from one summary row per block. The lines are written once,
+    as parsed, and both the windows and the summary read that, so the text is scanned and
+    parsed once.
     """
+    lines = cut_lineage(lines)
     block = ["feed_file", "feed_block"]
     inside = (
         Window.partitionBy(*block).orderBy("feed_row")

@@ -30,10 +30,11 @@ def resolve_company(
     found = keyed.join(exact, "key", "left")
 
     open_keys = found.where("exact_code is null").select("key").distinct()
+    # Counted before they are joined: a short prefix that every name has is one row per task.
     prefixes = (
-        _prefixes(listed).join(open_keys, "key", "left_semi")
-        .groupBy("key")
+        _prefixes(listed).groupBy("key")
         .agg(F.count(F.lit(1)).alias("candidates"), F.min("code").alias("prefix_code"))
+        .join(open_keys, "key", "left_semi")
     )
     resolved = found.join(prefixes, "key", "left").select(
         "name", "key",

@@ -1,6 +1,6 @@
 """Row selection by key: unique NAV rows, last-write labels, duplicate counts."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from navlake.schema import KEY, MASTER_COLUMNS
 
@@ -26,8 +26,36 @@ def dedupe_nav(nav: DataFrame, order_by: list[str | Column] = ()) -> DataFrame:
 
     ``order_by`` lists the ingest order, most significant first. Columns that are neither
     key, ``nav`` nor order are dropped.
+
+    Whole-number orders are an ingest number: they become one fixed-width decimal, on which a
+    hash aggregate keeps a NAV without sorting the table, and so do orders by nothing but the
+    NAV. Such a number names one row; rows that repeat it repeat the row.
     """
-    return keep_greatest(nav, KEY, list(order_by), ["nav"])
+    if not order_by:
+        return nav.groupBy(*KEY).agg(F.max("nav").alias("nav"))
+    number = ingest_number(nav, list(order_by))
+    if number is None:
+        return keep_greatest(nav, KEY, list(order_by), ["nav"])
+    return nav.groupBy(*KEY).agg(F.max_by("nav", number).alias("nav"))
+
+
+# Decimal digits that hold every value of a type, sign aside.
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def ingest_number(rows: DataFrame, order_by: list[str | Column]) -> Column | None:
+    """One decimal that orders like the whole-number columns do, or None for other columns."""
+    if not all(isinstance(c, str) for c in order_by):
+        return None
+    digits = [_DIGITS.get(type(rows.schema[c].dataType)) for c in order_by]
+    if None in digits or sum(digits) > 38:
+        return None
+    number = F.lit(0).cast("decimal(38,0)")
+    for column, width in zip(order_by, digits):
+        # Nulls order first, below every value.
+        value = F.coalesce(F.col(column).cast("decimal(38,0)"), F.lit(str(1 - 10 ** width)).cast("decimal(38,0)"))
+        number = (number * F.lit(str(10 ** width)).cast("decimal(38,0)") + value).cast("decimal(38,0)")
+    return number
 
 
 def duplicate_stats(nav: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ Two conventions, one per asset class:
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from navlake.functions.arithmetic import mean_of_rounded, point_to_point_return
 from navlake.functions.periods import PERIODS, Period, as_of_date, parse_period
@@ -23,13 +23,10 @@ from navlake.schema import RETURN_COLUMNS
 
 AS_OF, LAST_NAV = "asof_backward", "last_nav_forward"
 
-# Anchors (one code and date per scheme) are broadcast while at most this many schemes are
-# asked for; beyond it a window over the scheme's rows finds the anchor.
-BROADCAST_ANCHORS = 500_000
-
-# Fixed value: days a first NAV may lie after the start boundary under require_full_window.
+# Days a first NAV may lie after the start boundary under require_full_window, by default.
 FULL_WINDOW_SLACK = 10
 
+# The columns that may sort a category's returns.
 SORT_COLUMNS = ("return_pct", "scheme_name", "fund_house", "start_nav", "end_nav")
 
 
@@ -40,19 +37,19 @@ def fund_returns(
     convention: str = LAST_NAV,
     as_of: dt.date | str | None = None,
     codes: str | list[str] | DataFrame | None = None,
-    anchors: str = "auto",
     require_full_window: bool = False,
+    full_window_slack: int = FULL_WINDOW_SLACK,
 ) -> DataFrame:
     """One row per asked scheme and period; failures are an ``error`` text, not an exception.
 
     ``codes`` is a code, a short list, a DataFrame of ``scheme_code``, or None for the
-    whole master. ``anchors`` picks how last-NAV dates reach the rows: ``broadcast``,
-    ``window``, or ``auto``, which counts the asked schemes.
+    whole master. ``require_full_window`` turns a window that starts more than
+    ``full_window_slack`` days before the first NAV into an error row.
     """
     wanted = [parse_period(p) for p in ([periods] if isinstance(periods, str) else periods)]
     codes = [codes] if isinstance(codes, str) else codes
-    mine = _rows_of(nav, codes)
     requested = _requested(master, codes)
+    mine = _rows_of(nav, codes, requested)
     known = master.withColumn("in_master", F.lit(True))
     asked = known if codes is None else requested.join(known, "scheme_code", "left")
     if convention == AS_OF:
@@ -60,7 +57,7 @@ def fund_returns(
         wide = _wide_as_of(mine, wanted, today)
     elif convention == LAST_NAV:
         today = None
-        wide = _wide_last_nav(_with_anchor(mine, requested, anchors), wanted)
+        wide = _wide_last_nav(_with_anchor(mine), wanted)
     else:
         raise ValueError(f"convention must be '{AS_OF}' or '{LAST_NAV}', not '{convention}'")
 
@@ -69,7 +66,7 @@ def fund_returns(
         "first_date", "end_date", "end_nav",
         F.inline(F.array(*[_period_struct(i, p, today) for i, p in enumerate(wanted)])),
     )
-    return _finish(long, today, require_full_window)
+    return _finish(long, today, full_window_slack if require_full_window else None)
 
 
 def returns_grid(nav: DataFrame, master: DataFrame, **options) -> DataFrame:
@@ -109,6 +106,7 @@ def category_returns_summary(returns: DataFrame) -> DataFrame:
 
 def one_category_summary(returns: DataFrame, category: str) -> DataFrame:
     """The same for one asked category: always one row, an unknown name is an error text."""
+    # Fixed value: error text.
     unknown = (
         f"No funds found for category '{category}'. Use list_categories() to see valid names."
     )
@@ -155,13 +153,14 @@ def _requested(master: DataFrame, codes: list[str] | DataFrame | None) -> DataFr
     return master.sparkSession.createDataFrame([(c,) for c in codes], "scheme_code string")
 
 
-def _rows_of(nav: DataFrame, codes: list[str] | DataFrame | None) -> DataFrame:
-    """History rows of the asked schemes, restricted before anything is aggregated."""
-    if codes is None:
-        return nav
-    if isinstance(codes, DataFrame):
-        return nav.join(codes.select("scheme_code").distinct(), "scheme_code", "left_semi")
-    return nav.where(F.col("scheme_code").isin(codes))
+def _rows_of(nav: DataFrame, codes: list[str] | DataFrame | None, requested: DataFrame) -> DataFrame:
+    """History rows of the asked schemes, restricted before anything is aggregated.
+
+    A short list becomes a condition that the scan can use to skip row groups.
+    """
+    if isinstance(codes, list):
+        return nav.where(F.col("scheme_code").isin(codes))
+    return nav.join(requested.distinct(), "scheme_code", "left_semi")
 
 
 def _wide_as_of(nav: DataFrame, periods: list[Period], today: Column) -> DataFrame:
@@ -189,24 +188,14 @@ def _wide_as_of(nav: DataFrame, periods: list[Period], today: Column) -> DataFra
     return rows.groupBy("scheme_code").agg(*columns)
 
 
-def _with_anchor(nav: DataFrame, requested: DataFrame, how: str) -> DataFrame:
+def _with_anchor(nav: DataFrame) -> DataFrame:
     """History rows with their scheme's last date.
 
-    A scheme has one row per calendar day at most, so the window's groups stay small; the
-    broadcast form shuffles only per-scheme aggregates but reads the history twice.
+    The last date is a hash aggregate and comes back by a plain join, which Spark broadcasts
+    when the schemes turn out few and otherwise does on the key.
     """
-    if how == "auto":
-        how = "broadcast" if requested.count() <= BROADCAST_ANCHORS else "window"
-    if how == "window":
-        scheme = Window.partitionBy("scheme_code")
-        return nav.withColumn("anchor", F.max("nav_date").over(scheme))
-    if how != "broadcast":
-        raise ValueError(f"anchors must be 'auto', 'broadcast' or 'window', not '{how}'")
-    last = (
-        nav.groupBy("scheme_code").agg(F.max("nav_date").alias("anchor"))
-        .join(requested.distinct(), "scheme_code", "left_semi")
-    )
-    return nav.join(F.broadcast(last), "scheme_code")
+    last = nav.groupBy("scheme_code").agg(F.max("nav_date").alias("anchor"))
+    return nav.join(last, "scheme_code")
 
 
 def _wide_last_nav(anchored: DataFrame, periods: list[Period]) -> DataFrame:
@@ -247,7 +236,7 @@ def _period_struct(i: int, period: Period, today: Column | None) -> Column:
     )
 
 
-def _finish(long: DataFrame, today: Column | None, require_full_window: bool) -> DataFrame:
+def _finish(long: DataFrame, today: Column | None, slack: int | None) -> DataFrame:
     """Error texts in their fixed order, then the return of the rows without one."""
     lacks_start = F.col("start_nav_date").isNull()
     # Error texts.
@@ -271,8 +260,8 @@ def _finish(long: DataFrame, today: Column | None, require_full_window: bool) ->
                 F.lit("No NAV data on or before "), today.cast("string")))
         )
         end_shown = F.col("in_master").isNotNull() & ~lacks_start
-    if require_full_window:
-        late = F.col("first_date") > F.date_add("boundary", FULL_WINDOW_SLACK)
+    if slack is not None:
+        late = F.col("first_date") > F.date_add("boundary", slack)
         error = error.when(late, F.concat(
             F.lit("History starts only on "), F.col("first_date").cast("string")))
     start_shown = F.col("in_master").isNotNull()

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from navlake.functions.arithmetic import mean_price
 from navlake.operators.labels import label_nav
 from navlake.schema import LABEL_COLUMNS
 
@@ -34,7 +35,7 @@ def category_summary(latest: DataFrame) -> DataFrame:
         .groupBy("category")
         .agg(
             F.count_distinct("scheme_code").alias("total_schemes"),
-            F.round(F.avg("nav"), 4).alias("avg_latest_nav"),
+            mean_price(F.col("nav")).alias("avg_latest_nav"),
             F.round(F.min("nav"), 4).alias("min_latest_nav"),
             F.round(F.max("nav"), 4).alias("max_latest_nav"),
             F.max("nav_date").alias("data_as_of"),

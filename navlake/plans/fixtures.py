@@ -59,9 +59,13 @@ def nav_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels of four parts in five; PROMO stands for no category."""
-    return table(spark, sf_dir, "part").where("p_size <= 40").select(
-        F.col("p_partkey").cast("string").alias("scheme_code"),
+    """Labels of every part; PROMO stands for no category.
+
+    A part in five has a code that no NAV row has, so its own rows are unlabelled.
+    """
+    code = F.col("p_partkey").cast("string")
+    return table(spark, sf_dir, "part").select(
+        F.when(F.col("p_size") <= 40, code).otherwise(F.concat(F.lit("U"), code)).alias("scheme_code"),
         F.col("p_brand").alias("fund_house"),
         F.nullif(F.col("p_type"), F.lit("PROMO")).alias("category"),
         F.col("p_name").alias("scheme_name"),

@@ -28,13 +28,14 @@ EVENTS_RAW = """events_raw AS (
          value AS nav, event_id FROM events)"""
 NAV_EVENTS = f"{EVENTS_RAW}, {_unique('events_raw', 'event_id DESC', 'nav')}"
 MASTER = """master AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS scheme_code, p_brand AS fund_house,
-         nullif(p_type, 'PROMO') AS category, p_name AS scheme_name
-  FROM part WHERE p_size <= 40)"""
+  SELECT CASE WHEN p_size <= 40 THEN '' ELSE 'U' END || CAST(p_partkey AS VARCHAR) AS scheme_code,
+         p_brand AS fund_house, nullif(p_type, 'PROMO') AS category, p_name AS scheme_name
+  FROM part)"""
 LATEST = """latest AS (
-  SELECT n.scheme_code, n.nav_date, n.nav, m.fund_house, m.category, m.scheme_name
-  FROM nav n JOIN (SELECT scheme_code, max(nav_date) AS nav_date FROM nav GROUP BY 1) x
-    USING (scheme_code, nav_date) LEFT JOIN master m USING (scheme_code))"""
+  SELECT d.*, fund_house, category, scheme_name
+  FROM (SELECT scheme_code, nav_date, nav FROM nav
+        QUALIFY rank() OVER (PARTITION BY scheme_code ORDER BY nav_date DESC) = 1) d
+  NATURAL LEFT JOIN master)"""
 
 
 def _add(name: str, ctes: list[str], select: str) -> None:
@@ -69,7 +70,7 @@ _add("deep_history_universe", [NAV_RAW, MASTER], """
   SELECT scheme_code, min(nav_date) AS first_nav_date FROM nav_raw
   WHERE scheme_code IN (SELECT scheme_code FROM master)
   GROUP BY 1 HAVING min(nav_date) <= DATE '1995-02-01'""")
-_add("flatten_universe", [MASTER], "SELECT * FROM master WHERE category IS NOT NULL")
+_add("flatten_universe", [MASTER], "SELECT * REPLACE (coalesce(category, 'PROMO') AS category) FROM master")
 _add("universe_codes", [NAV_RAW], "SELECT DISTINCT scheme_code FROM nav_raw")
 _add("upsert_scheme_master", [MASTER], """
   SELECT scheme_code, fund_house, category, scheme_name FROM (
@@ -85,19 +86,21 @@ _add("upsert_scheme_master", [MASTER], """
 # Latest prices and summaries.
 
 _add("latest_nav", [NAV, MASTER, LATEST], "SELECT * FROM latest")
-_add("latest_nav_with_ties", [EVENTS_RAW, MASTER, LATEST.replace("nav n JOIN", "events_raw n JOIN")
-     .replace("FROM nav GROUP", "FROM events_raw GROUP")], "SELECT * FROM latest")
+_add("latest_nav_with_ties", [EVENTS_RAW, MASTER, LATEST.replace("FROM nav\n", "FROM events_raw\n")],
+     "SELECT * FROM latest")
 _add("category_summary", [NAV, MASTER, LATEST], """
-  SELECT category, count(DISTINCT scheme_code) AS total_schemes,
-         round(avg(nav), 4) AS avg_latest_nav, round(min(nav), 4) AS min_latest_nav,
-         round(max(nav), 4) AS max_latest_nav, max(nav_date) AS data_as_of
-  FROM latest WHERE category IS NOT NULL GROUP BY category""")
+  SELECT category, len(list_distinct(list(scheme_code))) AS total_schemes,
+         round(CAST(sum(CAST(nav AS DECIMAL(28, 8))) AS DOUBLE) / count(nav), 4) AS avg_latest_nav,
+         round(list_min(list(nav)), 4) AS min_latest_nav,
+         round(list_max(list(nav)), 4) AS max_latest_nav, max(nav_date) AS data_as_of
+  FROM latest GROUP BY ALL HAVING category IS NOT NULL""")
 _add("fund_house_summary", [NAV, MASTER, LATEST], """
-  SELECT fund_house, count(DISTINCT category) AS categories_present,
-         count(DISTINCT scheme_code) AS total_schemes,
-         string_agg(DISTINCT category, ', ' ORDER BY category) AS categories,
-         max(nav_date) AS data_as_of
-  FROM latest WHERE fund_house IS NOT NULL GROUP BY fund_house""")
+  SELECT fund_house, len(kinds) AS categories_present, total_schemes,
+         nullif(array_to_string(kinds, ', '), '') AS categories, data_as_of
+  FROM (SELECT fund_house, coalesce(list_sort(list_distinct(list(category))), []) AS kinds,
+               len(list_distinct(list(scheme_code))) AS total_schemes, max(nav_date) AS data_as_of
+        FROM latest GROUP BY ALL)
+  WHERE fund_house IS NOT NULL""")
 _add("schemes_per_category", [MASTER],
      "SELECT category, count(*) AS schemes FROM master GROUP BY 1")
 _add("scheme_span", [NAV_RAW], """
@@ -133,7 +136,7 @@ _add("sql_views", [NAV, MASTER, LATEST], """
   SELECT l.scheme_code, l.nav_date, l.nav, c.category, c.total_schemes, f.fund_house,
          f.categories_present
   FROM latest l
-  JOIN (SELECT category, count(DISTINCT scheme_code) AS total_schemes, round(avg(nav), 4) AS a
+  JOIN (SELECT category, count(DISTINCT scheme_code) AS total_schemes, round(CAST(sum(CAST(nav AS DECIMAL(28, 8))) AS DOUBLE) / count(nav), 4) AS a
         FROM latest WHERE category IS NOT NULL GROUP BY 1) c ON l.category = c.category
   JOIN (SELECT fund_house, count(DISTINCT category) AS categories_present
         FROM latest WHERE fund_house IS NOT NULL GROUP BY 1) f ON l.fund_house = f.fund_house

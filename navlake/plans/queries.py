@@ -76,9 +76,9 @@ def deep_history_universe(spark, d):
 
 @query
 def flatten_universe(spark, d):
-    pieces = fx.master(spark, d).where("category is not null").select(
+    pieces = fx.master(spark, d).select(
         F.create_map(
-            "category", F.array(F.struct("scheme_code", "fund_house", "scheme_name"))
+            F.coalesce("category", F.lit("PROMO")), F.array(F.struct("scheme_code", "fund_house", "scheme_name"))
         ).cast(UNIVERSE_TYPE).alias("universe")
     )
     return universe.flatten_universe(pieces)
@@ -210,7 +210,7 @@ def _single_period(period: str, convention: str, name: str) -> None:
     def run(spark, d):
         return returns.fund_returns(
             fx.nav_zero(spark, d), fx.master(spark, d), period, convention,
-            as_of=fx.AS_OF, anchors="window",
+            as_of=fx.AS_OF,
         )
     QUERIES[f"returns_{period.lower()}_{name}"] = run
 
@@ -240,7 +240,7 @@ def returns_errors_last_nav(spark, d):
 def returns_full_window(spark, d):
     return returns.fund_returns(
         fx.nav(spark, d), fx.master(spark, d), ["1Y", "5Y"], returns.LAST_NAV,
-        anchors="window", require_full_window=True,
+        require_full_window=True,
     )
 
 
@@ -254,14 +254,14 @@ def returns_grid_asof(spark, d):
 @query
 def returns_grid_last_nav(spark, d):
     return returns.returns_grid(
-        fx.nav_zero(spark, d), fx.master(spark, d), convention=returns.LAST_NAV, anchors="window"
+        fx.nav_zero(spark, d), fx.master(spark, d), convention=returns.LAST_NAV
     )
 
 
 @query
 def returns_grid_broadcast(spark, d):
     return returns.returns_grid(
-        fx.nav_zero(spark, d), fx.master(spark, d), convention=returns.LAST_NAV, anchors="auto"
+        fx.nav_zero(spark, d), fx.master(spark, d), convention=returns.LAST_NAV
     )
 
 
@@ -566,7 +566,7 @@ def ingest_stream_daily(spark, d):
 
 @query
 def returns_from_lake(spark, d):
-    """Returns over the stored history, anchors broadcast while the master bounds them."""
+    """Returns over the stored history."""
     path = scratch_path(spark, "returns-history")
     history.write_nav_history(fx.nav_raw(spark, d), path, fx.INGEST)
     return returns.returns_grid(tables.read_nav_history(spark, path), fx.master(spark, d))

@@ -1,9 +1,10 @@
 """Session settings and the shared folder for written intermediate tables."""
 
+import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "navlake", cpus: str = "*", partitions: int = 8) -> SparkSession:
@@ -14,12 +15,22 @@ def local_session(app: str = "navlake", cpus: str = "*", partitions: int = 8) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", os.environ.get("NAVLAKE_SCRATCH") or tempfile.mkdtemp(prefix="navlake-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def cut_lineage(frame: DataFrame) -> DataFrame:
+    """The rows of ``frame``, written once to the shared checkpoint folder and read from there."""
+    spark = frame.sparkSession
+    context = spark.sparkContext
+    if not (context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
+        context.setCheckpointDir(scratch_path(spark, "checkpoints"))
+    return frame.checkpoint()
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path for a written intermediate table.
 

@@ -72,7 +72,7 @@ def merge_nav_history(
     key = ["year", "scheme_code", "nav_date"]
     unique = (
         rows.repartitionByRange(*key)
-        .groupBy(*key).agg(F.max(F.struct("rank", "nav"))["nav"].alias("nav"))
+        .groupBy(*key).agg(F.max_by("nav", "rank").alias("nav"))
         .sortWithinPartitions(*key)
     )
     _replace_partitions(unique.select(*NAV_COLUMNS, "year"), path, ["year"])

@@ -28,7 +28,19 @@ def require_tables(spark: SparkSession, *paths: str) -> None:
 
 def read_scheme_master(spark: SparkSession, path: str) -> DataFrame:
     """The label table: its newest version where ``write_scheme_master`` wrote it."""
-    return as_scheme_master(spark.read.parquet(path))
+    found = find_scheme_master(spark, path)
+    return as_scheme_master(spark.read.parquet(path) if found is None else found)
+
+
+def versions_of(path: str) -> str:
+    """Where the versions that replace a plain Parquet master lie."""
+    return f"{path.rstrip('/')}_versions"
+
+
+def find_scheme_master(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table that holds the current labels: versions beside a plain one come first."""
+    later = find_table(spark, versions_of(path))
+    return find_table(spark, path) if later is None else later
 
 
 def as_scheme_master(table: DataFrame) -> DataFrame:

@@ -88,15 +88,13 @@ def market(spark):
     return histories, nav, master
 
 
-@pytest.mark.parametrize("convention, anchors, today", [
-    (AS_OF, "auto", "2024-03-31"), (AS_OF, "auto", "2024-02-29"), (AS_OF, "auto", "2018-06-30"),
-    (LAST_NAV, "window", "2024-03-31"), (LAST_NAV, "broadcast", "2024-03-31"),
-    (LAST_NAV, "auto", "2024-03-31"),
+@pytest.mark.parametrize("convention, today", [
+    (AS_OF, "2024-03-31"), (AS_OF, "2024-02-29"), (AS_OF, "2018-06-30"), (LAST_NAV, "2024-03-31"),
 ])
-def test_grid_equals_the_fund_by_fund_loop(market, convention, anchors, today):
+def test_grid_equals_the_fund_by_fund_loop(market, convention, today):
     histories, nav, master = market
     labels = [*PERIODS, "7Y", "0M", "13M"]
-    rows = returns.fund_returns(nav, master, labels, convention, as_of=today, anchors=anchors)
+    rows = returns.fund_returns(nav, master, labels, convention, as_of=today)
     got = {
         (r["scheme_code"], r["period"]): (
             r["start_nav_date"], r["start_nav"], r["end_nav_date"], r["end_nav"],
@@ -225,8 +223,7 @@ def plan_of(frame):
 
 def test_returns_plan(market):
     _, nav, master = market
-    for options in ({"convention": AS_OF, "as_of": "2024-03-31"}, {"anchors": "broadcast"},
-                    {"anchors": "window"}):
+    for options in ({"convention": AS_OF, "as_of": "2024-03-31"}, {"convention": LAST_NAV}):
         plan = plan_of(returns.returns_grid(nav, master, **options))
         assert "HashAggregate" in plan and "SortAggregate" not in plan
         assert "Python" not in plan
@@ -237,5 +234,3 @@ def test_unknown_convention(market):
     _, nav, master = market
     with pytest.raises(ValueError):
         returns.fund_returns(nav, master, "1Y", "other")
-    with pytest.raises(ValueError):
-        returns.fund_returns(nav, master, "1Y", LAST_NAV, anchors="other")
