@@ -1,0 +1,57 @@
+import zlib
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from navlake.llm import sharding
+from llm_odd import ODD
+
+
+def test_permutation_is_one_for_every_size(spark):
+    for n in (1, 2, 3, 5, 7, 40, 99, 1000):
+        rows = spark.range(n).select(
+            sharding.permuted(F.col("id"), F.lit(n).cast("long")).alias("p")).collect()
+        assert sorted(r["p"] for r in rows) == list(range(n))
+
+
+def check(rows, texts, shards):
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == Counter(
+        (d, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for d, t in texts)
+    slots = {}
+    for r in rows:
+        assert r["law"] == "rows" and r["grown_shard"] is None
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    counts = [len(slots.get(i, [])) for i in range(shards)]
+    assert set(slots) <= set(range(shards)) and max(counts) - min(counts) <= 1
+
+
+def test_odd_rows(odd):
+    check(sharding.shard_documents(odd).collect(), [r[:2] for r in ODD], 40)
+
+
+def test_given_documents_and_reruns(given):
+    texts = [(r["doc_id"], r["text"]) for r in given.collect()]
+    rows = sharding.shard_documents(given).collect()
+    check(rows, texts, 40)
+    again = sharding.shard_documents(given.repartition(7)).collect()
+    place = lambda found: sorted((r["doc_id"], r["shard"], r["slot"]) for r in found)
+    assert place(rows) == place(again)
+
+
+def test_hot_row_and_empty(docs_of, empty):
+    rows = sharding.shard_documents(docs_of(*[(1, "a")] * 300, (2, "b"))).collect()
+    check(rows, [(1, "a")] * 300 + [(2, "b")], 40)
+    assert sharding.shard_documents(empty).collect() == []
+
+
+def test_write(docs_of, tmp_path, spark):
+    sharded = sharding.shard_rows(docs_of(*[(i, f"t{i}") for i in range(50)]), ["doc_id"], 4)
+    sharding.write_shards(sharded, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 50 and {r["shard"] for r in back.select("shard").distinct().collect()} == {0, 1, 2, 3}
+
+
+def test_no_python_in_the_plan(given):
+    plan = sharding.shard_documents(given)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
