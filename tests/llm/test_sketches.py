@@ -1,0 +1,87 @@
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from navlake.llm import sketches
+from llm_odd import ODD
+
+
+def order(d):
+    return -(1 << 63) if d is None else d
+
+
+def pieces(text):
+    out = {}
+    for p in re.split(sketches.PARAGRAPH, text):
+        out[p] = out.get(p, 0) + 1
+    return {(p, i) for p, n in out.items() for i in range(n)}
+
+
+def near(a, b):
+    x, y = pieces(a), pieces(b)
+    return round(1 - len(x ^ y) / (len(x) + len(y)), 9)
+
+
+def by_hand(texts):
+    rows = sorted(((d, t or "") for d, t in texts), key=lambda r: -order(r[0]))
+    out = []
+    for (d, t), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        half = len(t) // 2
+        edited = t[:len(t) - half] + after[:half]
+        out.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(), near(t, edited), near(t, after)))
+    return sorted(out, key=str)
+
+
+def got(frame):
+    rows = frame.collect()
+    return sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"], round(r["near_edited"], 9), round(r["near_next"], 9))
+                   for r in rows), key=str)
+
+
+def test_given(given):
+    texts = [(r["doc_id"], r["text"]) for r in given.collect()]
+    rows = sketches.fingerprint_edits(given)
+    assert got(rows) == by_hand(texts)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_odd_rows(docs_of):
+    # Texts under one doc_id follow each other by their hash: here every id has one text.
+    odd = [(None, None), (1, ""), (2, None), (3, "Same TEXT. here"), (5, "É same text here"),
+           (7, "word. " * 900), (8, "a" * 4000), (9, "🙂" * 3 + " done."), (10, "one.\ntwo.\ntwo.\ntwo."),
+           (10, "one.\ntwo.\ntwo.\ntwo."), (10, "one.\ntwo.\ntwo.\ntwo.")]
+    assert got(sketches.fingerprint_edits(docs_of(*odd))) == by_hand(odd)
+    rows = sketches.fingerprint_edits(docs_of(*ODD)).collect()
+    assert len(rows) == len(ODD)
+    prints = {}
+    for r in rows:
+        prints.setdefault(r["fingerprint"], set()).add(r["n_chars"])
+    assert all(len(n) == 1 for n in prints.values())
+
+
+def test_one_document_and_none(docs_of, empty):
+    row = sketches.fingerprint_edits(docs_of((1, "abcd"))).first()
+    assert row["edited_sha256"] == hashlib.sha256(b"abab").hexdigest() and row["near_next"] == 1.0
+    assert sketches.fingerprint_edits(empty).collect() == []
+
+
+@pytest.mark.parametrize("differing", [0, 1, 3, 5])
+def test_peeling_recovers_the_digests(spark, differing):
+    left = list(range(100, 140))
+    right = left[differing:] + [-x for x in range(differing)]
+    frame = spark.createDataFrame([(left, right)], "l array<long>, r array<long>")
+    cells = sketches.subtract(sketches.sketch(F.col("l"), 32, 1), sketches.sketch(F.col("r"), 32, 1))
+    found = frame.select(sketches.peel(cells, 32, 1).alias("found")).first()["found"]
+    assert {(x["key"], x["n"]) for x in found} == (
+        {(x, 1) for x in left[:differing]} | {(-x, -1) for x in range(differing)})
+
+
+def test_too_small_a_sketch_is_stuck_and_a_larger_one_is_not(spark):
+    frame = spark.createDataFrame([(list(range(300)), list(range(200, 700)))], "l array<long>, r array<long>")
+    small = sketches.subtract(sketches.sketch(F.col("l")), sketches.sketch(F.col("r")))
+    assert frame.select(sketches.peel(small).alias("found")).first()["found"] is None
+    near_ = sketches.likeness(sketches.sketch(F.col("l")), sketches.sketch(F.col("r")), F.col("l"), F.col("r"))
+    assert frame.select(near_.alias("x")).first()["x"] == pytest.approx(1 - 600 / 800)
