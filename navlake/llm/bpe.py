@@ -19,12 +19,10 @@ import tiktoken
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from navlake.llm.common import cut
-
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 #: Code points of a chunk, and of what it shares with the next one.
-CHUNK = 16_384
+CHUNK = 65_536
 OVERLAP = 1_024
 
 
@@ -91,36 +89,37 @@ def chunk_boundaries(text: Column) -> Column:
     return of_batches(text)
 
 
-def _cut_long(texts: DataFrame) -> DataFrame:
-    """``same, number, piece``: each text of ``texts`` (``same, text``) cut at sure boundaries."""
+def _chunks(long: DataFrame) -> DataFrame:
+    """``same, chunk, start, part``: the overlapping chunks of each distinct text, dealt out."""
     starts = F.sequence(F.lit(0), F.length("text") - 1, F.lit(CHUNK))
-    chunks = texts.select("same", F.posexplode(starts).alias("chunk", "start"), "text").select(
-        "same", "chunk", "start",
-        F.col("text").substr(F.col("start") + 1, F.lit(CHUNK + OVERLAP)).alias("part"))
-    found = chunks.repartition("same", "chunk").select(
-        "same", "chunk", "start", chunk_boundaries(F.col("part")).alias("at"))
+    every = long.select("same", F.posexplode(starts).alias("chunk", "start"), "text").select(
+        "same", "chunk", "start", F.col("text").substr(F.col("start") + 1, F.lit(CHUNK + OVERLAP)).alias("part"))
+    return every.groupBy("same", "chunk").agg(F.first("start").alias("start"), F.first("part").alias("part"))
+
+
+def _pieces(long: DataFrame) -> DataFrame:
+    """``same, number, piece``: each text of ``long`` (``same, text``) cut at sure boundaries.
+
+    Only boundaries near the joints are brought together per text; a piece is cut out of the
+    chunk that holds it. A text with a joint at which the scans don't meet, as within one
+    pre-token longer than the overlap, has no sure cut there and is one piece.
+    """
+    chunks = _chunks(long)
+    found = chunks.select("same", "chunk", "start", chunk_boundaries(F.col("part")).alias("at"))
     order = Window.partitionBy("same").orderBy("chunk")
-    # A text's chunks are few: the window holds one text's boundaries near the joints.
-    joints = found.withColumn("earlier", F.lag("at").over(order)).where("chunk > 0").select(
-        "same", "chunk",
-        F.array_min(F.array_intersect(
-            F.transform("at", lambda p: p + F.col("start")),
-            F.transform("earlier", lambda p: p + F.col("start") - CHUNK),
-        )).alias("joint"))
-    # Past a joint where the scans don't meet no cut is sure: the rest is one piece.
-    sure = joints.withColumn("met", F.min(F.col("joint").isNotNull().cast("int")).over(
-        order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    cuts = sure.groupBy("same").agg(F.array_sort(F.array_distinct(F.collect_list(
-        F.when(F.col("met") == 1, F.col("joint"))))).alias("cuts"))
-    edges = F.concat(F.array(F.lit(0)), "cuts", F.array(F.length("text")))
-    spans = F.transform(F.sequence(F.lit(1), F.size("edges") - 1), lambda i: F.struct(
-        F.element_at("edges", i).alias("start"), F.element_at("edges", i + 1).alias("past")))
-    return (
-        texts.join(cuts, "same").withColumn("edges", edges)
-        .select("same", "text", F.posexplode(spans).alias("number", "span"))
-        .select("same", "number", F.col("text").substr(
-            F.col("span.start") + 1, F.col("span.past") - F.col("span.start")).alias("piece"))
-    )
+    earlier = F.lag("at").over(order)
+    met = F.array_min(F.array_intersect("at", F.transform(earlier, lambda p: p - CHUNK)))
+    joined = found.select("same", "chunk", F.when(F.col("chunk") == 0, 0).otherwise(met).alias("first"))
+    spans = joined.select(
+        "same", "chunk", "first", (F.lead("first").over(order) + CHUNK).alias("past"),
+        F.min(F.col("first").isNotNull().cast("int")).over(Window.partitionBy("same")).alias("sure"))
+    placed = chunks.join(spans, ["same", "chunk"])
+    cut_out = placed.where("sure = 1").select("same", F.col("chunk").alias("number"), F.col("part").substr(
+        F.col("first") + 1, F.coalesce("past", F.lit(CHUNK + OVERLAP)) - F.col("first")).alias("piece"))
+    parts = F.array_sort(F.collect_list(F.struct("chunk", F.col("part").substr(1, CHUNK).alias("part"))))
+    uncut = placed.where("sure = 0").groupBy("same").agg(parts.alias("parts")).select(
+        "same", F.lit(0).alias("number"), F.array_join("parts.part", "").alias("piece"))
+    return cut_out.unionByName(uncut)
 
 
 def encode(docs: DataFrame, ranks: Ranks, text: str = "text") -> DataFrame:
@@ -133,8 +132,7 @@ def encode(docs: DataFrame, ranks: Ranks, text: str = "text") -> DataFrame:
     plain = docs.drop("ids").withColumn("_long", F.coalesce(F.length(text) > CHUNK, F.lit(False)))
     short = plain.where(~F.col("_long")).withColumn("ids", encode_pieces(F.col(text), ranks))
     long = plain.where("_long").withColumn("_same", F.unhex(F.sha2(text, 256)))
-    texts = cut(long.groupBy(F.col("_same").alias("same")).agg(F.first(text).alias("text")))
-    pieces = _cut_long(texts).repartition("same", "number").select(
+    pieces = _pieces(long.select(F.col("_same").alias("same"), F.col(text).alias("text"))).select(
         "same", "number", encode_pieces(F.col("piece"), ranks).alias("ids"))
     whole = pieces.groupBy("same").agg(F.array_sort(F.collect_list(F.struct("number", "ids"))).alias("parts"))
     joined = whole.select(

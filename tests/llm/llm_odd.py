@@ -4,6 +4,6 @@
 ODD = [
     (None, None), (None, None), (None, "same text here"), (1, ""), (2, None), (3, "Same TEXT here"),
     (3, "same text here"), (3, "same text here"), (4, "\n\n \t"), (5, "É same text here"),
-    (6, "one\x0btwo\x1cthree four five"), (7, "word " * 9000), (8, "a" * 40_000),
+    (6, "one\x0btwo\x1cthree four five"), (7, "word " * 9000), (8, "a" * 140_000),
     (9, "🙂" * 3 + " done."), (10, "line one of it.\nline two of it.\nline three."),
 ]

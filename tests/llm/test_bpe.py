@@ -51,7 +51,7 @@ def test_cuts_are_where_scans_meet(docs_of, monkeypatch, spark):
     monkeypatch.setattr(bpe, "CHUNK", 50)
     monkeypatch.setattr(bpe, "OVERLAP", 20)
     rows = [(b"a", "word and word " * 30), (b"b", "a" * 400)]
-    pieces = bpe._cut_long(spark.createDataFrame(rows, "same binary, text string")).collect()
+    pieces = bpe._pieces(spark.createDataFrame(rows, "same binary, text string")).collect()
     of = lambda key: [p["piece"] for p in sorted(pieces, key=lambda p: p["number"]) if bytes(p["same"]) == key]
     assert "".join(of(b"a")) == rows[0][1] and len(of(b"a")) > 5
     assert of(b"b") == [rows[1][1]]
