@@ -137,8 +137,21 @@ def history_feed_text(rows: DataFrame) -> DataFrame:
     )
 
 
-def labelled_feed_text(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """One block of labelled daily lines per scheme below its section and house lines."""
+def labelled_feed_text(rows: DataFrame, labels: DataFrame, history: bool = False) -> DataFrame:
+    """One block of labelled lines per scheme below its section and house lines.
+
+    Daily lines, or history lines, which have the name first and the date last.
+    """
+    code = F.concat(F.lit("SIF-"), F.col("scheme_code"))
+    name = F.coalesce("scheme_name", F.lit("No Name"))
+    price, day = F.col("nav").cast("string"), feed_date_text(F.col("nav_date"))
+    blank = F.lit("i")
+    if history:
+        line = F.concat_ws(";", code, name, blank, blank, price, blank, blank, day)
+        title = "Scheme Code;Scheme Name;ISIN;ISIN;NAV;Repurchase;Sale;Date"
+    else:
+        line = F.concat_ws(";", code, blank, blank, name, price, day)
+        title = "Scheme Code;ISIN;ISIN;Scheme Name;NAV;Date"
     joined = rows.join(labels, "scheme_code", "left")
     section = F.coalesce(
         F.concat(F.lit("Equity Oriented Investment Strategies - "), F.col("category")),
@@ -149,13 +162,9 @@ def labelled_feed_text(rows: DataFrame, labels: DataFrame) -> DataFrame:
         [
             F.concat(F.lit("Open Ended Schemes("), section, F.lit(")")),
             F.coalesce("fund_house", F.lit("No House")),
-            F.lit("Scheme Code;ISIN;ISIN;Scheme Name;NAV;Date"),
+            F.lit(title),
         ],
-        F.concat_ws(
-            ";", F.concat(F.lit("SIF-"), F.col("scheme_code")), F.lit("i"), F.lit("i"),
-            F.coalesce("scheme_name", F.lit("No Name")),
-            F.col("nav").cast("string"), feed_date_text(F.col("nav_date")),
-        ),
+        line,
         "section_line", "house_line", "title_line",
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from navlake.operators.labels import deep_history_universe
 from navlake.schema import FEED_ORDER, LABEL_COLUMNS
+from navlake.session import cut_lineage
 from navlake.sinks import history, master as master_table
 from navlake.sources import feeds, tables
 
@@ -40,9 +41,11 @@ def load_rows(
 ) -> bool:
     """Load parsed feed rows: guard, raw layer, history, labels. False when skipped.
 
-    The raw layer is written first and the later steps read it back, so the feed text is
-    not parsed again and a lost executor costs no more than re-reading that table.
+    The parsed rows are written once before anything looks at them, so the feed text is
+    scanned and parsed once; history and labels read the raw layer back, so a lost executor
+    costs no more than re-reading that table.
     """
+    rows = cut_lineage(rows)
     # One row for the driver: the last date and a handful of calendar years.
     last, years = rows.agg(F.max("nav_date"), F.collect_set(F.year("nav_date"))).first()
     if last is None:
@@ -52,7 +55,7 @@ def load_rows(
     day = ingest_date or dt.date.today()
     history.write_raw(rows, lake.raw, source, day)
     stored = history.read_load(spark, lake.raw, source, day, years)
-    history.merge_nav_history(spark, stored, lake.history, FEED_ORDER)
+    history.merge_nav_history(spark, stored, lake.history, FEED_ORDER, years=years)
     if set(LABEL_COLUMNS) <= set(rows.columns):
         master_table.refresh_scheme_master(spark, stored, lake.master, FEED_ORDER)
     return True

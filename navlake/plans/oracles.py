@@ -453,6 +453,30 @@ _add("between_dates", [NAV],
 _add("write_flat", [NAV], "SELECT * FROM nav")
 _add("write_scheme_master", [MASTER],
      "SELECT scheme_code, fund_house, category, upper(scheme_name) AS scheme_name FROM master")
+ORACLES["labelled_history_update"] = ORACLES["parse_labelled_feed"]
+ORACLES["replace_plain_master"] = ORACLES["write_scheme_master"]
+ORACLES["lake_views"] = ORACLES["sql_views"]
+_add("read_year", [NAV], f"{_STORED} WHERE year(nav_date) = 1997")
+_add("freshness_of_year", [NAV], f"""
+  SELECT count(*) AS nav_rows, count(DISTINCT scheme_code) AS schemes, min(nav_date) AS date_from,
+         max(nav_date) AS latest, count(*) FILTER (nav_date = (
+           SELECT max(nav_date) FROM nav WHERE year(nav_date) = 1997)) AS rows_on_latest,
+         DATE '{AS_OF}' AS today, 'latest is older than today' AS status
+  FROM nav WHERE year(nav_date) = 1997""")
+_add("backfill_update", [NAV, MASTER],
+     f"{_STORED} WHERE scheme_code IN (SELECT scheme_code FROM master)")
+_add("migrate_raw_scoped", [NAV_RAW, MASTER], f"""
+  SELECT scheme_code, nav_date, nav, CAST(year(nav_date) AS INTEGER) AS year,
+         DATE '{AS_OF}' AS ingest_date, 'daily' AS source
+  FROM nav_raw WHERE scheme_code IN (SELECT scheme_code FROM master) AND scheme_code IN (
+    SELECT scheme_code FROM nav_raw GROUP BY 1 HAVING min(nav_date) <= DATE '1995-02-01')""")
+_add("retain_raw", [NAV_RAW], f"""
+  SELECT CAST(year(nav_date) AS INTEGER) AS year, DATE '{AS_OF}' AS ingest_date,
+         'daily' AS source, count(*) AS raw_rows
+  FROM nav_raw WHERE year(nav_date) < 1996 GROUP BY ALL""")
+_add("category_returns_by_name", _ONE_YEAR, """
+  SELECT *, CAST(row_number() OVER (ORDER BY scheme_name, scheme_code) AS INTEGER) AS position
+  FROM returns WHERE upper(category) = 'ECONOMY'""")
 _add("daily_update", [NAV, MASTER], f"""
   SELECT *, true AS first_loaded, false AS second_loaded
   FROM ({_STORED}) WHERE scheme_code IN (SELECT scheme_code FROM master)""")

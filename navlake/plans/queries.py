@@ -3,7 +3,7 @@
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from navlake.operators import (
     asof, companies, dedupe, labels, quality, returns, summary,
@@ -164,17 +164,20 @@ def list_funds_in_category(spark, d):
     return summary.list_funds_in_category(fx.master(spark, d), "economy")
 
 
+VIEW_QUESTION = """
+    SELECT l.scheme_code, l.nav_date, l.nav, c.category, c.total_schemes,
+           f.fund_house, f.categories_present
+    FROM latest_nav l
+    JOIN category_summary c ON l.category = c.category
+    JOIN fund_house_summary f ON l.fund_house = f.fund_house
+    WHERE l.nav >= c.avg_latest_nav
+"""
+
+
 @query
 def sql_views(spark, d):
     views.create_views(fx.master(spark, d), fx.nav(spark, d))
-    return spark.sql("""
-        SELECT l.scheme_code, l.nav_date, l.nav, c.category, c.total_schemes,
-               f.fund_house, f.categories_present
-        FROM latest_nav l
-        JOIN category_summary c ON l.category = c.category
-        JOIN fund_house_summary f ON l.fund_house = f.fund_house
-        WHERE l.nav >= c.avg_latest_nav
-    """)
+    return spark.sql(VIEW_QUESTION)
 
 
 # As-of lookups and returns.
@@ -527,6 +530,80 @@ def write_scheme_master(spark, d):
     return tables.read_scheme_master(spark, path)
 
 
+@query
+def replace_plain_master(spark, d):
+    """A master that is plain Parquet, with repeated codes, replaced by a later one."""
+    path = scratch_path(spark, "plain-master")
+    fx.master(spark, d).write.parquet(path)
+    renamed = fx.master(spark, d).withColumn("scheme_name", F.upper("scheme_name"))
+    master_table.write_scheme_master(spark, fx.master(spark, d), path)
+    master_table.write_scheme_master(spark, renamed.unionByName(renamed), path)
+    return tables.read_scheme_master(spark, path)
+
+
+@query
+def read_year(spark, d):
+    path = scratch_path(spark, "read-year")
+    history.write_nav_history(fx.nav_raw(spark, d), path, fx.INGEST)
+    return tables.read_year(spark, path, 1997)
+
+
+@query
+def freshness_of_year(spark, d):
+    path = scratch_path(spark, "freshness-year")
+    history.write_nav_history(fx.nav_raw(spark, d), path, fx.INGEST)
+    return quality.freshness_report(tables.read_nav_history(spark, path), fx.AS_OF, year=1997)
+
+
+@query
+def lake_views(spark, d):
+    """The views over a stored lake, asked as ``sql_views`` asks those over tables."""
+    home = jobs.Lake(scratch_path(spark, "views"))
+    master_table.write_scheme_master(spark, fx.master(spark, d), home.master)
+    history.write_nav_history(fx.nav_raw(spark, d), home.history, fx.INGEST)
+    views.register_views(spark, home)
+    return spark.sql(VIEW_QUESTION)
+
+
+@query
+def backfill_update(spark, d):
+    """History feeds loaded into a lake that has a master only."""
+    home = jobs.Lake(scratch_path(spark, "bulk"))
+    master_table.write_scheme_master(spark, fx.master(spark, d), home.master)
+    landing = _landed(spark, fx.history_feed_text(fx.nav(spark, d)), "bulk-landing")
+    jobs.backfill_history(spark, landing, home, ingest_date=fx.AS_OF)
+    return tables.read_nav_history(spark, home.history)
+
+
+@query
+def migrate_raw_scoped(spark, d):
+    source, target = (jobs.Lake(scratch_path(spark, p)) for p in ("raw-source", "raw-target"))
+    master_table.write_scheme_master(spark, fx.master(spark, d), source.master)
+    history.write_raw(fx.nav_raw(spark, d).select(*NAV_COLUMNS), source.raw, "daily", fx.AS_OF)
+    history.write_nav_history(fx.nav_raw(spark, d), source.history, fx.INGEST)
+    jobs.migrate_scoped(spark, source, target, cutoff="1995-02-01")
+    return tables.read_raw_nav(spark, target.raw).select(*NAV_COLUMNS, "year", "ingest_date", "source")
+
+
+@query
+def retain_raw(spark, d):
+    path = scratch_path(spark, "retain-raw")
+    history.write_raw(fx.nav_raw(spark, d).select(*NAV_COLUMNS), path, "daily", fx.AS_OF)
+    return history.expired_raw(spark, path, fx.AS_OF)
+
+
+@query
+def category_returns_by_name(spark, d):
+    """Sorted by a column and direction chosen at run time; the position shows the order."""
+    rows = returns.category_returns(
+        fx.nav_zero(spark, d), fx.master(spark, d), "economy", "1Y", "scheme_name", True,
+        convention=returns.AS_OF, as_of=fx.AS_OF,
+    )
+    # The rows of one category, as the report shows them.
+    shown = Window.orderBy(F.monotonically_increasing_id())
+    return rows.withColumn("position", F.row_number().over(shown))
+
+
 @query
 def daily_update(spark, d):
     """A daily feed loaded twice; the second load is skipped."""
@@ -551,6 +628,20 @@ def labelled_update(spark, d):
     return tables.read_scheme_master(spark, home.master).select(*MASTER_COLUMNS)
 
 
+@query
+def labelled_history_update(spark, d):
+    """A labelled history feed loaded into an empty lake, with the labels of its headers."""
+    home = jobs.Lake(scratch_path(spark, "labelled-history"))
+    text = fx.labelled_feed_text(fx.nav(spark, d), fx.master(spark, d), history=True)
+    jobs.labelled_backfill_history(
+        spark, _landed(spark, text, "labelled-history-landing"), home, ingest_date=fx.AS_OF
+    )
+    return labels.label_nav(
+        tables.read_nav_history(spark, home.history).select(*NAV_COLUMNS),
+        tables.read_scheme_master(spark, home.master),
+    )
+
+
 @query
 def ingest_stream_daily(spark, d):
     home = jobs.Lake(scratch_path(spark, "stream"))

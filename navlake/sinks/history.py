@@ -49,11 +49,12 @@ def merge_nav_history(
     path: str,
     order_by: list[str | Column] = (),
     stored_wins: bool = False,
+    years: list[int] | None = None,
 ) -> None:
     """Add a batch to the history: batch rows replace stored rows of the same key.
 
     Only the years in the batch are read and rewritten, whichever years they are. The
-    batch is made unique first; then stored and fresh rows meet in the range partitions
+    batch is made unique first (``years`` names its years where the caller knows them); then stored and fresh rows meet in the range partitions
     the files are written from, so stored rows are shuffled once.
     """
     fresh = dedupe_nav(batch, order_by)
@@ -61,8 +62,9 @@ def merge_nav_history(
     if table is None:
         _replace_partitions(_by_year_and_scheme(fresh), path, ["year"])
         return
-    # A handful of calendar years, whatever the size of the batch.
-    years = [r[0] for r in batch.select(F.year("nav_date")).distinct().collect()]
+    if years is None:
+        # A handful of calendar years, whatever the size of the batch.
+        years = [r[0] for r in batch.select(F.year("nav_date")).distinct().collect()]
     stored = as_nav_history(table).where(F.col("year").isin(years))
     rows = (
         stored.select(*NAV_COLUMNS, F.lit(int(stored_wins)).alias("rank"))
@@ -143,6 +145,20 @@ def retain_years(
     return rows.where(F.col("year") >= F.year(as_of_date(as_of)) - years)
 
 
+def expired_raw(
+    spark: SparkSession, path: str, as_of: dt.date | str | None = None, years: int = RETENTION_YEARS
+) -> DataFrame:
+    """Raw partitions older than ``years`` years, by their directory names, with their rows.
+
+    They are listed, not removed: the audit layer is dropped by whoever owns its storage.
+    """
+    raw = spark.read.option("mergeSchema", "false").parquet(path)
+    return (
+        raw.where(F.col("year") < F.year(as_of_date(as_of)) - years)
+        .groupBy("year", "ingest_date", "source").agg(F.count(F.lit(1)).alias("raw_rows"))
+    )
+
+
 def already_loaded(spark: SparkSession, path: str, nav_date: dt.date | None) -> bool:
     """Whether a date is in the history; reads one partition, up to the first match."""
     table = find_table(spark, path) if nav_date is not None else None
