@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from navlake.llm.common import cut, number_rows, repeat_rows
 
-#: Where a text is cut into paragraphs: at line ends, and after a sentence.
-PARAGRAPH = r"\n|(?<=[.!?]) "
+#: Where a text is cut into paragraphs: at line ends, and inside a line after some sentences,
+#: which the letter before the full stop decides, so that an insertion moves no other cut.
+PARAGRAPH = r"\n|(?<=[a-h][.!?]) "
 
 SECTIONS = 3
 
@@ -20,8 +21,8 @@ SECTIONS = 3
 BASE_CELLS = 4
 
 #: Cells per section of a retried part, and digests a part should hold.
-RETRY_CELLS = 8
-PART_DIGESTS = 8
+RETRY_CELLS = 16
+PART_DIGESTS = 20
 
 #: Parts into which one retry deals at most; what is still stuck is dealt again.
 PARTS = 64
@@ -47,7 +48,7 @@ def _placed(keys: Column, cells: int, level: int) -> Column:
 
     def place(key: Column) -> Column:
         def cell(bits: Column, section: int) -> Column:
-            return F.shiftrightunsigned(bits, 16 * section).bitwiseAND(cells - 1).cast("int") + section * cells
+            return F.shiftrightunsigned(bits, 16 * section).bitwiseAND(cells - 1).cast("int")
 
         return _bound(F.xxhash64(key, F.lit(level)), lambda bits: F.struct(
             key.alias("key"), F.xxhash64(key, F.lit(-1)).alias("check"),
@@ -56,10 +57,6 @@ def _placed(keys: Column, cells: int, level: int) -> Column:
     return F.transform(keys, place)
 
 
-def _is_at(placed: Column, cell: Column) -> Column:
-    return (placed["at0"] == cell) | (placed["at1"] == cell) | (placed["at2"] == cell)
-
-
 def _change(cell: Column, placed: Column, by: Column) -> Column:
     return F.struct(
         (cell["n"] + by).alias("n"), cell["key"].bitwiseXOR(placed["key"]).alias("key"),
@@ -69,10 +66,15 @@ def _change(cell: Column, placed: Column, by: Column) -> Column:
 def sketch(keys: Column, cells: int = BASE_CELLS, level: int = 0) -> Column:
     """Array of cells ``n, key, check``, section by section."""
     empty = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("check"))
-    return _bound(_placed(keys, cells, level), lambda placed: F.transform(
-        F.sequence(F.lit(0), F.lit(SECTIONS * cells - 1)),
-        lambda c: F.aggregate(
-            F.filter(placed, lambda k: _is_at(k, c)), empty, lambda cell, k: _change(cell, k, F.lit(1)))))
+
+    def filled(placed: Column, section: int) -> Column:
+        return F.transform(
+            F.array(*map(F.lit, range(cells))), lambda c: F.aggregate(
+                F.filter(placed, lambda k: k[f"at{section}"] == c), empty,
+                lambda cell, k: _change(cell, k, F.lit(1))))
+
+    return _bound(_placed(keys, cells, level), lambda placed: F.concat(
+        *[filled(placed, section) for section in range(SECTIONS)]))
 
 
 def subtract(left: Column, right: Column) -> Column:
@@ -95,8 +97,14 @@ def peel(difference: Column, cells: int = BASE_CELLS, level: int = 0) -> Column:
             _placed(found["key"], cells, level), found["n"],
             lambda p, n: F.struct(p["key"].alias("key"), p["check"].alias("check"), p["at0"].alias("at0"),
                                   p["at1"].alias("at1"), p["at2"].alias("at2"), (-n).alias("by")))
-        left = _bound(placed, lambda freed: F.transform(state["cells"], lambda cell, at: F.aggregate(
-            F.filter(freed, lambda k: _is_at(k, at)), cell, lambda c, k: _change(c, k, k["by"]))))
+
+        def less(freed: Column, section: int) -> Column:
+            return F.transform(
+                F.slice(state["cells"], section * cells + 1, cells), lambda cell, at: F.aggregate(
+                    F.filter(freed, lambda k: k[f"at{section}"] == at), cell,
+                    lambda c, k: _change(c, k, k["by"])))
+
+        left = _bound(placed, lambda freed: F.concat(*[less(freed, s) for s in range(SECTIONS)]))
         return F.struct(left.alias("cells"), F.concat(state["found"], found).alias("found"))
 
     start = F.struct(difference.alias("cells"), F.array().cast("array<struct<key:bigint,n:int>>").alias("found"))
