@@ -21,19 +21,22 @@ def keep_greatest(
     return best.select(*keys, *[F.col("best")[c].alias(c) for c in columns])
 
 
-def dedupe_nav(nav: DataFrame, order_by: list[str | Column] = ()) -> DataFrame:
+def dedupe_nav(
+    nav: DataFrame, order_by: list[str | Column] = (), order_is_unique: bool = False
+) -> DataFrame:
     """Unique rows by (scheme, date): latest ingest wins, then the highest NAV.
 
     ``order_by`` lists the ingest order, most significant first. Columns that are neither
     key, ``nav`` nor order are dropped.
 
-    Whole-number orders are an ingest number: they become one fixed-width decimal, on which a
-    hash aggregate keeps a NAV without sorting the table, and so do orders by nothing but the
-    NAV. Such a number names one row; rows that repeat it repeat the row.
+    ``order_is_unique`` says that no two rows share an order, as with the number of an ingest.
+    Whole-number orders then become one fixed-width decimal, by which a hash aggregate keeps a
+    NAV without sorting the table. Without it rows that share an order need the NAV to decide,
+    which takes an aggregate over a struct.
     """
     if not order_by:
         return nav.groupBy(*KEY).agg(F.max("nav").alias("nav"))
-    number = ingest_number(nav, list(order_by))
+    number = ingest_number(nav, list(order_by)) if order_is_unique else None
     if number is None:
         return keep_greatest(nav, KEY, list(order_by), ["nav"])
     return nav.groupBy(*KEY).agg(F.max_by("nav", number).alias("nav"))

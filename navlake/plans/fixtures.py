@@ -30,7 +30,7 @@ def nav_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nav(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe_nav(nav_raw(spark, sf_dir), INGEST)
+    return dedupe_nav(nav_raw(spark, sf_dir), INGEST, order_is_unique=True)
 
 
 def nav_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def nav_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_quantity") == 1, 0.0).otherwise(F.col("l_extendedprice")).alias("nav"),
         *INGEST,
     )
-    return dedupe_nav(rows, INGEST)
+    return dedupe_nav(rows, INGEST, order_is_unique=True)
 
 
 def nav_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def nav_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nav_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe_nav(nav_events_raw(spark, sf_dir), EVENT_INGEST)
+    return dedupe_nav(nav_events_raw(spark, sf_dir), EVENT_INGEST, order_is_unique=True)
 
 
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,6 +41,22 @@ def test_dedupe_reduces_a_hot_key_before_the_shuffle(spark):
     assert plan.index("partial_max") > plan.index("Exchange hashpartitioning")
 
 
+def test_unique_ingest_numbers_dedupe_without_a_sort(spark):
+    rows = spark.range(3000).selectExpr(
+        "cast(id % 700 as string) as scheme_code", "date'2024-01-01' as nav_date",
+        "cast((id * 7919) % 3000 as double) as nav",
+        "if(id % 11 = 0, null, -id) as batch", "cast(id as int) as line",
+    )
+    fast = dedupe.dedupe_nav(rows, ["batch", "line"], order_is_unique=True)
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert sorted(map(tuple, fast.collect())) == sorted(
+        map(tuple, dedupe.dedupe_nav(rows, ["batch", "line"]).collect()))
+    # Orders that are no whole numbers fall back to the struct.
+    text = rows.withColumn("line", rows["line"].cast("string"))
+    assert dedupe.dedupe_nav(text, ["batch", "line"], order_is_unique=True).count() == 700
+
+
 def test_latest_nav_and_ties(nav_of, master_of):
     nav = nav_of(("a", "2024-01-01", 1), ("a", "2024-01-02", 2), ("b", "2024-01-01", 3))
     master = master_of(("a", "H", "C", "A fund"))
