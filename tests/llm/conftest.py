@@ -6,11 +6,9 @@ import pytest
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path[:0] = [REPO, os.path.join(REPO, "tests"), os.path.join(REPO, "tests", "llm")]
 
-from llm_odd import ODD  # noqa: E402
+from llm_odd import ODD, SF_DIR  # noqa: E402
 from navlake.llm.common import let_workers_import  # noqa: E402
 
-SF_DIR = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.001")
-
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 # Columns that the operators might use themselves, on every small table.

@@ -1,4 +1,8 @@
-"""Rows that every operator must take."""
+"""Rows that every operator must take, and the place of the given tables."""
+
+import os
+
+SF_DIR = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.001")
 
 #: Nulls, empty texts, ties, repeated rows, white space of all kinds, and a long text.
 ODD = [

@@ -3,7 +3,7 @@ import os
 import pytest
 
 import corpus_pipeline
-from conftest import SF_DIR
+from llm_odd import SF_DIR
 
 
 def test_stages_keep_the_columns_and_take_effect(spark, given, tmp_path):

@@ -4,8 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from navlake.llm import toxicity
-from llm_odd import ODD
-from conftest import SF_DIR
+from llm_odd import ODD, SF_DIR
 
 
 def test_folding_undoes_disguise():
