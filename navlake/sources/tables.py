@@ -90,39 +90,53 @@ def between_dates(
 def read_raw_nav(spark: SparkSession, path: str) -> DataFrame:
     """All raw files as one table: columns by name, codes as strings, absent columns null.
 
-    Spark merges the file footers on executors. Where files disagree on a column's type
-    the list of files, oldest first, is halved until each part agrees. Types change when a
-    writer changes, so the parts are few; they are then cast and united.
+    Spark merges the file footers on executors. Where files disagree on a column's type, the
+    load directories are grouped by the types in them and each group is one scan; there are as
+    many as there have been types, however many files. Only directory names, and the files of
+    a directory that disagrees in itself, reach the driver.
     """
-    groups = _agreeing_files(spark, path, None)
-    tables = [_raw_columns(table) for table in groups]
+    tables = [_raw_columns(table) for table in _agreeing_tables(spark, path)]
     union = tables[0]
     for table in tables[1:]:
         union = union.unionByName(table, allowMissingColumns=True)
     return union
 
 
-def _agreeing_files(
-    spark: SparkSession, root: str, files: list[str] | None
-) -> list[DataFrame]:
+def _agreeing_tables(spark: SparkSession, root: str) -> list[DataFrame]:
     reader = spark.read.option("mergeSchema", "true").option("basePath", root)
+    whole = _merged(reader, [root])
+    if whole is not None:
+        return [whole]
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true").load(root)
+        .select("path", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"))
+    )
+    by_types: dict[tuple, list[str]] = {}
+
+    def place(path: str) -> bool:
+        table = _merged(reader, [path])
+        if table is not None:
+            types = sorted((f.name, f.dataType.simpleString()) for f in table.schema)
+            by_types.setdefault(tuple(types), []).append(path)
+        return table is not None
+
+    folders = [r["folder"] for r in files.select("folder").distinct().orderBy("folder").collect()]
+    mixed = [folder for folder in folders if not place(folder)]
+    if mixed:
+        for row in files.where(F.col("folder").isin(mixed)).orderBy("path").collect():
+            place(row["path"])
+    return [reader.parquet(*paths) for paths in by_types.values()]
+
+
+def _merged(reader, paths: list[str]) -> DataFrame | None:
+    """The files as one table, or None where a column's types cannot be merged."""
     try:
-        return [reader.parquet(*(files or [root]))]
+        return reader.parquet(*paths)
     except (PySparkException, Py4JJavaError) as error:
-        if "CANNOT_MERGE_SCHEMAS" not in str(error) or (files and len(files) == 1):
-            raise
-    if files is None:
-        # Paths and times only: the listing every scan of this path holds on the driver.
-        listing = (
-            spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-            .option("recursiveFileLookup", "true").load(root)
-            .select("path", "modificationTime")
-        )
-        files = [r["path"] for r in listing.orderBy("modificationTime", "path").collect()]
-    half = len(files) // 2
-    return (
-        _agreeing_files(spark, root, files[:half]) + _agreeing_files(spark, root, files[half:])
-    )
+        if "CANNOT_MERGE_SCHEMAS" in str(error):
+            return None
+        raise
 
 
 def _raw_columns(table: DataFrame) -> DataFrame:

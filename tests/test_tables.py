@@ -340,3 +340,17 @@ def test_scratch_path_follows_the_session():
     assert "/navlake/x-" in scratch_path(FakeSession(None, "local[2]"), "x")
     with pytest.raises(RuntimeError):
         scratch_path(FakeSession(None, "yarn"), "x")
+
+
+@pytest.mark.parametrize("one_folder", [False, True])
+def test_alternating_types_are_one_scan_per_type(spark, tmp_path, one_folder):
+    raw = str(tmp_path / "raw")
+    for i in range(6):
+        code = F.lit(i).cast("long" if i % 2 else "string").alias("scheme_code")
+        day = 1 if one_folder else i + 1
+        (spark.range(1).select(code, F.lit("2024-01-01").cast("date").alias("nav_date"), F.lit(1.0).alias("nav"))
+         .coalesce(1).write.mode("append").parquet(f"{raw}/year=2024/ingest_date=2024-01-0{day}/source=s"))
+    rows = tables.read_raw_nav(spark, raw)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    assert sorted(r["scheme_code"] for r in rows.collect()) == list("012345")
