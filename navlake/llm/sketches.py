@@ -156,11 +156,15 @@ def as_text(cells: Column) -> Column:
         F.lpad(F.hex(c["check"]), 16, "0"))), ""))
 
 
+#: Stands for a null doc_id, which comes last.
+NO_ID = -(1 << 63)
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return docs.select(
-        "doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long").alias("id"),
-        F.xxhash64(text).alias("mark"), text.alias("text"), F.length(text).alias("n_chars"))
+        F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("id"),
+        F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
 def next_documents(docs: DataFrame) -> DataFrame:
@@ -169,7 +173,7 @@ def next_documents(docs: DataFrame) -> DataFrame:
     The order is by falling doc_id, null last, then by falling hash of the text; the first
     document comes after the last. Rows that repeat both are one place with ``copies``.
     """
-    narrow = _keyed(docs).groupBy("id", "mark", "n_chars").agg(F.count(F.lit(1)).alias("copies"))
+    narrow = _keyed(docs).groupBy("id", "mark", F.length("text").alias("n_chars")).agg(F.count(F.lit(1)).alias("copies"))
     numbered = number_rows(narrow, [F.desc("id"), F.desc("mark")], "place", "total")
     owner = numbered.select(
         F.pmod(F.col("place") + 1, F.col("total")).alias("place"), F.col("id").alias("owner_id"),
@@ -188,12 +192,13 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     itself; an empty table gives no rows. Other columns are not read.
 
     Each text moves once, to meet its own successor's beginning, and each beginning once more,
-    as long as it is needed.
+    as long as it is needed: both sides ask for the same columns, so Spark shuffles the texts
+    for the two of them together.
     """
     order = cut(next_documents(docs))
     once = _keyed(docs).dropDuplicates(["id", "mark"])
     placed = once.join(order, ["id", "mark"])
-    own = placed.select("doc_id", "id", "mark", "n_chars", "text", "copies")
+    own = placed.select("id", "mark", "text", "copies")
     heads = placed.select(
         F.col("owner_id").alias("id"), F.col("owner_mark").alias("mark"),
         F.expr("left(text, cast(floor(owner_chars / 2) as int))").alias("head"),
@@ -201,14 +206,15 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     met = own.join(heads, ["id", "mark"])
     # A repeated row's next is its repetition, but for the last.
     again = own.where("copies > 1").select(
-        *own.columns, F.expr("left(text, cast(floor(n_chars / 2) as int))").alias("head"),
+        *own.columns, F.expr("left(text, cast(floor(length(text) / 2) as int))").alias("head"),
         digests(F.col("text")).alias("next_keys"))
     pairs = met.withColumn("copies", F.lit(1).cast("long")).unionByName(
         again.withColumn("copies", F.col("copies") - 1))
     edited = pairs.withColumn(
-        "edited", F.concat(F.expr("left(text, n_chars - cast(floor(n_chars / 2) as int))"), "head")
+        "edited", F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 2) as int))"), "head")
     ).select(
-        "doc_id", "n_chars", "copies", "next_keys", F.sha2("edited", 256).alias("edited_sha256"),
+        F.nullif(F.col("id"), F.lit(NO_ID).cast("long")).alias("doc_id"),
+        F.length("text").alias("n_chars"), "copies", "next_keys", F.sha2("edited", 256).alias("edited_sha256"),
         digests(F.col("text")).alias("keys"), digests(F.col("edited")).alias("edited_keys"))
     sketched = edited.select(
         "*", sketch(F.col("keys")).alias("cells"), sketch(F.col("edited_keys")).alias("edited_cells"),
