@@ -1,6 +1,6 @@
 """A training corpus from raw documents: five stages, each written and read by the next.
 
-Documents judged toxic go; lines that repeat an earlier document go; of near copies one stays;
+Documents judged toxic go; lines and passages that repeat an earlier document go; of near copies one stays;
 sources are mixed to target weights; what is left is encoded.
 """
 
@@ -18,9 +18,9 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, less the blocks of lines that repeat an earlier one."""
+    """All documents, less the lines and passages that repeat an earlier one."""
     let_workers_import(spark)
-    kept = lines.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    kept = lines.dedup_passages(docs).withColumn("n_chars", F.length("text").cast("long"))
     return kept.select(*docs.columns)
 
 

@@ -6,6 +6,7 @@ alike. Aligned lines that stand together form a block; blocks of enough words ar
 the later document, so the first document that holds a block keeps it.
 """
 
+import gc
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -13,6 +14,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from navlake.llm import passages
 from navlake.llm.common import cut
 
 #: Words a block must have to be deleted.
@@ -180,6 +182,35 @@ def dedup_lines(docs: DataFrame, least: int = BLOCK_WORDS, rare: int = RARE) ->
     )
 
 
+def dedup_passages(docs: DataFrame, least: int = BLOCK_WORDS, rare: int = RARE) -> DataFrame:
+    """``dedup_lines``, and every other run of ``least`` words that an earlier document holds.
+
+    After the alignment of whole lines the runs of ``passages`` are settled: parts of lines, and
+    lines that no aligned pair of documents shares in one block. ``removed_lines`` lists the
+    lines deleted whole. Spaces between words and the line breaks inside a run are not
+    compared. Otherwise as ``dedup_lines``.
+    """
+    removed = cut(repeated_lines(docs, least, rare)).select(
+        F.col("id").alias("_id"), F.col("mark").alias("_mark"), F.col("removed").alias("_removed"))
+    # What the alignment shuffled and wrote is not needed again: Spark removes it once collected.
+    gc.collect()
+    docs.sparkSession.sparkContext._jvm.System.gc()
+    runs = passages.repeated_runs(_keyed(docs), least).select(
+        F.col("id").alias("_id"), F.col("mark").alias("_mark"), F.col("keys").alias("_keys"))
+    found = cut(removed.join(runs, ["_id", "_mark"], "full_outer"))
+    keyed = docs.drop("n_lines", "removed_lines").withColumn(
+        "_id", F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long")).withColumn("_mark", F.xxhash64("text"))
+    joined = keyed.join(found, ["_id", "_mark"], "left")
+    repeats = F.col("_removed").isNotNull() | F.col("_keys").isNotNull()
+    return (
+        joined.withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long"))
+        .withColumn("_less", passages.less(F.when(repeats, F.col("text")), F.col("_keys"), F.col("_removed"), least))
+        .withColumn("text", F.coalesce("_less.text", "text"))
+        .withColumn("removed_lines", F.coalesce("_less.gone", F.array().cast("array<int>")))
+        .drop("_id", "_mark", "_removed", "_keys", "_less")
+    )
+
+
 def digest(deduped: DataFrame) -> DataFrame:
     return deduped.select(
         "doc_id", "text", "n_lines", F.size("removed_lines").cast("long").alias("n_removed"),
