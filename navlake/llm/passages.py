@@ -3,6 +3,8 @@
 A text's words are cut into units where a hash of two words in a row says so, whatever the line
 breaks, so that an edit or a surrounding text moves no cut but its own. From each unit the
 shortest run of units with enough words is taken; a run that an earlier document holds too goes.
+The same is done with lines as units, forwards and backwards, which covers every longer run of
+lines: each repeated one is found, however many documents hold it or its parts.
 """
 
 from collections.abc import Iterator
@@ -95,7 +97,10 @@ class Runs:
         first[1:] = owner[1:] != owner[:-1]
         by_hash = first.copy()
         by_hash[1:] |= _mixed(words[:-1] * _BASE + words[1:]) % np.uint64(UNIT) == 0
-        both = np.unique(np.concatenate([_runs(by_hash, owner, least, False)]), axis=0)
+        lines = np.cumsum(points == 10)[at]
+        by_line = first.copy()
+        by_line[1:] |= lines[1:] != lines[:-1]
+        both = np.unique(np.concatenate([_runs(by_hash, owner, least, False), _runs(by_line, owner, least, True)]), axis=0)
         self.first, self.past = both[:, 0], both[:, 1]
         self.owner = owner[self.first]
         sums = np.concatenate([[np.uint64(0)], np.cumsum(words * _powers(_BASE, len(words)), dtype=np.uint64)])

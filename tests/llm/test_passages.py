@@ -41,6 +41,31 @@ def test_edited_and_embedded_passages_go(docs_of):
     assert left.startswith(own[0]) and left.endswith(own[1]) and len(left) < len(rows[2][1]) - len(passage) // 2
 
 
+def test_frequent_lines_twice_in_a_document_go(docs_of):
+    hot = prose(20)
+    rows = [(i, f"{prose(12)}\n{hot}\n{prose(12)}\n{hot}") for i in range(lines.RARE + 20)]
+    kept = got(docs_of(*rows))
+    assert kept[0][0] == rows[0][1]
+    assert all(kept[i] == (rows[i][1].replace("\n" + hot, ""), [1, 3]) for i in range(1, len(rows)))
+
+
+def test_block_of_short_lines_with_different_first_holders_goes(docs_of):
+    short = [prose(4) for _ in range(4)]
+    block = "\n".join(short)
+    holders = [(i, f"{prose(9)}\n{short[i % 4]}\n{prose(9)}") for i in range(lines.RARE * 5)]
+    rows = [*holders, (1000, f"{block}\n{prose(9)}"), *[(1001 + i, f"{prose(9)}\n{block}\n{prose(9)}") for i in range(3)]]
+    kept = got(docs_of(*rows))
+    assert all(kept[i] == (t, []) for i, t in rows[:-3])
+    for i, t in rows[-3:]:
+        assert kept[i] == (t.replace(block + "\n", ""), [1, 2, 3, 4])
+
+
+def test_scripts_without_spaces(docs_of):
+    line = "".join(chr(0x4E00 + RNG.randrange(5000)) for _ in range(40))
+    kept = got(docs_of((1, line), (2, f"先头\n{line}\n末尾")))
+    assert kept[1][0] == line and kept[2] == ("先头\n末尾", [1])
+
+
 def test_runs_are_those_of_plain_loops():
     texts = [t or "" for _, t in ODD if len(t or "") < 100_000] + [f"{prose(30)}\n\n {prose(3)}  {prose(40)}\n" for _ in range(20)]
     together = passages.run_keys(texts, 8)
@@ -50,6 +75,8 @@ def test_runs_are_those_of_plain_loops():
         words = [text[a:b] for a, b in zip(runs.starts, runs.ends)]
         assert words == text.split() or any(ord(c) in (0x1C, 0x1D, 0x1E, 0x1F, 0x85) for c in text)
         assert all(b - a >= 8 for a, b in zip(runs.first, runs.past))
+        covered = {k for a, b in zip(runs.first, runs.past) for k in range(a, b)}
+        assert len(words) < 8 or covered == set(range(len(words)))
 
 
 def test_differing_line_breaks(docs_of):
