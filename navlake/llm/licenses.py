@@ -79,7 +79,7 @@ NAMES = [
 # Wording around a name, its words (one must be present), priority, confidence.
 WORDINGS = [
     (r"spdx licen[cs]e identifier {name}(?: only| or later)?", "spdx", 6, 1.0),
-    (rf"(?:licensed|released|distributed|published|available|provided) under (?:the )?(?:terms of )?(?:the )?{{name}}(?:{_LIC})?(?: or(?: \w+)* later)?", "under", 5, 0.97),
+    (rf"(?:licensed|released|distributed|published|available|provided) under (?:the )?(?:terms of )?(?:the )?{{name}}(?:{_LIC})?(?: or (?:at your option )?(?:any )?later(?: version)?)?", "under", 5, 0.97),
     (rf"(?:subject to|governed by|covered by|in accordance with|according to) (?:the )?(?:terms of )?(?:the )?{{name}}(?:{_LIC})?", "to|by|with", 4, 0.9),
     (rf"(?:see|read|copy of) (?:the )?{{name}}{_LIC}", "see|read|copy", 3, 0.85),
     (rf"{{name}}{_LIC}", "license|licence", 2, 0.8),

@@ -67,3 +67,11 @@ def test_detections_and_overlaps():
 
 def test_empty(empty):
     assert licenses.digest(licenses.scan_documents(empty)).collect() == []
+
+
+def test_a_far_later_does_not_swallow_what_is_between():
+    text = ("licensed under the MIT license or bundled parts " + "of it " * 400 + "released under the BSD 3 clause "
+            "license and see the zlib license for details later")
+    assert labels(text) == ["mit", "bsd-3", "zlib"]
+    later = "distributed under the GPL version 2 or (at your option) any later version of it"
+    assert [d[1] for d in licenses.detect(licenses.words_of(later))] == [13]
