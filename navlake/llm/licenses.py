@@ -33,16 +33,16 @@ NAMES = [
     ("apache-1", "apache", rf"apache(?: software)?(?: licen[cs]e)?{_V} 1(?: [01])?"),
     ("apache-2", "apache", rf"apache(?: software)?(?: licen[cs]e)?{_V} 2(?: 0)?"),
     ("bsd-0", "bsd|0bsd", r"(?:zero clause bsd|bsd zero clause|0bsd)"),
-    ("bsd-2", "bsd", r"(?:(?:bsd (?:2|two) clause)|(?:(?:2|two) clause bsd)|(?:simplified bsd)|freebsd)"),
+    ("bsd-2", "bsd|freebsd", r"(?:(?:bsd (?:2|two) clause)|(?:(?:2|two) clause bsd)|(?:simplified bsd)|freebsd)"),
     ("bsd-3", "bsd", r"(?:(?:bsd (?:3|three) clause)|(?:(?:3|three) clause bsd)|(?:(?:new|modified|revised) bsd))"),
     ("bsd-4", "bsd", r"(?:(?:bsd (?:4|four) clause)|(?:(?:4|four) clause bsd)|(?:(?:original|old) bsd))"),
     ("isc", "isc", r"isc"),
     ("zlib", "zlib", r"zlib(?: libpng)?"),
-    ("libpng", "libpng", rf"(?:png reference library|libpng){_V}(?: 2)?"),
+    ("libpng", "libpng|png", rf"(?:png reference library|libpng){_V}(?: 2)?"),
     ("boost-1", "boost|bsl", rf"(?:boost(?: software)?(?: licen[cs]e)?{_V} 1(?: 0)?|bsl 1 0)"),
-    ("gpl-1", "gnu|gpl", rf"(?:gnu )?(?:gpl|general public(?: licen[cs]e)?){_V} 1(?: 0)?"),
-    ("gpl-2", "gnu|gpl|gplv2", rf"(?:gnu )?(?:gplv2|(?:gpl|general public(?: licen[cs]e)?){_V} 2)(?: 0)?"),
-    ("gpl-3", "gnu|gpl|gplv3", rf"(?:gnu )?(?:gplv3|(?:gpl|general public(?: licen[cs]e)?){_V} 3)(?: 0)?"),
+    ("gpl-1", "general|gpl", rf"(?:gnu )?(?:gpl|general public(?: licen[cs]e)?){_V} 1(?: 0)?"),
+    ("gpl-2", "general|gpl|gplv2", rf"(?:gnu )?(?:gplv2|(?:gpl|general public(?: licen[cs]e)?){_V} 2)(?: 0)?"),
+    ("gpl-3", "general|gpl|gplv3", rf"(?:gnu )?(?:gplv3|(?:gpl|general public(?: licen[cs]e)?){_V} 3)(?: 0)?"),
     ("lgpl-2", "library|lgpl", rf"(?:gnu )?(?:lgpl|library general public(?: licen[cs]e)?){_V} 2(?: 0)?"),
     ("lgpl-2.1", "lesser|lgpl", rf"(?:gnu )?(?:lgpl|lesser general public(?: licen[cs]e)?){_V} 2 1"),
     ("lgpl-3", "lesser|lgpl|lgplv3", rf"(?:gnu )?(?:lgplv3|(?:lgpl|lesser general public(?: licen[cs]e)?){_V} 3)(?: 0)?"),
@@ -69,10 +69,10 @@ NAMES = [
     ("cc0-1", "cc0", rf"(?:creative commons )?cc0{_V}(?: 1(?: 0)?)?(?: universal)?"),
     ("cc-by", "cc|attribution", rf"(?:cc by|creative commons attribution){_V}(?: [1234](?: 0)?)?"),
     ("cc-by-sa", "cc|sharealike|alike", rf"(?:cc by sa|creative commons attribution share ?alike){_V}(?: [1234](?: 0)?)?"),
-    ("cc-by-nd", "cc|derivatives|noderivatives|noderivs", rf"(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s){_V}(?: [1234](?: 0)?)?"),
+    ("cc-by-nd", "cc|derivatives|noderivatives|noderivs|derivs", rf"(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s){_V}(?: [1234](?: 0)?)?"),
     ("cc-by-nc", "cc|noncommercial|commercial", rf"(?:cc by nc|creative commons attribution non ?commercial){_V}(?: [1234](?: 0)?)?"),
     ("cc-by-nc-sa", "cc|sharealike|alike", rf"(?:cc by nc sa|creative commons attribution non ?commercial share ?alike){_V}(?: [1234](?: 0)?)?"),
-    ("cc-by-nc-nd", "cc|derivatives|noderivatives|noderivs", rf"(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s){_V}(?: [1234](?: 0)?)?"),
+    ("cc-by-nc-nd", "cc|derivatives|noderivatives|noderivs|derivs", rf"(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s){_V}(?: [1234](?: 0)?)?"),
     ("public-domain", "domain", r"public domain(?: dedication)?"),
 ]
 

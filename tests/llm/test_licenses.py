@@ -75,3 +75,44 @@ def test_a_far_later_does_not_swallow_what_is_between():
     assert labels(text) == ["mit", "bsd-3", "zlib"]
     later = "distributed under the GPL version 2 or (at your option) any later version of it"
     assert [d[1] for d in licenses.detect(licenses.words_of(later))] == [13]
+
+
+def spelled(tree):
+    """Every text that a parsed expression of words, choices and optional parts matches."""
+    out = [""]
+    for op, arg in tree:
+        op = str(op)
+        if op == "LITERAL":
+            more = [chr(arg)]
+        elif op == "IN":
+            more = [chr(c) for kind, c in arg if str(kind) == "LITERAL"]
+            assert len(more) == len(arg)
+        elif op == "BRANCH":
+            more = [t for branch in arg[1] for t in spelled(branch)]
+        elif op == "SUBPATTERN":
+            more = spelled(arg[-1])
+        elif op == "MAX_REPEAT":
+            assert arg[:2] == (0, 1)
+            more = ["", *spelled(arg[2])]
+        else:
+            assert op in ("ASSERT", "ASSERT_NOT"), op
+            continue
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_no_rule_misses_a_text_through_its_keywords():
+    from re import _parser
+
+    from navlake.llm.licenses import NAMES, WORDINGS
+
+    for label, needs, name in NAMES:
+        for text in spelled(_parser.parse(name)):
+            assert set(text.split()) & set(needs.split("|")), (label, text)
+    for wording, needs, *_ in WORDINGS:
+        for text in spelled(_parser.parse(wording.format(name="name"))):
+            assert set(text.split()) & set(needs.split("|")), (wording, text)
+    assert labels("licensed under the FreeBSD license") == ["bsd-2"]
+    assert labels("under the General Public License version 2 license") == ["gpl-2"]
+    assert labels("licensed under the PNG Reference Library license") == ["libpng"]
+    assert labels("see the creative commons attribution no derivs license") == ["cc-by-nd"]
