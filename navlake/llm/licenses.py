@@ -86,6 +86,37 @@ WORDINGS = [
     (r"licen[cs]e (?:is )?(?:the )?{name}", "license|licence", 1, 0.7),
 ]
 
+# Names without a version: label, words, expression. They stand behind all rules above.
+UNVERSIONED = [
+    ("gpl", "general|gpl", r"(?:gnu )?(?:gpl|general public)"),
+    ("lgpl", "lesser|library|lgpl", r"(?:gnu )?(?:lgpl|(?:lesser|library) general public)"),
+    ("agpl", "affero|agpl", r"(?:gnu )?(?:agpl|affero general public)"),
+    ("mpl", "mozilla|mpl", r"(?:mpl|mozilla public)"),
+    ("apache", "apache", r"apache(?: software)?"),
+    ("bsd", "bsd", r"bsd(?: style)?"),
+    ("epl", "eclipse|epl", r"(?:epl|eclipse public)"),
+]
+
+_EITHER = r"(?: as published by the free software foundation)?(?: either)? version"
+_OF_LATER = r"(?: of the licen[cs]e)?(?: or (?:at your option )?(?:any )?later(?: version)?)?"
+
+# What licensed files carry besides a name: label, words, expression, priority, confidence.
+TEXTS = [
+    ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy", 7, 0.95),
+    ("boost-1", "hereby", r"permission is hereby granted free of charge to any person or organization obtaining a copy", 7, 0.95),
+    ("isc", "fee", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted", 7, 0.95),
+    ("bsd", "redistribution", r"redistribution and use in source and binary forms with or without modification are permitted", 7, 0.9),
+    ("bsd-3", "neither", r"neither the names? of(?: \S+){1,20} may be used to endorse or promote products derived from this software", 7, 0.95),
+    ("bsd-4", "advertising", r"all advertising materials mentioning features or use of this software must display", 7, 0.95),
+    ("zlib", "misrepresented", r"the origin of this software must not be misrepresented", 7, 0.95),
+    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain", 7, 0.95),
+    *[(f"gpl-{n}", "general", rf"(?:gnu )?general public licen[cs]e{_EITHER} {n}(?: 0)?{_OF_LATER}", 0.5, 0.95) for n in (1, 2, 3)],
+    ("lgpl-2", "library|lesser", rf"(?:gnu )?(?:library|lesser) general public licen[cs]e{_EITHER} 2(?: 0)?(?! 1 ){_OF_LATER}", 0.5, 0.95),
+    ("lgpl-2.1", "lesser", rf"(?:gnu )?lesser general public licen[cs]e{_EITHER} 2 1{_OF_LATER}", 0.5, 0.95),
+    ("lgpl-3", "lesser", rf"(?:gnu )?lesser general public licen[cs]e{_EITHER} 3(?: 0)?{_OF_LATER}", 0.5, 0.95),
+    ("agpl-3", "affero", rf"(?:gnu )?affero general public licen[cs]e{_EITHER} 3(?: 0)?{_OF_LATER}", 0.5, 0.95),
+]
+
 _TO_WORDS = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20
     for c in range(256))
@@ -102,13 +133,19 @@ class Rule:
 
 @lru_cache(maxsize=1)
 def rules() -> tuple[Rule, ...]:
-    """Every name in every wording, by falling priority; all expressions match whole words."""
+    """Every name in every wording and the texts, by falling priority; all expressions match whole words."""
     made = []
     for wording, words, priority, confidence in WORDINGS:
         for label, keywords, name in NAMES:
             made.append(Rule(
                 label, (frozenset(keywords.split("|")), frozenset(words.split("|"))),
                 re.compile(rf"(?<= ){wording.format(name=f'(?:{name})')}(?= )"), priority, confidence))
+        for label, keywords, name in UNVERSIONED:
+            made.append(Rule(
+                label, (frozenset(keywords.split("|")), frozenset(words.split("|"))),
+                re.compile(rf"(?<= ){wording.format(name=f'(?:{name})')}(?= )"), 0, min(confidence, 0.8)))
+    for label, keywords, text, priority, confidence in TEXTS:
+        made.append(Rule(label, (frozenset(keywords.split("|")),), re.compile(rf"(?<= ){text}(?= )"), priority, confidence))
     return tuple(sorted(made, key=lambda r: -r.priority))
 
 
@@ -137,7 +174,9 @@ def detect(words: list[bytes]) -> list[tuple[int, int, str, float]]:
     found.sort(key=lambda f: (-f[2].priority, f[0] - f[1], f[0], f[2].label))
     stays = []
     for start, end, rule in found:
-        if not any(a <= start and end <= b or start <= a and b <= end for a, b, _ in stays):
+        # A name without a version goes where it only meets another.
+        if not any(a <= start and end <= b or start <= a and b <= end or not rule.priority and a < end and start < b
+                   for a, b, _ in stays):
             stays.append((start, end, rule))
     return sorted(
         (joined.count(" ", 0, start) - 1, joined.count(" ", 0, end), rule.label, rule.confidence)

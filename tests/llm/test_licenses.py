@@ -116,3 +116,26 @@ def test_no_rule_misses_a_text_through_its_keywords():
     assert labels("under the General Public License version 2 license") == ["gpl-2"]
     assert labels("licensed under the PNG Reference Library license") == ["libpng"]
     assert labels("see the creative commons attribution no derivs license") == ["cc-by-nd"]
+
+
+def test_grant_texts_headers_and_names_without_version():
+    gnu = "GNU {} Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    wanted = {
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software": "mit",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy": "boost-1",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted": "isc",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted": "bsd",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software": "bsd-3",
+        "All advertising materials mentioning features or use of this software must display the following": "bsd-4",
+        "The origin of this software must not be misrepresented;": "zlib",
+        "This is free and unencumbered software released into the public domain.": "unlicense",
+        **{gnu.format("General", n): f"gpl-{n}" for n in (1, 2, 3)},
+        gnu.format("Library General", 2): "lgpl-2", gnu.format("Lesser General", "2.1"): "lgpl-2.1",
+        gnu.format("Lesser General", 3): "lgpl-3", gnu.format("Affero General", 3): "agpl-3",
+        "under the terms of the GNU General Public License version 2 of the License": "gpl-2",
+        "released under the GPL": "gpl", "licensed under the LGPL": "lgpl", "see the AGPL license": "agpl",
+        "the Mozilla Public License": "mpl", "licensed under the Apache License": "apache",
+        "a BSD-style license": "bsd", "License: EPL": "epl",
+    }
+    assert {t: labels(t) for t in wanted} == {t: [label] for t, label in wanted.items()}
+    assert labels("licensed under the GPL version 3") == ["gpl-3"]
