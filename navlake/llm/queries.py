@@ -4,7 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from navlake.llm import bpe, exact, licenses, lines, mixing, sharding, simhash, sketches, toxicity, urls
+from navlake.llm import (
+    bpe, exact, importance, licenses, lines, mixing, personal, sharding, simhash, sketches, toxicity, urls, whitening)
 from navlake.llm.common import documents, let_workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +58,21 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode(documents(spark, sf_dir), ranks), ranks)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    fitted = whitening.fit_whitening(vectors)
+    return whitening.digest(whitening.whiten(vectors, fitted), fitted)
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return importance.digest(importance.ranked(documents(spark, sf_dir), target))
+
+
+def op13_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.digest(personal.find_personal(documents(spark, sf_dir)))
+
+
 def _registered(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         let_workers_import(spark)
@@ -68,7 +84,7 @@ def _registered(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     f.__name__: _registered(f) for f in (
         op1_shard, op2_simhash, op3_exact_dedup, op4_line_dedup, op5_fingerprint, op6_url_filter, op7_toxicity,
-        op8_license_scan, op9_mix, op10_bpe)
+        op8_license_scan, op9_mix, op10_bpe, op11_whitening, op12_importance, op13_personal)
 }
 
 ORACLES: dict[str, str] = {"op3_exact_dedup": exact.ORACLE, "op9_mix": mixing.ORACLE}

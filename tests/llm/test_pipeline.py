@@ -38,6 +38,6 @@ def test_registered():
     import __spark_entry__
 
     names = list(__spark_entry__.queries())
-    assert "pipeline" in names and len([n for n in names if n.startswith("op")]) == 10
+    assert "pipeline" in names and len([n for n in names if n.startswith("op")]) == 13
     assert set(__spark_entry__.oracle_sql()) <= set(names)
     assert os.path.basename(corpus_pipeline.__file__) == "corpus_pipeline.py"
