@@ -1,6 +1,6 @@
 """Row selection by key: unique NAV rows, last-write labels, duplicate counts."""
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from navlake.schema import KEY, MASTER_COLUMNS
 
@@ -29,36 +29,81 @@ def dedupe_nav(
     ``order_by`` lists the ingest order, most significant first. Columns that are neither
     key, ``nav`` nor order are dropped.
 
-    ``order_is_unique`` says that no two rows share an order, as with the number of an ingest.
-    Whole-number orders then become one fixed-width decimal, by which a hash aggregate keeps a
-    NAV without sorting the table. Without it rows that share an order need the NAV to decide,
-    which takes an aggregate over a struct.
+    The order becomes one fixed-width decimal (``ingest_number``), by which hash aggregates keep
+    a NAV without sorting the table. ``order_is_unique`` says that no two rows share an order, as
+    with the number of an ingest; otherwise a first aggregate leaves the highest NAV of each
+    order. Orders that no decimal holds take an aggregate over a struct.
     """
     if not order_by:
         return nav.groupBy(*KEY).agg(F.max("nav").alias("nav"))
-    number = ingest_number(nav, list(order_by)) if order_is_unique else None
-    if number is None:
+    numbered = with_ingest_number(nav, list(order_by))
+    if numbered is None:
         return keep_greatest(nav, KEY, list(order_by), ["nav"])
-    return nav.groupBy(*KEY).agg(F.max_by("nav", number).alias("nav"))
+    if not order_is_unique:
+        numbered = numbered.groupBy(*KEY, "ingest").agg(F.max("nav").alias("nav"))
+    return numbered.groupBy(*KEY).agg(F.max_by("nav", "ingest").alias("nav"))
 
 
-# Decimal digits that hold every value of a type, sign aside.
-_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+#: Decimal digits of a decimal, and of the rank that stands for columns which are no numbers. Only
+#: names of feed files are ranked, as there are few; other texts may be as many as the rows.
+_ALL_DIGITS, _RANK_DIGITS, _RANKED = 38, 15, "feed_file"
 
+# Digits of a place in a feed. A split's first byte, and a row of one task, whose
+# upper bits name the task and are the same for a split.
+_PLACE_DIGITS = {"feed_block": 13, "feed_row": 10}
+_ROW_BITS = (1 << 33) - 1
 
-def ingest_number(rows: DataFrame, order_by: list[str | Column]) -> Column | None:
-    """One decimal that orders like the whole-number columns do, or None for other columns."""
-    if not all(isinstance(c, str) for c in order_by):
+_WHOLE = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20, T.DateType: 8, T.TimestampType: 20}
+
+
+def _whole_number(column: Column, name: str, kind: T.DataType) -> tuple[Column, int] | None:
+    """The value as a number from 1 up, a null as 0, with its decimal digits."""
+    if name in _PLACE_DIGITS:
+        value = column.bitwiseAND(_ROW_BITS) if name == "feed_row" else column
+        digits, least = _PLACE_DIGITS[name], 0
+    elif type(kind) not in _WHOLE:
         return None
-    digits = [_DIGITS.get(type(rows.schema[c].dataType)) for c in order_by]
-    if None in digits or sum(digits) > 38:
+    else:
+        value = F.unix_date(column) if isinstance(kind, T.DateType) else (
+            F.unix_micros(column) if isinstance(kind, T.TimestampType) else column)
+        bits = {T.ByteType: 7, T.ShortType: 15, T.IntegerType: 31, T.DateType: 24}.get(type(kind), 63)
+        digits, least = _WHOLE[type(kind)], -(1 << bits)
+    shifted = value.cast(f"decimal({_ALL_DIGITS},0)") - F.lit(str(least - 1)).cast(f"decimal({_ALL_DIGITS},0)")
+    return F.coalesce(shifted.cast(f"decimal({_ALL_DIGITS},0)"), _decimal(0)), digits
+
+
+def _decimal(value: int) -> Column:
+    return F.lit(str(value)).cast(f"decimal({_ALL_DIGITS},0)")
+
+
+def with_ingest_number(rows: DataFrame, order_by: list[str | Column]) -> DataFrame | None:
+    """The keys and NAVs of ``rows`` with ``ingest``, a decimal that orders as the columns do.
+
+    Whole numbers, dates and times go into it as they are. The name of a feed file and the columns
+    before it are replaced by the rank of what they hold together: a row per feed file is ranked,
+    not per NAV. None for other texts, and where the digits don't suffice.
+    """
+    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    names = [c if isinstance(c, str) else "" for c in order_by]
+    named = rows.select(*KEY, "nav", *[c.alias(f"order_{i}") for i, c in enumerate(order)])
+    numbers = [
+        _whole_number(F.col(f"order_{i}"), names[i], named.schema[f"order_{i}"].dataType) for i in range(len(order))]
+    ranked = max((i + 1 for i, n in enumerate(numbers) if n is None), default=0)
+    digits = [n[1] for n in numbers[ranked:]]
+    if sum(digits) + (_RANK_DIGITS if ranked else 0) > _ALL_DIGITS or ranked and names[ranked - 1] != _RANKED:
         return None
-    number = F.lit(0).cast("decimal(38,0)")
-    for column, width in zip(order_by, digits):
-        # Nulls order first, below every value.
-        value = F.coalesce(F.col(column).cast("decimal(38,0)"), F.lit(str(1 - 10 ** width)).cast("decimal(38,0)"))
-        number = (number * F.lit(str(10 ** width)).cast("decimal(38,0)") + value).cast("decimal(38,0)")
-    return number
+    number = _decimal(0)
+    if ranked:
+        held = [f"order_{i}" for i in range(ranked)]
+        ranks = named.select(*held).distinct().withColumn(
+            "rank", F.row_number().over(Window.orderBy(*[F.asc_nulls_first(c) for c in held])))
+        ranks = ranks.select(*[F.col(c).alias(f"of_{c}") for c in held], "rank")
+        same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in held]
+        named = named.join(ranks, same)
+        number = F.col("rank").cast(f"decimal({_ALL_DIGITS},0)")
+    for value, width in numbers[ranked:]:
+        number = (number * _decimal(10 ** width) + value).cast(f"decimal({_ALL_DIGITS},0)")
+    return named.select(*KEY, "nav", number.alias("ingest"))
 
 
 def duplicate_stats(nav: DataFrame) -> DataFrame:

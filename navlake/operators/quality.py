@@ -48,12 +48,16 @@ def coverage_report(master: DataFrame, nav: DataFrame) -> DataFrame:
 
 
 def freshness_report(
-    nav: DataFrame, as_of: dt.date | str | None = None, year: int | None = None
+    nav: DataFrame, as_of: dt.date | str | None = None, year: int | None = None, span: DataFrame | None = None
 ) -> DataFrame:
     """Rows, schemes, date range, rows on the last date, and whether that is today.
 
-    ``year`` restricts the check to one partition.
+    ``year`` restricts the check to one partition. ``span`` is what the log of a stored history
+    says of its dates (``stored_span``): the dates are then not looked for in the rows, and those on
+    the last date only in its own partition.
     """
+    if span is not None:
+        return _freshness_by_span(nav, as_of_date(as_of), span)
     rows = nav if year is None else nav.where(F.col("year") == year)
     # The last date comes from a scan of the date column alone; what is shuffled then is
     # one partial row per scheme and task.
@@ -80,6 +84,20 @@ def freshness_report(
     )
 
 
+def _freshness_by_span(nav: DataFrame, today: Column, span: DataFrame) -> DataFrame:
+    latest = span.select("latest").scalar()
+    on_latest = nav.where((F.col("year") == F.year(latest)) & (F.col("nav_date") == latest))
+    per_scheme = nav.groupBy("scheme_code").agg(F.count(F.lit(1)).alias("n"))
+    return per_scheme.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("nav_rows"), F.count(F.lit(1)).alias("schemes"),
+    ).select(
+        "nav_rows", "schemes", span.select("date_from").scalar().alias("date_from"), latest.alias("latest"),
+        on_latest.agg(F.count(F.lit(1))).scalar().alias("rows_on_latest"),
+        today.alias("today"),
+        F.when(latest == today, F.lit("MATCH")).otherwise(F.lit("latest is older than today")).alias("status"),
+    )
+
+
 def table_totals(nav: DataFrame) -> DataFrame:
     """Rows, schemes and date range of a table; adds up per-scheme aggregates."""
     return scheme_stats(nav).agg(

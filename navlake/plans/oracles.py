@@ -39,7 +39,8 @@ LATEST = """latest AS (
 
 
 def _add(name: str, ctes: list[str], select: str) -> None:
-    ORACLES[name] = f"WITH {', '.join(ctes)} {select}" if ctes else select
+    once = [c.replace("nav AS (", "nav AS MATERIALIZED (", 1) if c.startswith(("nav_raw", "events_raw")) else c for c in ctes]
+    ORACLES[name] = f"WITH {', '.join(once)} {select}" if ctes else select
 
 
 # Unique rows and duplicates.
@@ -194,15 +195,18 @@ def _last_nav_returns(periods, full_window: bool = False) -> list[str]:
         f"{str(parse_period(p).trailing).lower()} AS trailing FROM spans" for p in periods)
     late = """WHEN x.first_date > x.boundary + 10
            THEN 'History starts only on ' || CAST(x.first_date AS VARCHAR)""" if full_window else ""
+    after = [f"nav_date {'>' if parse_period(p).trailing else '>='} {_start(p, 'last_date')}" for p in periods]
+    firsts = ", ".join(
+        f"min(nav_date) FILTER ({c}) AS date_{i}, arg_min(nav, nav_date) FILTER ({c}) AS nav_{i}"
+        for i, c in enumerate(after))
+    each = " UNION ALL ".join(
+        f"SELECT scheme_code, '{p}' AS period, date_{i} AS start_nav_date, nav_{i} AS start_nav FROM firsts "
+        f"WHERE date_{i} IS NOT NULL" for i, p in enumerate(periods))
     return [
-        SPANS,
-        f"targets AS ({targets})",
-        """starts AS (
-          SELECT t.scheme_code, t.period, min(n.nav_date) AS start_nav_date,
-                 arg_min(n.nav, n.nav_date) AS start_nav
-          FROM targets t JOIN nav n ON n.scheme_code = t.scheme_code
-           AND (n.nav_date > t.boundary OR (n.nav_date = t.boundary AND NOT t.trailing))
-          GROUP BY 1, 2)""",
+        SPANS.replace("AS (", "AS MATERIALIZED (", 1),
+        f"targets AS MATERIALIZED ({targets})",
+        f"firsts AS MATERIALIZED (SELECT scheme_code, {firsts} FROM nav JOIN spans USING (scheme_code) GROUP BY 1)",
+        f"starts AS ({each})",
         "ends AS (SELECT scheme_code, arg_max(nav, nav_date) AS end_nav FROM nav GROUP BY 1)",
         f"periods AS (SELECT unnest({list(periods)}) AS period)",
         f"""found AS (
@@ -488,3 +492,27 @@ _add("labelled_update", [NAV, MASTER], """
   FROM nav n LEFT JOIN master m USING (scheme_code)""")
 _add("ingest_stream_daily", [NAV, MASTER],
      f"{_STORED} WHERE scheme_code IN (SELECT scheme_code FROM master)")
+_add("returns_over_loads",
+     [NAV_RAW, _unique("nav_raw", f"l_linenumber > 3 DESC, {INGEST}", "nav"), MASTER, ASKED_MASTER,
+      *_as_of_returns(["1Y", "SI"], AS_OF)], "SELECT * FROM returns")
+_add("compact_nav_history",
+     [NAV_RAW, _unique("nav_raw", f"least(greatest(l_linenumber, 3), 5) DESC, {INGEST}", "nav")], _STORED)
+_add("stored_order", [NAV], """
+  SELECT CAST(year(nav_date) AS INTEGER) AS year, count(*) AS nav_rows, CAST(0 AS BIGINT) AS out_of_order
+  FROM nav GROUP BY 1""")
+_add("scheme_from_lake", [NAV], f"{_STORED} WHERE scheme_code = '101'")
+_add("freshness_of_lake", [NAV], f"""
+  SELECT count(*) AS nav_rows, count(DISTINCT scheme_code) AS schemes, min(nav_date) AS date_from,
+         max(nav_date) AS latest, count(*) FILTER (nav_date = (SELECT max(nav_date) FROM nav)) AS rows_on_latest,
+         DATE '{AS_OF}' AS today,
+         CASE WHEN max(nav_date) = DATE '{AS_OF}' THEN 'MATCH' ELSE 'latest is older than today' END AS status
+  FROM nav""")
+_add("drop_expired_raw", [NAV_RAW], f"""
+  SELECT scheme_code, nav_date, nav, CAST(year(nav_date) AS INTEGER) AS year,
+         DATE '{AS_OF}' AS ingest_date, 'daily' AS source
+  FROM nav_raw WHERE year(nav_date) >= 1996""")
+ORACLES["resumed_load"] = ORACLES["parse_labelled_feed"]
+_add("ingest_stream_batches", [NAV, MASTER], """
+  SELECT scheme_code, nav_date, nav + CASE WHEN scheme_code LIKE '%1' THEN 1 ELSE 0 END AS nav,
+         CAST(year(nav_date) AS INTEGER) AS year
+  FROM nav WHERE scheme_code IN (SELECT scheme_code FROM master)""")

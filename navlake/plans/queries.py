@@ -599,8 +599,8 @@ def category_returns_by_name(spark, d):
         fx.nav_zero(spark, d), fx.master(spark, d), "economy", "1Y", "scheme_name", True,
         convention=returns.AS_OF, as_of=fx.AS_OF,
     )
-    # The rows of one category, as the report shows them.
-    shown = Window.orderBy(F.monotonically_increasing_id())
+    # The rows of one category, numbered as the report sorts them.
+    shown = Window.partitionBy("category").orderBy(F.asc_nulls_last("scheme_name"), "scheme_code")
     return rows.withColumn("position", F.row_number().over(shown))
 
 
@@ -657,7 +657,104 @@ def ingest_stream_daily(spark, d):
 
 @query
 def returns_from_lake(spark, d):
-    """Returns over the stored history."""
+    """Returns over the stored history, read by its buckets."""
     path = scratch_path(spark, "returns-history")
     history.write_nav_history(fx.nav_raw(spark, d), path, fx.INGEST)
-    return returns.returns_grid(tables.read_nav_history(spark, path), fx.master(spark, d))
+    return returns.returns_grid(tables.read_nav_history(spark, path, bucketed=True), fx.master(spark, d))
+
+
+@query
+def returns_over_loads(spark, d):
+    """As-of returns over a base and a load that lies over it."""
+    stored, batch = _stored_batch(spark, d)
+    path = scratch_path(spark, "returns-loads")
+    history.write_nav_history(stored, path, fx.INGEST)
+    history.merge_nav_history(spark, batch, path, fx.INGEST)
+    nav = tables.read_nav_history(spark, path, bucketed=True)
+    return returns.fund_returns(nav, fx.master(spark, d), ["1Y", "SI"], convention=returns.AS_OF, as_of=fx.AS_OF)
+
+
+@query
+def compact_nav_history(spark, d):
+    """Two loads over a base, written into it; the loads' files are removed."""
+    stored, batch = _stored_batch(spark, d)
+    path = scratch_path(spark, "compact")
+    history.write_nav_history(stored, path, fx.INGEST)
+    history.merge_nav_history(spark, batch.where("l_linenumber = 4"), path, fx.INGEST)
+    history.merge_nav_history(spark, batch.where("l_linenumber > 4"), path, fx.INGEST)
+    history.compact_nav_history(spark, path)
+    history.drop_compacted(spark, path)
+    return tables.read_nav_history(spark, path)
+
+
+@query
+def stored_order(spark, d):
+    """Rows of each year's files, and how many of them come before the row above them."""
+    path = scratch_path(spark, "order")
+    history.write_nav_history(fx.nav_raw(spark, d), path, fx.INGEST)
+    rows = spark.read.parquet(path).select(
+        "year", F.struct("scheme_code", "nav_date").alias("key"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    # A file holds one bucket of one year.
+    above = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    return rows.withColumn("above", above).groupBy("year").agg(
+        F.count(F.lit(1)).alias("nav_rows"), F.count_if(F.col("above") >= F.col("key")).alias("out_of_order"))
+
+
+@query
+def scheme_from_lake(spark, d):
+    """The history of one scheme, which lies in one bucket."""
+    path = scratch_path(spark, "scheme-lake")
+    history.write_nav_history(fx.nav_raw(spark, d), path, fx.INGEST)
+    return tables.read_nav_history(spark, path, bucketed=True).where("scheme_code = '101'")
+
+
+@query
+def freshness_of_lake(spark, d):
+    """The dates from the log of a history of a base and a load, the rest from its rows."""
+    stored, batch = _stored_batch(spark, d)
+    path = scratch_path(spark, "freshness-lake")
+    history.write_nav_history(stored, path, fx.INGEST)
+    history.merge_nav_history(spark, batch, path, fx.INGEST)
+    return quality.freshness_report(
+        tables.read_nav_history(spark, path), fx.AS_OF, span=history.stored_span(spark, path))
+
+
+@query
+def drop_expired_raw(spark, d):
+    """What is left of the raw layer when the years beyond retention are removed."""
+    path = scratch_path(spark, "drop-raw")
+    history.write_raw(fx.nav_raw(spark, d).select(*NAV_COLUMNS), path, "daily", fx.AS_OF)
+    history.drop_expired_raw(spark, path, fx.AS_OF, dry_run=False)
+    return tables.read_raw_nav(spark, path).select(*NAV_COLUMNS, "year", "ingest_date", "source")
+
+
+@query
+def resumed_load(spark, d):
+    """A labelled load that stopped behind its raw layer, ended by the next run."""
+    home = jobs.Lake(scratch_path(spark, "resumed"))
+    landing = _landed(spark, fx.labelled_feed_text(fx.nav(spark, d), fx.master(spark, d)), "resumed-landing")
+    rows = feeds.parse_labelled_feed(feeds.read_feed(spark, landing), feeds.LABELLED_DAILY)
+    history.write_raw(rows, home.raw, "daily", fx.AS_OF)
+    years = [r[0] for r in fx.nav(spark, d).select(F.year("nav_date")).distinct().collect()]
+    jobs.record_step(spark, home, jobs.Load("stopped", "daily", fx.AS_OF, tuple(sorted(years))), jobs.RAW)
+    jobs.resume_loads(spark, home)
+    return labels.label_nav(
+        tables.read_nav_history(spark, home.history).select(*NAV_COLUMNS),
+        tables.read_scheme_master(spark, home.master))
+
+
+@query
+def ingest_stream_batches(spark, d):
+    """Three feed files in three batches: recent days, late ones, and all again with corrections."""
+    home = jobs.Lake(scratch_path(spark, "batches"))
+    nav, universe_rows = fx.nav(spark, d), fx.master(spark, d)
+    corrected = nav.withColumn("nav", F.col("nav") + F.when(F.col("scheme_code").endswith("1"), 1).otherwise(0))
+    landing, checkpoint = scratch_path(spark, "batches-landing"), scratch_path(spark, "batches-checkpoint")
+    for rows in (nav.where("nav_date >= date'1996-01-01'"), nav.where("nav_date < date'1996-01-01'"), corrected):
+        # A feed is one file, as it is published.
+        fx.unique_daily_feed_text(rows).coalesce(1).write.mode("append").text(landing)
+        ingest_stream(
+            spark, landing, home, checkpoint, lambda lines: feeds.parse_daily_feed(lines, universe_rows),
+            files_per_batch=1).awaitTermination()
+    return tables.read_nav_history(spark, home.history)

@@ -1,19 +1,22 @@
-"""Year-partitioned NAV tables: full write, merge, raw audit layer, scoped re-layout.
+"""NAV tables by year: full write, loads beside the base, compaction, raw layer, re-layout, retention.
 
-Each writer replaces only the partitions its rows fall into. A replaced partition is
+A writer of the base replaces only the years its rows fall into. A replaced partition is
 staged aside and put in place when the whole job commits, so lost executors and retried
-tasks leave the old data readable until then.
+tasks leave the old data readable until then. A merge writes its own rows only, as a load
+beside the base; they count from the moment its log entry is written (``sources.layers``).
 """
 
 import datetime as dt
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from navlake.functions.periods import as_of_date
 from navlake.operators.dedupe import dedupe_nav
 from navlake.operators.labels import filter_universe
-from navlake.schema import FEED_ORDER, NAV_COLUMNS
+from navlake.schema import FEED_ORDER, KEY, NAV_COLUMNS
+from navlake.sources.layers import (
+    LOG_SCHEMA, bucketed_table, find_history, layers, loads_of, log_of, read_log)
 from navlake.sources.tables import as_nav_history, find_table, read_raw_nav
 
 # Fixed value: years of raw files kept by default.
@@ -27,20 +30,56 @@ def _replace_partitions(rows: DataFrame, path: str, partitions: list[str]) -> No
     )
 
 
-def _by_year_and_scheme(nav: DataFrame) -> DataFrame:
-    """Rows range-partitioned and sorted by (year, scheme, date).
+def _seen_years(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows, and the calendar years that are in them once they are written."""
+    seen = Observation()
+    return rows.observe(seen, F.collect_set("year").alias("years")), seen
+
+
+def _append_log(spark: SparkSession, path: str, written: DataFrame, load: int, buckets: int | None) -> None:
+    """Log entries for the written rows of a load, or of the base where ``buckets`` is given."""
+    entries = written.groupBy("year").agg(
+        F.count(F.lit(1)).alias("nav_rows"), F.min("nav_date").alias("first_date"),
+        F.max("nav_date").alias("last_date"),
+    ).select(
+        F.lit(load).alias("load"), F.col("year").cast("int").alias("year"),
+        F.lit(buckets is not None).alias("is_base"), F.lit(buckets).cast("int").alias("buckets"),
+        "nav_rows", "first_date", "last_date")
+    entries.to(spark.createDataFrame([], LOG_SCHEMA).schema).coalesce(1).write.mode("append").parquet(log_of(path))
 
-    A range holds neighbouring schemes of a year, so a large year spreads over many files
-    whose row groups a filter on scheme codes can skip.
-    """
-    dated = nav.select(*NAV_COLUMNS, F.year("nav_date").alias("year"))
-    order = ["year", "scheme_code", "nav_date"]
-    return dated.repartitionByRange(*order).sortWithinPartitions(*order)
 
+def _write_base(unique: DataFrame, path: str, buckets: int | None = None) -> None:
+    """Replace the years of ``unique`` in the base, bucketed by scheme and sorted by scheme and date.
 
-def write_nav_history(nav: DataFrame, path: str, order_by: list[str | Column] = ()) -> None:
+    All years of a scheme share a bucket, so that what is asked per scheme needs no shuffle, and a
+    filter on a scheme reads one bucket. The number of buckets is that of the base there is, else the
+    one given, else the session's shuffle partitions.
+    """
+    spark = unique.sparkSession
+    found = layers(spark, path)
+    buckets = found.buckets or buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = bucketed_table(spark, path, buckets)
+    rows, seen = _seen_years(unique.select(*NAV_COLUMNS, F.year("nav_date").alias("year")))
+    # The bucket of a row is its partition here, so each task writes one file a year.
+    placed = rows.repartition(buckets, "scheme_code").sortWithinPartitions("year", *KEY)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")  # insertInto takes it from the session only
+    try:
+        placed.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)
+    years = seen.get["years"]
+    if years:
+        written = spark.table(table).where(F.col("year").isin(years))
+        _append_log(spark, path, written, found.newest + 1, buckets)
+
+
+def write_nav_history(
+    nav: DataFrame, path: str, order_by: list[str | Column] = (), buckets: int | None = None
+) -> None:
     """Deduplicate and write; years that ``nav`` does not touch stay as they are."""
-    _replace_partitions(_by_year_and_scheme(dedupe_nav(nav, order_by)), path, ["year"])
+    _write_base(dedupe_nav(nav, order_by), path, buckets)
 
 
 def merge_nav_history(
@@ -49,35 +88,65 @@ def merge_nav_history(
     path: str,
     order_by: list[str | Column] = (),
     stored_wins: bool = False,
-    years: list[int] | None = None,
-) -> None:
-    """Add a batch to the history: batch rows replace stored rows of the same key.
+    order_is_unique: bool = False,
+) -> int:
+    """Add a batch to the history as a load beside it; batch rows replace stored ones of a key.
 
-    Only the years in the batch are read and rewritten, whichever years they are. The
-    batch is made unique first (``years`` names its years where the caller knows them); then stored and fresh rows meet in the range partitions
-    the files are written from, so stored rows are shuffled once.
+    The batch is made unique and written; nothing that is stored is read or written again, but for
+    ``stored_wins``, which looks up the batch's keys in the years it touches and writes those not there.
+    Returns the load's number.
     """
-    fresh = dedupe_nav(batch, order_by)
-    table = find_table(spark, path)
-    if table is None:
-        _replace_partitions(_by_year_and_scheme(fresh), path, ["year"])
-        return
-    if years is None:
-        # A handful of calendar years, whatever the size of the batch.
-        years = [r[0] for r in batch.select(F.year("nav_date")).distinct().collect()]
-    stored = as_nav_history(table).where(F.col("year").isin(years))
-    rows = (
-        stored.select(*NAV_COLUMNS, F.lit(int(stored_wins)).alias("rank"))
-        .unionByName(fresh.select(*NAV_COLUMNS, F.lit(int(not stored_wins)).alias("rank")))
-        .withColumn("year", F.year("nav_date"))
-    )
-    key = ["year", "scheme_code", "nav_date"]
-    unique = (
-        rows.repartitionByRange(*key)
-        .groupBy(*key).agg(F.max_by("nav", "rank").alias("nav"))
-        .sortWithinPartitions(*key)
-    )
-    _replace_partitions(unique.select(*NAV_COLUMNS, "year"), path, ["year"])
+    fresh = dedupe_nav(batch, order_by, order_is_unique)
+    if stored_wins:
+        stored = find_history(spark, path)
+        if stored is not None:
+            # A handful of calendar years, whatever the size of the batch.
+            years = [r[0] for r in batch.select(F.year("nav_date")).distinct().collect()]
+            held = as_nav_history(stored).where(F.col("year").isin(years))
+            fresh = fresh.join(held.select(*KEY), KEY, "left_anti")
+    load = layers(spark, path).newest + 1
+    rows, seen = _seen_years(fresh.select(*NAV_COLUMNS, F.year("nav_date").alias("year")))
+    placed = rows.withColumn("load", F.lit(load)).hint("rebalance", F.col("year")).sortWithinPartitions("year", *KEY)
+    _replace_partitions(placed, loads_of(path), ["year", "load"])
+    years = seen.get["years"]
+    if years:
+        places = [f"{loads_of(path)}/year={year}/load={load}" for year in sorted(years)]
+        written = spark.read.option("basePath", loads_of(path)).parquet(*places)
+        _append_log(spark, path, written, load, None)
+    return load
+
+
+def compact_nav_history(spark: SparkSession, path: str) -> list[int]:
+    """Write the years that loads lie over into the base; returns them.
+
+    The loads stop counting when the new base's entries are in the log, and until then say what
+    the base says already; ``drop_compacted`` removes their files.
+    """
+    years = layers(spark, path).years
+    if years:
+        whole = as_nav_history(find_history(spark, path)).where(F.col("year").isin(years))
+        _write_base(whole, path)
+    return years
+
+
+def remove_directories(spark: SparkSession, paths: list[str]) -> None:
+    """Delete directories with all that is in them, on whatever store they lie."""
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        at = place(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def drop_compacted(spark: SparkSession, path: str) -> int:
+    """Remove the files of loads that no longer count, and those of loads that failed."""
+    loads = find_table(spark, loads_of(path))
+    if loads is None:
+        return 0
+    live = set(layers(spark, path).loads)
+    there = loads.select("year", "load").distinct().collect()  # a directory each
+    gone = [f"{loads_of(path)}/year={y}/load={n}" for y, n in there if (y, n) not in live]
+    remove_directories(spark, gone)
+    return len(gone)
 
 
 def backfill_funds(
@@ -87,6 +156,12 @@ def backfill_funds(
     merge_nav_history(spark, rows, path, order_by, stored_wins=True)
 
 
+def stored_span(spark: SparkSession, path: str) -> DataFrame:
+    """``date_from, latest``: first and last date of a stored history, from its log alone."""
+    return read_log(spark, path).agg(
+        F.min("first_date").alias("date_from"), F.max("last_date").alias("latest"))
+
+
 def write_raw(
     rows: DataFrame, path: str, source: str, ingest_date: dt.date | str | None = None
 ) -> None:
@@ -129,7 +204,7 @@ def rebuild_nav_history(
 
 def relayout_scoped(nav: DataFrame, universe: DataFrame, path: str) -> None:
     """Write the rows of the universe's schemes, laid out by year."""
-    _replace_partitions(_by_year_and_scheme(filter_universe(nav, universe)), path, ["year"])
+    _write_base(filter_universe(nav, universe), path)
 
 
 def relayout_raw_scoped(raw: DataFrame, universe: DataFrame, path: str) -> None:
@@ -150,7 +225,7 @@ def expired_raw(
 ) -> DataFrame:
     """Raw partitions older than ``years`` years, by their directory names, with their rows.
 
-    They are listed, not removed: the audit layer is dropped by whoever owns its storage.
+    They are listed, not removed; ``drop_expired_raw`` does that.
     """
     raw = spark.read.option("mergeSchema", "false").parquet(path)
     return (
@@ -159,9 +234,32 @@ def expired_raw(
     )
 
 
+def drop_expired_raw(
+    spark: SparkSession, path: str, as_of: dt.date | str | None = None, years: int = RETENTION_YEARS,
+    dry_run: bool = True,
+) -> list[int]:
+    """The years of the raw layer older than ``years`` years; removed unless ``dry_run``.
+
+    Whole year directories go; nothing else is read or written.
+    """
+    expired = expired_raw(spark, path, as_of, years).select("year").distinct().orderBy("year")
+    gone = [r["year"] for r in expired.collect()]  # calendar years
+    if not dry_run:
+        remove_directories(spark, [f"{path}/year={year}" for year in gone])
+    return gone
+
+
 def already_loaded(spark: SparkSession, path: str, nav_date: dt.date | None) -> bool:
-    """Whether a date is in the history; reads one partition, up to the first match."""
-    table = find_table(spark, path) if nav_date is not None else None
+    """Whether a date is in the history; reads one partition, up to the first match.
+
+    A date outside the span that the log names is not looked for.
+    """
+    if nav_date is None:
+        return False
+    span = stored_span(spark, path).first()
+    if span["latest"] is not None and not span["date_from"] <= nav_date <= span["latest"]:
+        return False
+    table = find_history(spark, path)
     if table is None:
         return False
     held = as_nav_history(table).where(

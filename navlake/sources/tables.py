@@ -1,27 +1,19 @@
 """Readers for the Parquet tables, on any path Spark can reach."""
 
 import datetime as dt
+from collections.abc import Iterator
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from navlake.schema import FEED_ORDER, LABEL_COLUMNS, MASTER_COLUMNS, NAV_COLUMNS, NAV_SCHEMA
-
-
-def find_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at ``path``, or None where there is no data."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+from navlake.sources.layers import find_history, find_table
 
 
 def require_tables(spark: SparkSession, *paths: str) -> None:
     """Fail early and by name when a lake is not there, as after a mistyped path."""
-    missing = [p for p in paths if find_table(spark, p) is None]
+    missing = [p for p in paths if find_history(spark, p) is None]
     if missing:
         raise FileNotFoundError(f"no Parquet data at {', '.join(missing)}")
 
@@ -50,9 +42,13 @@ def as_scheme_master(table: DataFrame) -> DataFrame:
     return table.select(*[F.col(c).cast("string").alias(c) for c in MASTER_COLUMNS])
 
 
-def read_nav_history(spark: SparkSession, path: str) -> DataFrame:
-    """Processed NAV rows, with the partition column ``year`` kept for pruning."""
-    return as_nav_history(spark.read.parquet(path))
+def read_nav_history(spark: SparkSession, path: str, bucketed: bool = False) -> DataFrame:
+    """Processed NAV rows, with the partition column ``year`` kept for pruning.
+
+    ``bucketed`` is for questions per scheme: they then need no shuffle of the history.
+    """
+    found = find_history(spark, path, bucketed)
+    return as_nav_history(spark.read.parquet(path) if found is None else found)
 
 
 def as_nav_history(table: DataFrame) -> DataFrame:
@@ -69,7 +65,7 @@ def as_nav_history(table: DataFrame) -> DataFrame:
 
 def read_year(spark: SparkSession, path: str, year: int) -> DataFrame:
     """One year partition; no rows where the table or the year is missing."""
-    table = find_table(spark, path)
+    table = find_history(spark, path)
     if table is None:
         return spark.createDataFrame([], NAV_SCHEMA).withColumn("year", F.lit(year))
     return as_nav_history(table).where(F.col("year") == year)
@@ -90,10 +86,10 @@ def between_dates(
 def read_raw_nav(spark: SparkSession, path: str) -> DataFrame:
     """All raw files as one table: columns by name, codes as strings, absent columns null.
 
-    Spark merges the file footers on executors. Where files disagree on a column's type, the
-    load directories are grouped by the types in them and each group is one scan; there are as
-    many as there have been types, however many files. Only directory names, and the files of
-    a directory that disagrees in itself, reach the driver.
+    Spark merges the file footers on executors. Where files disagree on a column's type, tasks
+    read the footers of the files, and the files are grouped by the types in them: one
+    job for that, and one scan for each group of types that agree, however many loads there are.
+    The driver sees the types there have been, and the list of files that any scan holds.
     """
     tables = [_raw_columns(table) for table in _agreeing_tables(spark, path)]
     union = tables[0]
@@ -107,26 +103,48 @@ def _agreeing_tables(spark: SparkSession, root: str) -> list[DataFrame]:
     whole = _merged(reader, [root])
     if whole is not None:
         return [whole]
+    groups: list[tuple[dict, list[str]]] = []
+    for row in file_types(spark, root).collect():
+        types = dict(pair.split(" ", 1) for pair in row["types"])
+        for held, paths in groups:
+            if all(held.get(name, kind) == kind for name, kind in types.items()):
+                held.update(types)
+                paths += row["paths"]
+                break
+        else:
+            groups.append((types, list(row["paths"])))
+    return [reader.parquet(*paths) for _, paths in groups]
+
+
+def file_types(spark: SparkSession, root: str) -> DataFrame:
+    """``types, paths``: the files below ``root`` by the columns and types in their footers.
+
+    The files are listed by Spark and their footers read by its tasks, not their content.
+    """
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true").load(root)
-        .select("path", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"))
+        .option("recursiveFileLookup", "true").load(root).select("path")
     )
-    by_types: dict[tuple, list[str]] = {}
-
-    def place(path: str) -> bool:
-        table = _merged(reader, [path])
-        if table is not None:
-            types = sorted((f.name, f.dataType.simpleString()) for f in table.schema)
-            by_types.setdefault(tuple(types), []).append(path)
-        return table is not None
-
-    folders = [r["folder"] for r in files.select("folder").distinct().orderBy("folder").collect()]
-    mixed = [folder for folder in folders if not place(folder)]
-    if mixed:
-        for row in files.where(F.col("folder").isin(mixed)).orderBy("path").collect():
-            place(row["path"])
-    return [reader.parquet(*paths) for paths in by_types.values()]
+    typed = files.mapInPandas(_footers, "path string, types array<string>")
+    # Names and types of a file are one short list; files of equal lists meet.
+    return typed.groupBy("types").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("types")
+
+
+def _footers(batches: Iterator) -> Iterator:
+    """Columns and types of each file, on any store that pyarrow opens."""
+    import pyarrow.fs
+    import pyarrow.parquet
+
+    for batch in batches:
+        types = []
+        for path in batch["path"]:
+            if path.startswith("file:"):
+                store, place = pyarrow.fs.LocalFileSystem(), path[len("file:"):]
+            else:
+                store, place = pyarrow.fs.FileSystem.from_uri(path)
+            schema = pyarrow.parquet.read_schema(place, filesystem=store)
+            types.append(sorted(f"{field.name} {field.type}" for field in schema))
+        yield batch.assign(types=types)
 
 
 def _merged(reader, paths: list[str]) -> DataFrame | None:

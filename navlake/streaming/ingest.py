@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from navlake.plans.lake import Lake, load_rows
@@ -22,19 +22,15 @@ def ingest_stream(
 
     ``parse`` turns raw feed lines into rows. The checkpoint remembers the files
     already taken. A batch that is retried replaces its own raw partition, and the merge
-    gives the same history again; late rows rewrite the year they belong to.
+    gives the same history again; late rows go beside the years they belong to. The text of a
+    batch is scanned once: its day comes from the parsed rows.
     """
     reader = spark.readStream
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def load(feed: DataFrame, batch_id: int) -> None:
-        day = feed.agg(F.max(F.to_date("feed_time"))).first()[0]
-        if day is not None:
-            load_rows(
-                feed.sparkSession, parse(feed), lake, f"{source}-{batch_id}",
-                ingest_date=day, force=True,
-            )
+        load_rows(feed.sparkSession, parse(feed), lake, f"{source}-{batch_id}", force=True, day_of_feed=True)
 
     return (
         raw_lines(reader, landing)

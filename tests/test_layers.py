@@ -1,0 +1,293 @@
+"""A history of a base and loads, load steps, retention that removes, footers, ingest numbers, streams."""
+
+import datetime as dt
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from navlake.operators import dedupe, quality, returns
+from navlake.plans import lake as jobs
+from navlake.schema import FEED_ORDER
+from navlake.sinks import history, master as master_table
+from navlake.sources import feeds, layers, tables
+from navlake.streaming.ingest import ingest_stream
+from test_tables import LABELLED_1, LABELLED_2, files_below, stored
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(frame):
+    frame.collect()
+    return plan_of(frame)
+
+
+@pytest.fixture
+def path(tmp_path):
+    return str(tmp_path / "nav_history")
+
+
+def many(spark, codes=40, days=100, nav="cast(id as double)"):
+    return spark.range(codes * days).selectExpr(
+        f"lpad(cast(id % {codes} as string), 3, '0') as scheme_code",
+        f"date_add(date'2023-10-01', cast(id / {codes} as int)) as nav_date", f"{nav} as nav")
+
+
+def test_a_merge_reads_and_writes_its_own_files_only(spark, nav_of, path, monkeypatch):
+    history.write_nav_history(many(spark), path)
+    before = files_below(path)
+    read = []
+    own = history._replace_partitions
+
+    def note(rows, *args):
+        read.append(plan_of(rows))
+        own(rows, *args)
+
+    monkeypatch.setattr(history, "_replace_partitions", note)
+    history.merge_nav_history(spark, nav_of(("000", "2024-01-01", -1), ("new", "2024-01-02", 2)), path)
+    assert files_below(path) == before
+    assert len(read) == 1 and "FileScan" not in read[0]
+    below = files_below(layers.loads_of(path))
+    assert below and all("year=2024/load=2" in name for name in below)
+    rows = stored(spark, path)
+    assert len(rows) == 4001 and ("000", "2024-01-01", -1.0) in rows and ("new", "2024-01-02", 2.0) in rows
+
+
+def test_loads_compared_with_a_dictionary(spark, path):
+    rng, want = random.Random(3), {}
+    schema = "scheme_code string, nav_date date, nav double"
+    for turn in range(8):
+        rows = [(f"s{rng.randrange(5)}", dt.date(2022 + rng.randrange(3), 1, 1 + rng.randrange(6)), float(turn * 100 + i))
+                for i in range(12)]
+        frame = spark.createDataFrame(rows, schema)
+        latest = {}
+        for code, day, nav in rows:
+            latest[code, day] = max(nav, latest.get((code, day), nav))
+        if turn == 4:
+            years = {day.year for _, day in latest}
+            want = {k: v for k, v in want.items() if k[1].year not in years} | latest
+            history.write_nav_history(frame, path)
+        elif turn % 3 == 1:
+            want = latest | want
+            history.backfill_funds(spark, frame, path)
+        else:
+            want |= latest
+            history.merge_nav_history(spark, frame, path)
+        if turn == 6:
+            history.compact_nav_history(spark, path)
+            assert history.drop_compacted(spark, path) > 0
+        assert stored(spark, path) == sorted((c, str(d), v) for (c, d), v in want.items())
+    bucketed = tables.read_nav_history(spark, path, bucketed=True)
+    assert {(r[0], r[1]): r[2] for r in bucketed.collect()} == want
+    span = history.stored_span(spark, path).first()
+    assert span["latest"] == max(d for _, d in want) and span["date_from"] <= min(d for _, d in want)
+
+
+def test_a_load_without_its_log_entry_is_not_read(spark, nav_of, path, monkeypatch):
+    history.write_nav_history(nav_of(("a", "2024-01-01", 1)), path)
+
+    def stop(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(history, "_append_log", stop)
+        with pytest.raises(RuntimeError):
+            history.merge_nav_history(spark, nav_of(("a", "2024-01-01", 2), ("b", "2023-01-01", 2)), path)
+    assert stored(spark, path) == [("a", "2024-01-01", 1.0)]
+    history.merge_nav_history(spark, nav_of(("a", "2024-01-01", 3)), path)
+    assert stored(spark, path) == [("a", "2024-01-01", 3.0)]
+    assert history.drop_compacted(spark, path) == 1  # what the failed load left
+    assert stored(spark, path) == [("a", "2024-01-01", 3.0)]
+
+
+def test_compaction_that_stops_halfway_changes_nothing(spark, nav_of, path, monkeypatch):
+    history.write_nav_history(nav_of(("a", "2024-01-01", 1), ("b", "2024-01-01", 1)), path)
+    history.merge_nav_history(spark, nav_of(("a", "2024-01-01", 2)), path)
+    want = stored(spark, path)
+    with monkeypatch.context() as patched:
+        patched.setattr(history, "_append_log", lambda *_: None)
+        history.compact_nav_history(spark, path)
+    assert stored(spark, path) == want
+    assert history.compact_nav_history(spark, path) == [2024]
+    assert history.compact_nav_history(spark, path) == []
+    assert stored(spark, path) == want
+
+
+@pytest.mark.parametrize("with_load", [False, True])
+def test_returns_need_no_shuffle_of_the_history(spark, nav_of, master_of, path, with_load, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    history.write_nav_history(many(spark), path, buckets=4)
+    if with_load:
+        history.merge_nav_history(spark, nav_of(("001", "2024-01-03", 7)), path)
+        conf("spark.sql.autoBroadcastJoinThreshold", "1000000")
+    nav = tables.read_nav_history(spark, path, bucketed=True)
+    master = master_of(*[(f"{i:03d}", "H", "C", f"n{i}") for i in range(50)])
+    wide = returns._wide_as_of(nav, [returns.parse_period("1M")], F.lit("2024-01-05").cast("date"))
+    plan = final_plan(wide)
+    scans = [line for line in plan.split("Initial Plan")[0].splitlines() if "FileScan parquet" in line]
+    assert any("Bucketed: true" in line for line in scans)
+    # Above a scan of the base no line of the tree is an exchange.
+    for i, line in enumerate(plan.split("Initial Plan")[0].splitlines()):
+        if "Bucketed: true" in line:
+            depth, above = line.index("FileScan"), []
+            for earlier in reversed(plan.splitlines()[:i]):
+                text = earlier.lstrip(" :+-")
+                at = len(earlier) - len(text)
+                if at < depth:
+                    depth = at
+                    above.append(text)
+            assert not any("Exchange" in text for text in above)
+    grid = returns.returns_grid(nav, master)
+    assert grid.count() == 50 * len(returns.PERIODS)
+
+
+def test_a_scheme_is_read_from_one_bucket(spark, path):
+    history.write_nav_history(many(spark), path, buckets=8)
+    rows = tables.read_nav_history(spark, path, bucketed=True).where("scheme_code = '007'")
+    assert len(rows.collect()) == 100
+    scan = rows._jdf.queryExecution().executedPlan().collectLeaves().head()
+    in_bucket = spark.table(layers.bucketed_table(spark, path, 8)).where(
+        F.pmod(F.hash("scheme_code"), F.lit(8)) == F.pmod(F.hash(F.lit("007")), F.lit(8))).count()
+    assert scan.metrics().apply("numOutputRows").value() == in_bucket < 4000
+    assert len(files_below(path)) <= 16  # one file a bucket and year
+
+
+def test_writers_do_not_sort_to_aggregate(spark, path, monkeypatch):
+    plans = []
+    base, replace = history._write_base, history._replace_partitions
+    monkeypatch.setattr(history, "_write_base", lambda rows, *a: (plans.append(plan_of(rows)), base(rows, *a)))
+    monkeypatch.setattr(history, "_replace_partitions", lambda rows, *a: (plans.append(plan_of(rows)), replace(rows, *a)))
+    rows = many(spark).selectExpr(
+        "*", "timestamp'2024-01-01 00:00:00' as feed_time", "'f' || cast(nav % 3 as int) as feed_file",
+        "cast(0 as long) as feed_block", "monotonically_increasing_id() as feed_row", "cast(nav as int) as line")
+    history.write_nav_history(rows, path, ["line"])
+    history.merge_nav_history(spark, rows, path, FEED_ORDER, order_is_unique=True)
+    history.merge_nav_history(spark, rows, path, FEED_ORDER)
+    raw = path + "-raw"
+    history.write_raw(rows.drop("line"), raw, "daily", "2024-01-02")
+    history.rebuild_nav_history(spark, raw, path)
+    assert len(plans) == 5
+    assert all("SortAggregate" not in p and "HashAggregate" in p for p in plans if "observe" in p.lower() or "Aggregate" in p)
+
+
+def test_ingest_numbers_order_as_the_columns_do(spark):
+    rng = random.Random(9)
+    when = [dt.datetime(2024, 1, 1), dt.datetime(1960, 5, 5, 5, 5), dt.datetime(2024, 1, 1, 0, 0, 0, 1), None]
+    rows = [("k", dt.date(2024, 1, 1), float(i), rng.choice(when), rng.choice(["a", "b", None]), rng.choice([0, 5, 1 << 40]),
+             (rng.randrange(3) << 33) + rng.randrange(4), rng.choice([-(1 << 63), -1, None, 0, (1 << 63) - 1]),
+             rng.choice([None, dt.date(1950, 1, 1), dt.date(2024, 2, 2)])) for i in range(200)]
+    frame = spark.createDataFrame(rows, (
+        "scheme_code string, nav_date date, nav double, feed_time timestamp, feed_file string, feed_block long, "
+        "feed_row long, big long, day date"))
+
+    def rank(value):
+        return (value is not None, value)
+
+    for order, key in (
+        (FEED_ORDER, lambda r: (rank(r[3]), rank(r[4]), r[5], r[6] & ((1 << 33) - 1))),
+        (["day", "big"], lambda r: (rank(r[8]), rank(r[7]))),
+        (["day", *FEED_ORDER], lambda r: (rank(r[8]), rank(r[3]), rank(r[4]), r[5], r[6] & ((1 << 33) - 1))),
+    ):
+        numbers = {r["nav"]: r["ingest"] for r in dedupe.with_ingest_number(frame, order).collect()}
+        for a in rows[::5]:
+            for b in rows:
+                assert (key(a) < key(b)) == (numbers[a[2]] < numbers[b[2]])
+        best = max(rows, key=lambda r: (key(r), r[2]))
+        assert dedupe.dedupe_nav(frame, order).first()["nav"] == best[2]
+    assert dedupe.with_ingest_number(frame.withColumn("name", F.lit("x")), ["name"]) is None
+    assert dedupe.with_ingest_number(frame, ["big", "big", "big"]) is None
+
+
+def landing(tmp_path, name, content):
+    (tmp_path / name).mkdir()
+    (tmp_path / name / "feed.txt").write_text(content)
+    return str(tmp_path / name)
+
+
+@pytest.mark.parametrize("broken", ["merge_nav_history", "refresh_scheme_master"])
+def test_a_load_that_fails_between_its_sinks_is_ended_by_the_next(spark, tmp_path, monkeypatch, broken):
+    home = jobs.Lake(str(tmp_path / "lake"))
+    one, two = landing(tmp_path, "d1", LABELLED_1), landing(tmp_path, "d2", LABELLED_2)
+
+    def stop(*_, **__):
+        raise RuntimeError("lost")
+
+    where = history if broken == "merge_nav_history" else master_table
+    with monkeypatch.context() as patched:
+        patched.setattr(where, broken, stop)
+        with pytest.raises(RuntimeError):
+            jobs.labelled_daily_update(spark, one, home, ingest_date="2026-02-01")
+    assert [step for _, step in jobs.unfinished_loads(spark, home)] == [1 if broken == "merge_nav_history" else 2]
+    # The guard finds the day loaded once the rest is done.
+    assert not jobs.labelled_daily_update(spark, one, home, ingest_date="2026-02-01")
+    assert jobs.unfinished_loads(spark, home) == []
+    assert tables.read_scheme_master(spark, home.master).count() == 2
+    assert len(stored(spark, home.history)) == 2
+    assert jobs.labelled_daily_update(spark, two, home, ingest_date="2026-02-02")
+    assert len(stored(spark, home.history)) == 4 and tables.read_raw_nav(spark, home.raw).count() == 4
+
+
+def test_retention_removes_whole_years(spark, nav_of, tmp_path):
+    raw = str(tmp_path / "raw")
+    history.write_raw(nav_of(*[("a", f"{y}-05-01", y) for y in range(2015, 2025)]), raw, "daily", "2024-06-01")
+    before = files_below(raw)
+    assert history.drop_expired_raw(spark, raw, "2024-06-01") == [2015, 2016, 2017, 2018]
+    assert files_below(raw) == before
+    assert history.drop_expired_raw(spark, raw, "2024-06-01", dry_run=False) == [2015, 2016, 2017, 2018]
+    assert files_below(raw) == {k: v for k, v in before.items() if int(k.split("year=")[1][:4]) >= 2019}
+    assert history.expired_raw(spark, raw, "2024-06-01").isEmpty()
+
+
+def test_footers_are_one_job_however_many_loads(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    for i in range(10):
+        code = F.lit(i).cast(["string", "long", "int"][i % 3]).alias("scheme_code")
+        (spark.range(1).select(code, F.lit("2024-01-01").cast("date").alias("nav_date"), F.lit(1.0).alias("nav"))
+         .coalesce(1).write.parquet(f"{raw}/year=2024/ingest_date=2024-01-{i + 10}/source=s"))
+    jobs_before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    spark.sparkContext.setJobGroup("footers", "footers")
+    rows = tables.read_raw_nav(spark, raw)
+    count = len(spark.sparkContext.statusTracker().getJobIdsForGroup("footers"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs_before is not None and 2 <= count <= 9
+    assert sorted(r["scheme_code"] for r in rows.collect()) == [str(i) for i in range(10)]
+    assert plan_of(rows).count("FileScan parquet") == 3
+
+
+def test_freshness_by_the_log_reads_no_dates_but_the_last_years(spark, path):
+    history.write_nav_history(many(spark), path)
+    nav = tables.read_nav_history(spark, path)
+    found = quality.freshness_report(nav, "2024-01-08", span=history.stored_span(spark, path))
+    plain = quality.freshness_report(nav, "2024-01-08")
+    assert found.collect() == plain.collect() and found.first()["rows_on_latest"] == 40
+    scans = [line for line in plan_of(found).splitlines() if "FileScan parquet" in line and "nav_date" in line.split("Batched")[0]]
+    assert all("PartitionFilters: [isnotnull(year" in line or "year" in line.split("PartitionFilters")[1][:60] for line in scans)
+
+
+def test_the_guard_asks_the_log_first(spark, path, monkeypatch):
+    history.write_nav_history(many(spark), path)
+    monkeypatch.setattr(history, "find_history", lambda *_: pytest.fail("read"))
+    assert not history.already_loaded(spark, path, dt.date(2024, 6, 1))
+
+
+def test_stream_scans_each_batch_once(spark, tmp_path):
+    home = jobs.Lake(str(tmp_path / "lake"))
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    contents = [LABELLED_1, LABELLED_2, "SIF-1;i;i;One;99;01-Feb-2025\n" + LABELLED_1]
+    for i, content in enumerate(contents):
+        (folder / f"{i}.txt").write_text(content)
+        os.utime(folder / f"{i}.txt", (1_700_000_000 + i * 86_400,) * 2)
+    stream = ingest_stream(
+        spark, str(folder), home, str(tmp_path / "checkpoint"),
+        lambda feed: feeds.parse_labelled_feed(feed, feeds.LABELLED_DAILY), files_per_batch=1)
+    stream.awaitTermination()
+    rows = [p["numInputRows"] for p in stream.recentProgress if p["numInputRows"]]
+    assert rows == [len(c.splitlines()) for c in contents]
+    assert ("SIF-1", "2025-02-01", 99.0) in stored(spark, home.history)
+    assert len(stored(spark, home.history)) == 5
+    days = tables.read_raw_nav(spark, home.raw).select("ingest_date").distinct().count()
+    assert days == 3
