@@ -1,159 +1,225 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A sketch is a small table of cells; each paragraph digest is added to one cell in each of three
-sections as a count and two exclusive-or sums. Cells of two versions subtract, which leaves
+A sketch is a table of cells; each paragraph digest is added to one cell in each of three
+sections, as a count and an exclusive-or sum. Cells of two versions subtract, which leaves
 what differs; a cell with one digest left gives it up, and peeling it from its other cells frees
-more. Where peeling gets stuck the digests are dealt into parts and sketched again with more
-cells, part by part.
+more. Digests are dealt into parts by hash, so a part is small however long the text is. A
+fingerprint has as many parts as its text's digests ask for, and a part that can't be peeled by
+itself is sketched larger: two fingerprints alone tell which digests differ.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from navlake.llm.common import cut, number_rows, repeat_rows
 
-#: Where a text is cut into paragraphs: at line ends, and inside a line after some sentences,
-#: which the letter before the full stop decides, so that an insertion moves no other cut.
-PARAGRAPH = r"\n|(?<=[a-h][.!?]) "
+
+def _spread_class(low: int, high: int, step: int, width: int) -> str:
+    """A class of characters: the first ``width`` of every ``step`` code points."""
+    return "".join(f"\\u{c:04x}-\\u{c + width - 1:04x}" for c in range(low, high, step))
+
+
+#: Where a text is cut into paragraphs: at line ends and behind sentences.
+PARAGRAPH = r"\n|(?<=[.!?]) |(?<=[\u3002\uff01\uff1f])"
+
+#: A paragraph of so many characters is cut further, at places that the character before them
+#: decides, so that an insertion moves no other cut: behind some words, and in scripts without
+#: spaces behind some signs.
+LONG_PARAGRAPH = 400
+INSIDE = (
+    r"(?<=[bcdfgBCDFG05]) |(?<=[" + _spread_class(0x370, 0x2000, 64, 16) + r"]) |(?<=["
+    + _spread_class(0x3000, 0xD700, 256, 12) + "])")
 
 SECTIONS = 3
 
-#: Cells per section of a document's own sketch, which is its fingerprint.
-BASE_CELLS = 4
+#: Cells per section of a part, by level: each level is a larger sketch for parts that the one before fails for.
+CELLS = (8, 32, 256)
 
-#: Cells per section of a retried part, and digests a part should hold.
-RETRY_CELLS = 16
-PART_DIGESTS = 20
+#: Digests a part should hold.
+PART_DIGESTS = 6
 
-#: Parts into which one retry deals at most; what is still stuck is dealt again.
-PARTS = 64
-RETRIES = 2
+#: Parts that are dealt out in one step; more are dealt in two.
+DEAL = 64
 
 ROUNDS = 6
 
+#: Low bits of a key that are a check sum of the others.
+CHECK_BITS = 16
+
 
 def _bound(value: Column, use) -> Column:
     """``use(value)`` with the value computed once, however often it is referred to."""
     return F.transform(F.array(value), use)[0]
 
 
+def paragraphs(text: Column) -> Column:
+    def further(piece: Column) -> Column:
+        return F.when(F.length(piece) > LONG_PARAGRAPH, F.split(piece, INSIDE, -1)).otherwise(F.array(piece))
+
+    pieces = F.split(text, PARAGRAPH, -1)
+    return F.when(
+        F.exists(pieces, lambda p: F.length(p) > LONG_PARAGRAPH), F.flatten(F.transform(pieces, further))
+    ).otherwise(pieces)
+
+
+def _checked(bits: Column) -> Column:
+    """A key from a hash: its upper bits, and in the lower ones a check sum of them."""
+    upper = F.shiftleft(F.shiftrightunsigned(bits, CHECK_BITS), CHECK_BITS)
+    return upper.bitwiseOR(F.xxhash64(upper).bitwiseAND((1 << CHECK_BITS) - 1))
+
+
+def _is_key(value: Column) -> Column:
+    return value == _checked(value)
+
+
 def digests(text: Column) -> Column:
-    """Distinct digests of a text's paragraphs: a repeated one counts by its occurrence."""
-    hashed = F.sort_array(F.transform(F.split(text, PARAGRAPH, -1), lambda p: F.xxhash64(p)))
-    return _bound(hashed, lambda all_: F.transform(
-        all_, lambda h, i: F.xxhash64(h, i + 1 - F.array_position(all_, h))))
+    """Distinct digests of a text's paragraphs, as checked keys: a repeated one counts by its occurrence."""
 
+    def occurrence(all_: Column, h: Column, i: Column) -> Column:
+        # Equal hashes stand together: the distance to the first of them, by halving steps.
+        return F.aggregate(
+            F.array(*[F.lit(1 << j) for j in range(30, -1, -1)]), F.lit(0),
+            lambda t, step: F.when((i - t - step >= 0) & (F.get(all_, i - t - step) == h), t + step).otherwise(t))
 
-def _placed(keys: Column, cells: int, level: int) -> Column:
-    """Each key with its check sum and its cell in each section; ``cells`` is a power of two."""
+    def keys(all_: Column) -> Column:
+        return F.when(
+            F.size(F.array_distinct(all_)) == F.size(all_), F.transform(all_, lambda h: _checked(F.xxhash64(h, F.lit(0))))
+        ).otherwise(F.transform(all_, lambda h, i: _checked(F.xxhash64(h, occurrence(all_, h, i)))))
+
+    return _bound(F.sort_array(F.transform(paragraphs(text), lambda p: F.xxhash64(p))), keys)
+
+
+def parts_of(keys: Column) -> Column:
+    """How many parts a set of digests is dealt into."""
+    return F.greatest(F.lit(1), F.ceil(F.size(keys) / PART_DIGESTS).cast("int"))
 
-    def place(key: Column) -> Column:
-        def cell(bits: Column, section: int) -> Column:
-            return F.shiftrightunsigned(bits, 16 * section).bitwiseAND(cells - 1).cast("int")
 
-        return _bound(F.xxhash64(key, F.lit(level)), lambda bits: F.struct(
-            key.alias("key"), F.xxhash64(key, F.lit(-1)).alias("check"),
-            *[cell(bits, section).alias(f"at{section}") for section in range(SECTIONS)]))
+def _part_number(key: Column, parts: Column) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(-3)), parts).cast("int")
+
+
+def dealt(keys: Column, parts: Column) -> Column:
+    """Array of the digests of each part; many parts by way of groups of neighbouring ones."""
+
+    def direct(some: Column, low: Column, count: Column) -> Column:
+        return F.transform(
+            F.sequence(low, low + count - 1), lambda n: F.filter(some, lambda k: _part_number(k, parts) == n))
+
+    def by_groups() -> Column:
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.floor((parts - 1) / DEAL).cast("int")), lambda g: _bound(
+            F.filter(keys, lambda k: F.floor(_part_number(k, parts) / DEAL) == g),
+            lambda some: direct(some, g * DEAL, F.least(F.lit(DEAL), parts - g * DEAL)))))
+
+    return F.when(parts == 1, F.array(keys)).when(
+        parts <= DEAL, direct(keys, F.lit(0), parts)).otherwise(by_groups())
+
+
+def _placed(keys: Column, level: int) -> Column:
+    """Each key with its cell in each section."""
+
+    def place(key: Column) -> Column:
+        return _bound(F.xxhash64(key, F.lit(level)), lambda bits: F.struct(key.alias("key"), *[
+            F.shiftrightunsigned(bits, 16 * section).bitwiseAND(CELLS[level] - 1).cast("int").alias(f"at{section}")
+            for section in range(SECTIONS)]))
 
     return F.transform(keys, place)
 
 
-def _change(cell: Column, placed: Column, by: Column) -> Column:
-    return F.struct(
-        (cell["n"] + by).alias("n"), cell["key"].bitwiseXOR(placed["key"]).alias("key"),
-        cell["check"].bitwiseXOR(placed["check"]).alias("check"))
+def _change(cell: Column, key: Column, by: Column) -> Column:
+    return F.struct((cell["n"] + by).alias("n"), cell["key"].bitwiseXOR(key).alias("key"))
 
 
-def sketch(keys: Column, cells: int = BASE_CELLS, level: int = 0) -> Column:
-    """Array of cells ``n, key, check``, section by section."""
-    empty = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("check"))
+def sketch(keys: Column, level: int = 0) -> Column:
+    """Array of cells ``n, key``, section by section."""
+    empty = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"))
 
     def filled(placed: Column, section: int) -> Column:
         return F.transform(
-            F.array(*map(F.lit, range(cells))), lambda c: F.aggregate(
+            F.sequence(F.lit(0), F.lit(CELLS[level] - 1)), lambda c: F.aggregate(
                 F.filter(placed, lambda k: k[f"at{section}"] == c), empty,
-                lambda cell, k: _change(cell, k, F.lit(1))))
+                lambda cell, k: _change(cell, k["key"], F.lit(1))))
 
-    return _bound(_placed(keys, cells, level), lambda placed: F.concat(
+    return _bound(_placed(keys, level), lambda placed: F.concat(
         *[filled(placed, section) for section in range(SECTIONS)]))
 
 
 def subtract(left: Column, right: Column) -> Column:
     return F.zip_with(left, right, lambda a, b: F.struct(
-        (a["n"] - b["n"]).alias("n"), a["key"].bitwiseXOR(b["key"]).alias("key"),
-        a["check"].bitwiseXOR(b["check"]).alias("check")))
+        (a["n"] - b["n"]).alias("n"), a["key"].bitwiseXOR(b["key"]).alias("key")))
 
 
-def peel(difference: Column, cells: int = BASE_CELLS, level: int = 0) -> Column:
+def peel(difference: Column, level: int = 0) -> Column:
     """Array of ``key, n`` (1 only left, -1 only right) that differ; null if peeling gets stuck."""
+    cells = CELLS[level]
 
     def turn(state: Column, _: Column) -> Column:
-        single = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (
-            c["check"] == F.xxhash64(c["key"], F.lit(-1))))
+        single = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & _is_key(c["key"]))
         freed = F.array_distinct(F.transform(single, lambda c: F.struct(c["key"].alias("key"), c["n"].alias("n"))))
         return _bound(freed, lambda found: F.when(F.size(found) > 0, taken(state, found)).otherwise(state))
 
     def taken(state: Column, found: Column) -> Column:
-        placed = F.zip_with(
-            _placed(found["key"], cells, level), found["n"],
-            lambda p, n: F.struct(p["key"].alias("key"), p["check"].alias("check"), p["at0"].alias("at0"),
-                                  p["at1"].alias("at1"), p["at2"].alias("at2"), (-n).alias("by")))
+        placed = F.zip_with(_placed(found["key"], level), found["n"], lambda p, n: F.struct(
+            p["key"].alias("key"), *[p[f"at{s}"].alias(f"at{s}") for s in range(SECTIONS)], (-n).alias("by")))
 
         def less(freed: Column, section: int) -> Column:
             return F.transform(
                 F.slice(state["cells"], section * cells + 1, cells), lambda cell, at: F.aggregate(
                     F.filter(freed, lambda k: k[f"at{section}"] == at), cell,
-                    lambda c, k: _change(c, k, k["by"])))
+                    lambda c, k: _change(c, k["key"], k["by"])))
 
         left = _bound(placed, lambda freed: F.concat(*[less(freed, s) for s in range(SECTIONS)]))
         return F.struct(left.alias("cells"), F.concat(state["found"], found).alias("found"))
 
     start = F.struct(difference.alias("cells"), F.array().cast("array<struct<key:bigint,n:int>>").alias("found"))
     return F.aggregate(
-        F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn,
-        lambda s: F.when(
-            ~F.exists(s["cells"], lambda c: (c["n"] != 0) | (c["key"] != 0) | (c["check"] != 0)), s["found"]))
+        F.sequence(F.lit(1), F.lit(ROUNDS * (level + 1))), start, turn,
+        lambda s: F.when(~F.exists(s["cells"], lambda c: (c["n"] != 0) | (c["key"] != 0)), s["found"]))
 
 
-def _differing(left: Column, right: Column, level: int = 1) -> Column:
-    """How many digests differ, by sketches larger than those that failed."""
-    if level > RETRIES:
-        # Stuck in every size, which no text is expected to be: counted without a sketch.
+def _differing(left: Column, right: Column, level: int = 0) -> Column:
+    """How many digests of a part differ: its sketches are subtracted and peeled, larger ones on failure."""
+    if level == len(CELLS):
+        # Stuck in every size, which no part is expected to be: counted without a sketch.
         return F.size(F.array_except(left, right)) + F.size(F.array_except(right, left))
-    parts = F.greatest(F.lit(1), F.least(
-        F.lit(PARTS), F.ceil((F.size(left) + F.size(right)) / PART_DIGESTS).cast("int")))
+    found = peel(subtract(sketch(left, level), sketch(right, level)), level)
+    return F.coalesce(F.array_size(found), _differing(left, right, level + 1))
+
+
+def likeness(left: Column, right: Column) -> Column:
+    """1 less the share of digests that differ, among those of both texts.
 
-    def part(keys: Column, number: Column) -> Column:
-        return F.filter(keys, lambda k: F.pmod(F.xxhash64(k, F.lit(100 + level)), parts) == number)
+    Both are dealt into as many parts as the one with more digests, so that it is the same for
+    whoever takes the digests back out of two fingerprints.
+    """
+    parts = F.greatest(parts_of(left), parts_of(right))
 
-    def recovered(number: Column) -> Column:
-        pair = F.array(F.struct(part(left, number).alias("l"), part(right, number).alias("r")))
+    def of(count: Column) -> Column:
+        each = F.arrays_zip(dealt(left, count).alias("l"), dealt(right, count).alias("r"))
+        differing = F.aggregate(
+            F.transform(each, lambda p: _differing(p["l"], p["r"])), F.lit(0), lambda total, n: total + n)
+        return 1 - differing / (F.size(left) + F.size(right))
 
-        def of(p: Column) -> Column:
-            cells = subtract(sketch(p["l"], RETRY_CELLS, level), sketch(p["r"], RETRY_CELLS, level))
-            return F.coalesce(
-                F.array_size(peel(cells, RETRY_CELLS, level)), _differing(p["l"], p["r"], level + 1))
+    return _bound(parts, of)
 
-        return F.transform(pair, of)[0]
 
-    return F.aggregate(F.sequence(F.lit(0), parts - 1), F.lit(0), lambda total, i: total + recovered(i))
+def _cell_bytes(cells: Column) -> Column:
+    """The cells as text: nine bytes each, a count and a key, in base 64."""
+    return F.base64(F.unhex(F.array_join(F.transform(cells, lambda c: F.concat(
+        F.lpad(F.hex(c["n"].cast("long")), 2, "0"), F.lpad(F.hex(c["key"]), 16, "0"))), "")))
 
 
-def likeness(left_sketch: Column, right_sketch: Column, left: Column, right: Column) -> Column:
-    """1 less the share of digests that differ, among those of both texts.
+def _part_text(keys: Column, level: int = 0) -> Column:
+    """A part's sketch, of the first level that gives its digests back."""
+    def written(cells: Column) -> Column:
+        if level == len(CELLS) - 1:
+            return _cell_bytes(cells)
+        return F.when(peel(cells, level).isNotNull(), _cell_bytes(cells)).otherwise(_part_text(keys, level + 1))
 
-    The fingerprints' difference is peeled first; the digests themselves serve only to sketch
-    again, larger, where that gets stuck.
-    """
-    differing = F.coalesce(
-        F.array_size(peel(subtract(left_sketch, right_sketch))), _differing(left, right))
-    return 1 - differing / (F.size(left) + F.size(right))
+    return _bound(sketch(keys, level), written)
 
 
-def as_text(cells: Column) -> Column:
-    """The sketch's cells as hexadecimal digits: count, key and check, 16 + 16 + 4 each."""
-    return F.lower(F.array_join(F.transform(cells, lambda c: F.concat(
-        F.lpad(F.hex(c["n"].cast("long")), 4, "0"), F.lpad(F.hex(c["key"]), 16, "0"),
-        F.lpad(F.hex(c["check"]), 16, "0"))), ""))
+def fingerprint(keys: Column) -> Column:
+    """The sketches of all parts, by part, with dots between them."""
+    return F.array_join(F.transform(dealt(keys, parts_of(keys)), lambda part: _part_text(part)), ".")
 
 
 #: Stands for a null doc_id, which comes last.
@@ -216,14 +282,11 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         F.nullif(F.col("id"), F.lit(NO_ID).cast("long")).alias("doc_id"),
         F.length("text").alias("n_chars"), "copies", "next_keys", F.sha2("edited", 256).alias("edited_sha256"),
         digests(F.col("text")).alias("keys"), digests(F.col("edited")).alias("edited_keys"))
-    sketched = edited.select(
-        "*", sketch(F.col("keys")).alias("cells"), sketch(F.col("edited_keys")).alias("edited_cells"),
-        sketch(F.col("next_keys")).alias("next_cells"))
-    result = sketched.select(
+    result = edited.select(
         "doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256",
-        as_text(F.col("cells")).alias("fingerprint"),
-        as_text(F.col("edited_cells")).alias("edited_fingerprint"),
-        likeness(F.col("cells"), F.col("edited_cells"), F.col("keys"), F.col("edited_keys")).alias("near_edited"),
-        likeness(F.col("cells"), F.col("next_cells"), F.col("keys"), F.col("next_keys")).alias("near_next"),
+        fingerprint(F.col("keys")).alias("fingerprint"),
+        fingerprint(F.col("edited_keys")).alias("edited_fingerprint"),
+        likeness(F.col("keys"), F.col("edited_keys")).alias("near_edited"),
+        likeness(F.col("keys"), F.col("next_keys")).alias("near_next"),
         "copies")
     return repeat_rows(result, "copies", "copy").drop("copies", "copy")

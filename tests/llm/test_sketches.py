@@ -1,7 +1,10 @@
+import base64
 import hashlib
 import re
+import struct
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from navlake.llm import sketches
@@ -12,9 +15,16 @@ def order(d):
     return -(1 << 63) if d is None else d
 
 
+def paragraphs(text):
+    out = []
+    for p in re.split(sketches.PARAGRAPH, text):
+        out += re.split(sketches.INSIDE, p) if len(p) > sketches.LONG_PARAGRAPH else [p]
+    return out
+
+
 def pieces(text):
     out = {}
-    for p in re.split(sketches.PARAGRAPH, text):
+    for p in paragraphs(text):
         out[p] = out.get(p, 0) + 1
     return {(p, i) for p, n in out.items() for i in range(n)}
 
@@ -68,20 +78,99 @@ def test_one_document_and_none(docs_of, empty):
     assert sketches.fingerprint_edits(empty).collect() == []
 
 
+def checked(bits):
+    upper = bits >> 16 << 16
+    return upper | xxhash.xxh64_intdigest(struct.pack("<Q", upper), 42) & 0xFFFF
+
+
+def keys(*numbers):
+    return [k - (1 << 64) if k >> 63 else k for k in (checked(xxhash.xxh64_intdigest(str(n))) for n in numbers)]
+
+
+def taken_out(fingerprint):
+    """The digests of a fingerprint, from its text alone; None where a part can't be peeled."""
+    out = set()
+    for part in fingerprint.split("."):
+        raw = base64.b64decode(part)
+        cells = [[raw[i], int.from_bytes(raw[i + 1:i + 9], "big")] for i in range(0, len(raw), 9)]
+        per = len(cells) // 3
+        level = sketches.CELLS.index(per)
+        while single := [k for n, k in cells if n == 1 and checked(k) == k]:
+            key = single[0]
+            seed = xxhash.xxh64_intdigest(struct.pack("<Q", key), 42)
+            bits = xxhash.xxh64_intdigest(struct.pack("<i", level), seed)
+            for section in range(3):
+                cell = cells[section * per + (bits >> 16 * section) % per]
+                cell[0], cell[1] = cell[0] - 1, cell[1] ^ key
+            out.add(key)
+        if any(n or k for n, k in cells):
+            return None
+    return out
+
+
+def test_two_fingerprints_alone_give_the_likeness(given):
+    rows = sorted(sketches.fingerprint_edits(given).collect(), key=lambda r: -r["doc_id"])
+    stuck = 0
+    for r, after in zip(rows, rows[1:] + rows[:1]):
+        own, edited, next_ = (taken_out(f) for f in (r["fingerprint"], r["edited_fingerprint"], after["fingerprint"]))
+        if own is None or edited is None or next_ is None:
+            stuck += 1
+            continue
+        assert r["near_edited"] == pytest.approx(1 - len(own ^ edited) / (len(own) + len(edited)))
+        assert r["near_next"] == pytest.approx(1 - len(own ^ next_) / (len(own) + len(next_)))
+    assert stuck <= len(rows) // 100
+
+
+def test_every_text_is_cut(spark):
+    texts = [
+        "Ends in z. Then ENDS IN CAPITALS. Ends in 9. É. " * 30, " ".join(f"word{i}" for i in range(400)),
+        " ".join(f"WORD {chr(65 + i % 26)}X" for i in range(400)), "".join(chr(0x4E00 + i * 37 % 5000) for i in range(3000)),
+        "".join(chr(0xAC00 + i * 91 % 9000) for i in range(3000)), " ".join(chr(0x430 + i % 32) * 3 for i in range(900)),
+        "これは文です。" * 40, "a" * 5000]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    rows = frame.select("i", sketches.paragraphs(F.col("text")).alias("p"), sketches.digests(F.col("text")).alias("k")).collect()
+    for r in sorted(rows):
+        assert r["p"] == paragraphs(texts[r["i"]]) and len(set(r["k"])) == len(r["p"])
+        assert len(r["p"]) > 10 or r["i"] == 7
+
+
+def test_an_insertion_moves_no_other_cut():
+    words = [f"{chr(97 + i * 7 % 26)}ord{i}{chr(97 + i * 11 % 26)}" for i in range(600)]
+    before, after = " ".join(words), " ".join([*words[:300], "inserted", *words[300:]])
+    assert len(pieces(before) ^ pieces(after)) <= 4 < len(pieces(before)) // 4
+
+
+def test_repeated_paragraphs_count_by_occurrence(spark):
+    frame = spark.createDataFrame([("x\n" * 70_000 + "y",), ("x\nx\ny",)], "text string")
+    found = [r["k"] for r in frame.select(sketches.digests(F.col("text")).alias("k")).collect()]
+    assert [len(set(k)) for k in found] == [70_001, 3] and set(found[1]) < set(found[0])
+
+
+@pytest.mark.parametrize("parts", [1, 2, 63, 64, 65, 700])
+def test_digests_are_dealt_into_parts(spark, parts):
+    all_ = keys(*range(1500))
+    frame = spark.createDataFrame([(all_, parts)], "k array<long>, parts int")
+    row = frame.select(
+        sketches.dealt(F.col("k"), F.col("parts")).alias("d"),
+        F.transform("k", lambda k: sketches._part_number(k, F.col("parts"))).alias("n")).first()
+    assert row["d"] == [[k for k, n in zip(all_, row["n"]) if n == i] for i in range(parts)]
+
+
 @pytest.mark.parametrize("differing", [0, 1, 3, 5])
 def test_peeling_recovers_the_digests(spark, differing):
-    left = list(range(100, 140))
-    right = left[differing:] + [-x for x in range(differing)]
-    frame = spark.createDataFrame([(left, right)], "l array<long>, r array<long>")
-    cells = sketches.subtract(sketches.sketch(F.col("l"), 32, 1), sketches.sketch(F.col("r"), 32, 1))
-    found = frame.select(sketches.peel(cells, 32, 1).alias("found")).first()["found"]
-    assert {(x["key"], x["n"]) for x in found} == (
-        {(x, 1) for x in left[:differing]} | {(-x, -1) for x in range(differing)})
+    left = keys(*range(100, 140))
+    new = keys(*range(differing))
+    frame = spark.createDataFrame([(left, left[differing:] + new)], "l array<long>, r array<long>")
+    cells = sketches.subtract(sketches.sketch(F.col("l"), 1), sketches.sketch(F.col("r"), 1))
+    found = frame.select(sketches.peel(cells, 1).alias("found")).first()["found"]
+    assert {(x["key"], x["n"]) for x in found} == {(x, 1) for x in left[:differing]} | {(x, -1) for x in new}
 
 
 def test_too_small_a_sketch_is_stuck_and_a_larger_one_is_not(spark):
-    frame = spark.createDataFrame([(list(range(300)), list(range(200, 700)))], "l array<long>, r array<long>")
+    frame = spark.createDataFrame([(keys(*range(60)), keys(*range(40, 140)))], "l array<long>, r array<long>")
     small = sketches.subtract(sketches.sketch(F.col("l")), sketches.sketch(F.col("r")))
     assert frame.select(sketches.peel(small).alias("found")).first()["found"] is None
-    near_ = sketches.likeness(sketches.sketch(F.col("l")), sketches.sketch(F.col("r")), F.col("l"), F.col("r"))
-    assert frame.select(near_.alias("x")).first()["x"] == pytest.approx(1 - 600 / 800)
+    one = frame.select(sketches._differing(F.col("l"), F.col("r")).alias("n")).first()["n"]
+    assert one == 120
+    near_ = sketches.likeness(F.col("l"), F.col("r"))
+    assert frame.select(near_.alias("x")).first()["x"] == pytest.approx(1 - 120 / 160)
