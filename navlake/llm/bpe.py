@@ -28,24 +28,24 @@ OVERLAP = 1_024
 
 @dataclass(frozen=True)
 class Ranks:
-    """A vocabulary that executors hold by broadcast; equal by its file's path."""
+    """A vocabulary file that executors hold by broadcast; equal by its path."""
 
     path: str
     shared: Broadcast = field(compare=False)
 
 
 def read_ranks(spark: SparkSession, path: str = RANKS) -> Ranks:
-    """The rank file's tokens, read by the driver and sent once: a vocabulary's size."""
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
-    return Ranks(path, spark.sparkContext.broadcast(ranks))
+    """The rank file, read by the driver and sent once: a vocabulary's size."""
+    with open(path, "rb") as file:
+        return Ranks(path, spark.sparkContext.broadcast(file.read()))
 
 
 @lru_cache(maxsize=1)
 def encoding(ranks: Ranks) -> tiktoken.Encoding:
-    """The library's encoder over the broadcast ranks, made once in each Python worker."""
+    """The library's encoder and decoder over the broadcast ranks, made once in each Python worker."""
+    lines = (x.split() for x in ranks.shared.value.splitlines() if x.strip())
     return tiktoken.Encoding(
-        "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks.shared.value,
+        "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in lines},
         special_tokens={})
 
 
@@ -57,14 +57,21 @@ def pattern() -> regex.Pattern:
                          .replace(r"\s+(?!\S)|\s+", r"\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"))
 
 
-def encode_pieces(text: Column, ranks: Ranks) -> Column:
-    @F.pandas_udf("binary")
-    def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ids_of = encoding(ranks).encode_to_numpy
+def encode_pieces(text: Column, ranks: Ranks, decoded: bool = False) -> Column:
+    """Struct of the packed ``ids`` of a text and, where asked for, of the bytes they stand for.
+
+    One Python worker does both, so that a task needs one encoder.
+    """
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        coder = encoding(ranks)
         for batch in batches:
-            yield pd.Series(
-                [ids_of(t or "", disallowed_special=()).astype("<u4").tobytes() for t in batch],
-                dtype=object)
+            found = [coder.encode_to_numpy(t or "", disallowed_special=()) for t in batch]
+            yield pd.DataFrame({
+                "ids": pd.Series([ids.astype("<u4").tobytes() for ids in found], dtype=object),
+                "decoded": pd.Series([coder.decode_bytes(ids.tolist()) if decoded else None for ids in found], dtype=object),
+            })
 
     return of_batches(text)
 
@@ -122,24 +129,27 @@ def _pieces(long: DataFrame) -> DataFrame:
     return cut_out.unionByName(uncut)
 
 
-def encode(docs: DataFrame, ranks: Ranks, text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, ranks: Ranks, text: str = "text", decoded: bool = False) -> DataFrame:
     """``docs`` with ``ids``, the text's ids as packed little-endian unsigned 32-bit integers.
 
-    A null or empty text has no ids. Texts longer than a chunk are encoded once however often
-    they repeat, in chunks and pieces that are dealt out by themselves. An input column named
-    ``ids`` is replaced; an empty table gives no rows.
+    ``decoded`` adds a column of that name, the bytes that the ids stand for. A null or empty text has
+    no ids. Texts longer than a chunk are encoded once however often they repeat, in chunks and
+    pieces that are dealt out by themselves. Input columns named as the added ones are replaced, all
+    others kept whatever their names; an empty table gives no rows.
     """
-    plain = docs.drop("ids").withColumn("_long", F.coalesce(F.length(text) > CHUNK, F.lit(False)))
-    short = plain.where(~F.col("_long")).withColumn("ids", encode_pieces(F.col(text), ranks))
-    long = plain.where("_long").withColumn("_same", F.unhex(F.sha2(text, 256)))
-    pieces = _pieces(long.select(F.col("_same").alias("same"), F.col(text).alias("text"))).select(
-        "same", "number", encode_pieces(F.col("piece"), ranks).alias("ids"))
-    whole = pieces.groupBy("same").agg(F.array_sort(F.collect_list(F.struct("number", "ids"))).alias("parts"))
-    joined = whole.select(
-        F.col("same").alias("_same"), F.xxhash64("same").alias("_spread"),
-        F.aggregate("parts.ids", F.lit(b""), lambda a, b: F.concat(a, b)).alias("ids"))
-    encoded = long.withColumn("_spread", F.xxhash64("_same")).join(joined, ["_same", "_spread"])
-    return short.unionByName(encoded.select(*short.columns)).drop("_long")
+    names = ["ids", "decoded"] if decoded else ["ids"]
+    own = [c for c in docs.columns if c not in names]
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("doc"), F.col(f"`{text}`").alias("text"))
+    is_long = F.coalesce(F.length("text") > CHUNK, F.lit(False))
+    short = whole.where(~is_long).select("doc", encode_pieces(F.col("text"), ranks, decoded).alias("coded"))
+    long = whole.where(is_long).withColumn("same", F.unhex(F.sha2("text", 256)))
+    pieces = _pieces(long.select("same", "text")).select(
+        "same", "number", encode_pieces(F.col("piece"), ranks, decoded).alias("coded"))
+    joined = pieces.groupBy("same").agg(F.struct(*[
+        F.expr(f"listagg(coded.{c}, X'') WITHIN GROUP (ORDER BY number)").alias(c) for c in ("ids", "decoded")]).alias("coded"))
+    spread = F.xxhash64("same").alias("spread")
+    encoded = long.select("doc", "same", spread).join(joined.select("*", spread), ["same", "spread"])
+    return short.unionByName(encoded.select("doc", "coded")).select("doc.*", *[f"coded.{c}" for c in names])
 
 
 def decode(ids: Column, ranks: Ranks) -> Column:
@@ -147,22 +157,15 @@ def decode(ids: Column, ranks: Ranks) -> Column:
 
     @F.pandas_udf("binary")
     def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        by_token = ranks.shared.value
-        tokens = [b""] * (max(by_token.values()) + 1)
-        for token, rank in by_token.items():
-            tokens[rank] = token
+        back = encoding(ranks).decode_bytes
         for batch in batches:
-            yield pd.Series(
-                [b"".join(map(tokens.__getitem__, np.frombuffer(b, dtype="<u4").tolist())) for b in batch],
-                dtype=object)
+            yield pd.Series([back(np.frombuffer(b, dtype="<u4").tolist()) for b in batch], dtype=object)
 
     return of_batches(ids)
 
 
-def digest(encoded: DataFrame, ranks: Ranks, *more: str) -> DataFrame:
-    """Per document the count of ids, and checksums of the ids and of the decoded bytes."""
+def digest(encoded: DataFrame, *more: str) -> DataFrame:
+    """Per document the count of ids, and checksums of the ids and of the bytes decoded from them."""
     return encoded.select(
         "doc_id", *more, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
-    )
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

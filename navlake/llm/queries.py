@@ -55,7 +55,7 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(spark)
-    return bpe.digest(bpe.encode(documents(spark, sf_dir), ranks), ranks)
+    return bpe.digest(bpe.encode(documents(spark, sf_dir), ranks, decoded=True))
 
 
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:

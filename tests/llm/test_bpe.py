@@ -20,11 +20,11 @@ def library():
 
 def check(frame, library, text_of):
     ranks = bpe.read_ranks(frame.sparkSession)
-    rows = bpe.encode(frame, ranks).withColumn("back", bpe.decode(F.col("ids"), ranks)).collect()
+    rows = bpe.encode(frame, ranks, decoded=True).withColumn("back", bpe.decode(F.col("ids"), ranks)).collect()
     for r in rows:
         text = text_of(r) or ""
         assert np.frombuffer(r["ids"], "<u4").tolist() == library.encode_ordinary(text)
-        assert bytes(r["back"]) == text.encode()
+        assert bytes(r["back"]) == bytes(r["decoded"]) == text.encode()
     return len(rows)
 
 
@@ -68,4 +68,14 @@ def test_pattern_splits_as_the_library_does(library):
 
 def test_empty(empty):
     ranks = bpe.read_ranks(empty.sparkSession)
-    assert bpe.digest(bpe.encode(empty, ranks), ranks).collect() == []
+    assert bpe.digest(bpe.encode(empty, ranks, decoded=True)).collect() == []
+
+
+def test_columns_are_kept_whatever_their_names(docs_of, monkeypatch):
+    monkeypatch.setattr(bpe, "CHUNK", 30)
+    names = ["_long", "_same", "doc", "coded", "same", "number", "decoded", "piece"]
+    frame = docs_of((1, "a b c"), (2, "long text " * 9), (2, "long text " * 9), (None, None)).selectExpr(
+        "*", *[f"concat('{n}', doc_id) as {n}" for n in names])
+    out = bpe.encode(frame, bpe.read_ranks(frame.sparkSession))
+    assert out.columns == [c for c in frame.columns if c != "ids"] + ["ids"]
+    assert out.drop("ids").exceptAll(frame.drop("ids")).isEmpty() and out.count() == 4
