@@ -39,7 +39,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix, with checksums of them and of their decoding."""
     let_workers_import(spark)
     ranks = bpe.read_ranks(spark)
-    return bpe.digest(bpe.encode(docs, ranks), ranks, "ids")
+    return bpe.digest(bpe.encode(docs, ranks, decoded=True), "ids")
 
 
 STAGES = [
