@@ -1,214 +1,125 @@
-"""Line dedup by pairwise alignment of documents that share lines.
+"""Line dedup by pairwise alignment of documents that share lines or parts of them.
 
-Documents that share lines are aligned by patience diff: lines that occur once in both are
-anchors, the longest run of anchors in the same order is kept, and the gaps between are aligned
-alike. Aligned lines that stand together form a block; blocks of enough words are deleted from
-the later document, so the first document that holds a block keeps it.
+Texts are cut into runs of words (``passages``), which stand for lines and for the parts of long
+ones. A document meets the first holder of each run it shares; the runs that a pair of documents
+shares are aligned by patience diff, as chains that keep the order of both, and the aligned
+common blocks are deleted from the later document. The first document that holds a block keeps it.
 """
 
-import gc
-from bisect import bisect_left
-from collections import Counter
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from navlake.llm import passages
 from navlake.llm.common import cut
+from navlake.llm.passages import less, listed_runs
 
-#: Words a block must have to be deleted.
+#: Words a block must have to be deleted, and a run to bring two documents together.
 BLOCK_WORDS = 8
 
-#: Words a line must have to bring two documents together; shorter ones only extend blocks.
-LINE_WORDS = 3
-
-#: Documents up to which a shared line is rare.
-RARE = 50
-
-
-def _increasing(values: list[int]) -> list[int]:
-    """Places of a longest increasing run of ``values``."""
-    ends, last, back = [], [], []
-    for i, value in enumerate(values):
-        at = bisect_left(ends, value)
-        back.append(last[at - 1] if at else -1)
-        if at == len(ends):
-            ends.append(value)
-            last.append(i)
-        else:
-            ends[at], last[at] = value, i
-    run, i = [], last[-1] if last else -1
-    while i >= 0:
-        run.append(i)
-        i = back[i]
-    return run[::-1]
-
-
-def align(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Pairs of places with equal lines that patience diff matches, in order."""
-    pairs, todo = [], [(0, len(a), 0, len(b))]
-    while todo:
-        a0, a1, b0, b1 = todo.pop()
-        while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
-            pairs.append((a0, b0))
-            a0, b0 = a0 + 1, b0 + 1
-        while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
-            a1, b1 = a1 - 1, b1 - 1
-            pairs.append((a1, b1))
-        if a0 == a1 or b0 == b1:
-            continue
-        in_a, in_b = Counter(a[a0:a1]), Counter(b[b0:b1])
-        place = {x: i for i, x in enumerate(a[a0:a1], a0) if in_a[x] == 1 and in_b.get(x) == 1}
-        anchors = [(place[x], j) for j, x in enumerate(b[b0:b1], b0) if x in place]
-        if not anchors:
-            continue
-        for k in _increasing([i for i, _ in anchors]):
-            i, j = anchors[k]
-            todo.append((a0, i, b0, j))
-            a0, b0 = i, j  # the anchor itself is matched as the next range's head
-        todo.append((a0, a1, b0, b1))
-    return sorted(pairs)
-
-
-def common_places(a: list[int], b: list[int], words: list[int], least: int) -> list[int]:
-    """Places in ``b`` of aligned blocks that have at least ``least`` words."""
-    places, block, seen = [], [], (-2, -2)
-    for pair in [*align(a, b), (-9, -9)]:
-        if pair != (seen[0] + 1, seen[1] + 1):
-            if sum(words[j] for j in block) >= least:
-                places += block
-            block = []
-        block.append(pair[1])
-        seen = pair
-    return places
-
-
-def _line_hashes(text: Column) -> Column:
-    return F.transform(F.split(text, "\n", -1), lambda line: F.xxhash64(F.trim(line)))
-
-
-def _line_words(text: Column) -> Column:
-    return F.transform(F.split(text, "\n", -1), lambda line: F.size(F.split(F.trim(line), " +")))
+#: Stands for a null doc_id, which comes first.
+NO_ID = -(1 << 63)
+
+
+def chains(early: list[int], late: list[int]) -> list[list[int]]:
+    """Alignments of the runs that two documents share, as lists of numbers into the two lists.
+
+    ``early`` and ``late`` are the places of each shared run in the two documents. Patience sorting deals the
+    runs, by their place in the later document, onto piles that rise in the earlier one: the first pile is
+    what keeps both orders from the start, and what has moved in between makes piles of its own. Each pile
+    is an alignment, and each run is in one.
+    """
+    tops: list[int] = []  # the last place of each pile, negated, which rises from pile to pile
+    piles: list[list[int]] = []
+    for i in sorted(range(len(late)), key=late.__getitem__):
+        at = bisect_right(tops, -early[i])  # the first pile that ends before this run
+        if at == len(tops):
+            piles.append([])
+            tops.append(0)
+        piles[at].append(i)
+        tops[at] = -early[i]
+    return piles
+
+
+def blocks(early: list[int], late: list[int]) -> list[list[int]]:
+    """The chains cut where either document has something between two runs."""
+    out = []
+    for pile in chains(early, late):
+        for n, i in enumerate(pile):
+            before = pile[n - 1] if n else None
+            if before is None or (early[i], late[i]) != (early[before] + 1, late[before] + 1):
+                out.append([])
+            out[-1].append(i)
+    return out
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """``id, mark, text``: the place of a document in order, doc_id first, then its text."""
+    """``id, doc, text``: the place of a document in order, and all its columns."""
     return docs.select(
-        F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long").alias("id"),
-        F.xxhash64("text").alias("mark"), F.coalesce("text", F.lit("")).alias("text"))
+        F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("id"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def document_pairs(docs: DataFrame, rare: int = RARE, line_words: int = LINE_WORDS) -> DataFrame:
-    """``early_id, early_mark, id, mark``: pairs of documents to align, the earlier first.
+def document_pairs(keyed: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
+    """``first, id, early, late, keys``: the runs that a document shares with the first holder of each.
 
-    A document is paired with the first holder of each of its lines. Holders of a rare line
-    are paired with the holder just before them too, as a later version resembles the latest
-    best. Both grow with the lines' places, never with the pairs among their holders, and a
-    line held by very many documents is only counted and matched with its first holder.
+    Rows grow with the places of runs, never with the pairs among their holders: however many
+    documents hold a run, each meets the first one only, by a join that Spark can split. Eight
+    bytes a run travel, no text does.
     """
-    paired = F.arrays_zip(_line_hashes(F.col("text")).alias("line"), _line_words(F.col("text")).alias("words"))
-    anchors = F.array_distinct(F.filter(paired, lambda x: x["words"] >= line_words)["line"])
-    held = cut(_keyed(docs).select("id", "mark", F.explode(anchors).alias("line")))
-    spread = F.xxhash64("line").alias("spread")
-    shared = held.groupBy("line").agg(
-        F.min(F.struct("id", "mark")).alias("first"), F.count(F.lit(1)).alias("holders")).where("holders > 1")
-    places = held.select("*", spread).join(shared.select("*", spread), ["line", "spread"]).drop("spread")
-    later = places.where(F.struct("id", "mark") != F.col("first"))
-    from_first = later.select(
-        F.col("first.id").alias("early_id"), F.col("first.mark").alias("early_mark"), "id", "mark")
-    before = F.lag(F.struct("id", "mark")).over(Window.partitionBy("line").orderBy("id", "mark"))
-    from_before = (
-        places.where(F.col("holders") <= rare)  # at most that many rows in a window's group
-        .withColumn("before", before).where(F.struct("id", "mark") != F.col("before"))
-        .select(F.col("before.id").alias("early_id"), F.col("before.mark").alias("early_mark"), "id", "mark")
-    )
-    return from_first.unionByName(from_before).distinct()
-
-
-def _common(early: Column, late: Column, words: Column, least: int) -> Column:
-    @F.pandas_udf("array<int>")
+    listed = cut(keyed.select("id", listed_runs(F.col("text"), least).alias("runs")))
+    held = listed.select("id", F.posexplode("runs").alias("at", "key"))
+    shared = cut(
+        held.groupBy("key").agg(
+            F.min("id").alias("first"), F.max("id").alias("last"), F.min_by("at", "id").alias("early"))
+        .where("first < last").select("key", "first", "early"))
+    later = held.join(shared, "key").where("id > first")
+    # A pair has as many rows as the later document has runs at most.
+    return later.groupBy("first", "id").agg(
+        F.collect_list(F.struct("early", F.col("at").alias("late"), "key")).alias("places")
+    ).select("first", "id", "places.early", "places.late", F.col("places.key").alias("keys"))
+
+
+def _aligned(early: Column, late: Column, keys: Column) -> Column:
+    @F.pandas_udf("array<array<long>>")
     def of_batches(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for a, b, w in batches:
+        for e, l, k in batches:
             yield pd.Series([
-                common_places(x.tolist(), y.tolist(), z.tolist(), least) for x, y, z in zip(a, b, w)])
+                [[key[i] for i in block] for block in blocks(a.tolist(), b.tolist())]
+                for a, b, key in zip(e, l, map(lambda x: x.tolist(), k))], dtype=object)
 
-    return of_batches(early, late, words)
+    return of_batches(early, late, keys)
 
 
-def repeated_lines(docs: DataFrame, least: int = BLOCK_WORDS, rare: int = RARE) -> DataFrame:
-    """``id, mark, removed``: places (from 0, in order) of lines that repeat an earlier document.
+def repeated_blocks(keyed: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
+    """``id, keys``: the runs in blocks that a document shares with an earlier one."""
+    pairs = document_pairs(keyed, least)
+    found = pairs.select("id", _aligned(F.col("early"), F.col("late"), F.col("keys")).alias("blocks"))
+    return found.groupBy("id").agg(F.flatten(F.collect_list(F.flatten("blocks"))).alias("keys"))
 
-    Only line hashes travel, eight bytes a line; texts stay where they are.
-    """
-    pairs = cut(document_pairs(docs, rare))
-    involved = pairs.select("id", "mark").union(pairs.select("early_id", "early_mark")).distinct()
-    keyed = _keyed(docs)
-    lined = (
-        keyed.select("id", "mark", _line_hashes(F.col("text")).alias("lines"), _line_words(F.col("text")).alias("words"))
-        .join(involved, ["id", "mark"], "left_semi")
-        .groupBy("id", "mark").agg(F.first("lines").alias("lines"), F.first("words").alias("words"))
-    )
-    lined = cut(lined)
-    early = lined.select(F.col("id").alias("early_id"), F.col("mark").alias("early_mark"), F.col("lines").alias("early"))
-    both = pairs.join(early, ["early_id", "early_mark"]).join(lined, ["id", "mark"])
-    found = both.select("id", "mark", _common(F.col("early"), F.col("lines"), F.col("words"), least).alias("places"))
-    places = found.select("id", "mark", F.explode("places").alias("place")).distinct()
-    return places.groupBy("id", "mark").agg(F.array_sort(F.collect_list("place")).alias("removed"))
-
-
-def dedup_lines(docs: DataFrame, least: int = BLOCK_WORDS, rare: int = RARE) -> DataFrame:
+
+def dedup_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with ``text`` less the repeated blocks, and ``n_lines, removed_lines``.
 
-    ``removed_lines`` lists the deleted lines' numbers from 0. The earlier document is the one
-    with the smaller doc_id, a null being the smallest, then the smaller hash of its text; rows
-    that repeat both are one document and stay alike. Lines are compared without spaces around
-    them. A null or empty text stays as it is; a text that is deleted whole becomes empty; an
-    empty table gives no rows. Input columns named ``n_lines`` or ``removed_lines`` are
-    replaced.
+    A block has ``least`` words or more. The earlier document is the one with the smaller doc_id,
+    a null being the smallest; rows with one doc_id, and those without any, are not held against each
+    other. Spaces between words and the line breaks inside a block are not compared. Of a passage
+    inside a line its ends stay, up to its first and last cut. ``removed_lines`` lists the numbers
+    from 0 of the lines deleted whole. A null or empty text stays as it is; a text that is deleted whole
+    becomes empty; an empty table gives no rows. Input columns named ``n_lines`` or ``removed_lines``
+    are replaced, all others kept whatever their names.
     """
-    removed = repeated_lines(docs, least, rare).select(
-        F.col("id").alias("_id"), F.col("mark").alias("_mark"), "removed")
-    keyed = docs.drop("n_lines", "removed_lines").withColumn(
-        "_id", F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long")).withColumn("_mark", F.xxhash64("text"))
-    joined = keyed.join(removed.withColumnRenamed("removed", "_removed"), ["_id", "_mark"], "left")
-    lines = F.split("text", "\n", -1)
-    left = F.filter(lines, lambda line, i: ~F.array_contains(F.col("_removed"), i))
-    return (
-        joined.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long"))
-        .withColumn("text", F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")))
-        .withColumn("removed_lines", F.coalesce("_removed", F.array().cast("array<int>")))
-        .drop("_id", "_mark", "_removed")
-    )
-
-
-def dedup_passages(docs: DataFrame, least: int = BLOCK_WORDS, rare: int = RARE) -> DataFrame:
-    """``dedup_lines``, and every other run of ``least`` words that an earlier document holds.
-
-    After the alignment of whole lines the runs of ``passages`` are settled: parts of lines, and
-    lines that no aligned pair of documents shares in one block. ``removed_lines`` lists the
-    lines deleted whole. Spaces between words and the line breaks inside a run are not
-    compared. Otherwise as ``dedup_lines``.
-    """
-    removed = cut(repeated_lines(docs, least, rare)).select(
-        F.col("id").alias("_id"), F.col("mark").alias("_mark"), F.col("removed").alias("_removed"))
-    # What the alignment shuffled and wrote is not needed again: Spark removes it once collected.
-    gc.collect()
-    docs.sparkSession.sparkContext._jvm.System.gc()
-    runs = passages.repeated_runs(_keyed(docs), least).select(
-        F.col("id").alias("_id"), F.col("mark").alias("_mark"), F.col("keys").alias("_keys"))
-    found = cut(removed.join(runs, ["_id", "_mark"], "full_outer"))
-    keyed = docs.drop("n_lines", "removed_lines").withColumn(
-        "_id", F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long")).withColumn("_mark", F.xxhash64("text"))
-    joined = keyed.join(found, ["_id", "_mark"], "left")
-    repeats = F.col("_removed").isNotNull() | F.col("_keys").isNotNull()
-    return (
-        joined.withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long"))
-        .withColumn("_less", passages.less(F.when(repeats, F.col("text")), F.col("_keys"), F.col("_removed"), least))
-        .withColumn("text", F.coalesce("_less.text", "text"))
-        .withColumn("removed_lines", F.coalesce("_less.gone", F.array().cast("array<int>")))
-        .drop("_id", "_mark", "_removed", "_keys", "_less")
-    )
+    keyed = _keyed(docs)
+    found = cut(repeated_blocks(keyed, least))
+    joined = keyed.join(found, "id", "left").select(
+        "doc", less(F.col("text"), F.col("keys"), least).alias("less"))
+    own = [c for c in docs.columns if c not in ("n_lines", "removed_lines")]
+    lines = F.split(F.col("doc.text"), "\n", -1)
+    return joined.select(
+        *[F.coalesce("less.text", "doc.text").alias(c) if c == "text" else F.col(f"doc.`{c}`") for c in own],
+        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce("less.gone", F.array().cast("array<int>")).alias("removed_lines"))
 
 
 def digest(deduped: DataFrame) -> DataFrame:

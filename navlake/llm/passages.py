@@ -1,19 +1,16 @@
-"""Repeated passages, settled exactly and without pairs of documents.
+"""Words of a text, cut into units that an edit elsewhere does not move.
 
 A text's words are cut into units where a hash of two words in a row says so, whatever the line
-breaks, so that an edit or a surrounding text moves no cut but its own. From each unit the
-shortest run of units with enough words is taken; a run that an earlier document holds too goes.
-The same is done with lines as units, forwards and backwards, which covers every longer run of
-lines: each repeated one is found, however many documents hold it or its parts.
+breaks. From each unit the shortest run of units with enough words is taken; the same is done with
+lines as units, forwards and backwards, which covers every longer run of lines. A passage that two
+documents share, and is long enough, is made of runs that both have.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
-
-from navlake.llm.common import cut
+from pyspark.sql import Column, functions as F
 
 #: One of so many words starts a unit.
 UNIT = 8
@@ -122,19 +119,21 @@ def _steps(texts: list[str]) -> Iterator[list[int]]:
 
 
 def run_keys(texts: list[str], least: int) -> list[np.ndarray]:
-    """The distinct keys of each text's runs, as signed numbers."""
+    """The distinct keys of each text's runs, as signed numbers, by where they first begin."""
     out = []
     for part in _steps(texts):
         runs = Runs([texts[i] for i in part], least)
         edges = np.searchsorted(runs.owner, np.arange(len(part) + 1))
-        out += [np.unique(runs.keys[a:b]).view(np.int64) for a, b in zip(edges, edges[1:])]
+        for a, b in zip(edges, edges[1:]):
+            keys, first = np.unique(runs.keys[a:b], return_index=True)
+            out.append(keys[np.argsort(first)].view(np.int64))
     return out
 
 
-def without(text: str, keys, gone: set[int], least: int) -> tuple[str, list[int]]:
-    """The text less the lines ``gone`` and the runs of ``keys``, and the lines deleted whole.
+def without(text: str, keys, least: int) -> tuple[str, list[int]]:
+    """The text less the runs of ``keys``, and the lines deleted whole.
 
-    What stays of a line keeps its place; a line without words stays unless it is in ``gone``.
+    What stays of a line keeps its place; a line without words stays.
     """
     runs = Runs([text], least)
     hit = np.isin(runs.keys.view(np.int64), np.asarray(keys, dtype=np.int64))
@@ -146,7 +145,7 @@ def without(text: str, keys, gone: set[int], least: int) -> tuple[str, list[int]
     for number, line in enumerate(text.split("\n")):
         a, b = np.searchsorted(runs.starts, [at, at + len(line)])
         here = removed[a:b]
-        if number in gone or (b > a and here.all()):
+        if b > a and here.all():
             deleted.append(number)
         elif not here.any():
             kept.append(line)
@@ -162,7 +161,9 @@ def without(text: str, keys, gone: set[int], least: int) -> tuple[str, list[int]
     return "\n".join(kept), deleted
 
 
-def _keys(text: Column, least: int) -> Column:
+def listed_runs(text: Column, least: int) -> Column:
+    """The distinct keys of a text's runs, in order."""
+
     @F.pandas_udf("array<long>")
     def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
@@ -171,32 +172,13 @@ def _keys(text: Column, least: int) -> Column:
     return of_batches(text)
 
 
-def repeated_runs(keyed: DataFrame, least: int) -> DataFrame:
-    """``id, mark, keys``: the runs of each document that an earlier one holds.
-
-    ``keyed`` has ``id, mark, text``. A key travels once per document that holds it.
-    """
-    listed = cut(keyed.select("id", "mark", _keys(F.col("text"), least).alias("keys")))
-    held = listed.select("id", "mark", F.explode("keys").alias("key"))
-    spread = F.xxhash64("key").alias("spread")
-    shared = cut(held.groupBy("key").agg(
-        F.min(F.struct("id", "mark")).alias("first"), F.count(F.lit(1)).alias("holders")).where("holders > 1"))
-    later = (
-        held.select("*", spread).join(shared.select("key", "first", spread), ["key", "spread"])
-        .where(F.struct("id", "mark") != F.col("first"))
-    )
-    return later.groupBy("id", "mark").agg(F.collect_set("key").alias("keys"))
-
-
-def less(text: Column, keys: Column, gone: Column, least: int) -> Column:
-    """Struct of the text less what repeats and the numbers of the lines deleted whole."""
+def less(text: Column, keys: Column, least: int) -> Column:
+    """Struct of the text less the runs of ``keys`` and the numbers of the lines deleted whole."""
 
     @F.pandas_udf("text string, gone array<int>")
-    def of_batches(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, keyed, lines in batches:
-            rows = [
-                (None, None) if t is None else without(t, () if k is None else k, set(() if g is None else g.tolist()), least)
-                for t, k, g in zip(texts, keyed, lines)]
+    def of_batches(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, keyed in batches:
+            rows = [(None, None) if k is None else without(t, k, least) for t, k in zip(texts, keyed)]
             yield pd.DataFrame(rows, columns=["text", "gone"])
 
-    return of_batches(text, keys, gone)
+    return of_batches(text, keys)
