@@ -7,6 +7,7 @@ another the rule of higher priority stays, the wider one among equals.
 """
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -110,6 +111,42 @@ TEXTS = [
     ("bsd-4", "advertising", r"all advertising materials mentioning features or use of this software must display", 7, 0.95),
     ("zlib", "misrepresented", r"the origin of this software must not be misrepresented", 7, 0.95),
     ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain", 7, 0.95),
+    ("mit", "substantial", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", 7, 0.9),
+    ("apache-2", "compliance", r"you may not use this (?:file|software|work) except in compliance with the licen[cs]e", 7, 0.8),
+    ("apache-2", "unless", r"unless required by applicable law or agreed to in writing software distributed under the licen[cs]e is distributed on an as is basis", 7, 0.9),
+    ("apache-2", "apache", r"www apache org licen[cs]es licen[cs]e 2 0", 7, 0.95),
+    ("apache-1", "apache", r"this product includes software developed by the apache (?:group|software foundation)", 7, 0.9),
+    ("mpl-1", "mozilla", r"the contents of this file are subject to the mozilla public licen[cs]e version 1(?: [01])?", 7, 0.95),
+    ("mpl-2", "mozilla", r"this source code form is subject to the terms of the mozilla public licen[cs]e v(?:ersion)? ?2 0", 7, 0.95),
+    ("epl-1", "eclipse", r"made available under the terms of the eclipse public licen[cs]e v ?1 0", 7, 0.95),
+    ("epl-2", "eclipse", r"made available under the terms of the eclipse public licen[cs]e v ?2 0", 7, 0.95),
+    ("cddl-1", "distribution", r"the terms of the common development and distribution licen[cs]e", 7, 0.9),
+    ("cpl-1", "common", r"made available under the terms of the common public licen[cs]e v ?1 0", 7, 0.95),
+    ("eupl-1", "eupl", r"licen[cs]ed under the eupl version 1(?: [012])?", 7, 0.95),
+    ("agpl-3", "affero", r"www gnu org licen[cs]es agpl", 7, 0.8),
+    ("gpl", "gnu", r"you should have received a copy of the gnu general public licen[cs]e", 6.5, 0.8),
+    ("lgpl", "gnu", r"you should have received a copy of the gnu (?:lesser|library) general public licen[cs]e", 6.5, 0.8),
+    ("agpl", "affero", r"you should have received a copy of the gnu affero general public licen[cs]e", 6.5, 0.8),
+    ("gpl", "redistribute", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e", 0.4, 0.9),
+    ("lgpl", "redistribute", r"this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[cs]e", 0.4, 0.9),
+    ("fdl-1", "invariant", r"with no invariant sections no front cover texts and no back cover texts", 7, 0.95),
+    ("ofl-1.1", "font", r"this font software is licen[cs]ed under the sil open font licen[cs]e version 1 1", 7, 0.97),
+    ("ofl-1.1", "reserved", r"reserved font name", 6.5, 0.7),
+    ("artistic-2", "artistic", r"everyone is permitted to copy and distribute verbatim copies of this licen[cs]e document but changing it is not allowed", 6.5, 0.6),
+    ("wtfpl", "want", r"you just do what the fuck you want to", 7, 0.95),
+    ("cc0-1", "waived", r"has waived all copyright and related or neighboring rights", 7, 0.9),
+    ("cc0-1", "publicdomain", r"creativecommons org publicdomain zero 1 0", 7, 0.95),
+    ("public-domain", "domain", r"(?:placed|dedicated|released) (?:in|into|to) the public domain", 6.5, 0.85),
+    ("psf-2", "python", r"the python software foundation psf is making python available to licensee on an as is basis", 7, 0.9),
+    ("postgresql", "agreement", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted", 7, 0.95),
+    ("openssl", "openssl", r"this product includes software developed by the openssl project", 7, 0.9),
+    ("ncsa", "names", r"neither the names of(?: \S+){1,20} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", 6.5, 0.7),
+    ("libpng", "png", r"the contributing authors and group 42 inc disclaim all warranties", 7, 0.9),
+    ("x11", "consortium", r"except as contained in this notice the name of the x consortium shall not be used in advertising", 7, 0.95),
+    ("bsd-2", "merchantability", r"this software is provided by the copyright holders and contributors as is and any express or implied warranties", 6.5, 0.6),
+    ("ms-pl", "reciprocal|contributor", r"each contributor grants you a non exclusive worldwide royalty free copyright licen[cs]e", 6.5, 0.6),
+    *[(f"cc-{kind}", "creativecommons", rf"creativecommons org licen[cs]es {kind.replace('-', ' ')} [1234] [05]", 6.6, 0.95)
+      for kind in ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd")],
     *[(f"gpl-{n}", "general", rf"(?:gnu )?general public licen[cs]e{_EITHER} {n}(?: 0)?{_OF_LATER}", 0.5, 0.95) for n in (1, 2, 3)],
     ("lgpl-2", "library|lesser", rf"(?:gnu )?(?:library|lesser) general public licen[cs]e{_EITHER} 2(?: 0)?(?! 1 ){_OF_LATER}", 0.5, 0.95),
     ("lgpl-2.1", "lesser", rf"(?:gnu )?lesser general public licen[cs]e{_EITHER} 2 1{_OF_LATER}", 0.5, 0.95),
@@ -159,41 +196,77 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_TO_WORDS).split()
 
 
+class _Stays:
+    """Spans of which none lies inside another: in the order of their starts their ends rise too."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def meets(self, start: int, end: int, only_whole: bool) -> bool:
+        """Whether the span lies inside one, or holds one, or (unless ``only_whole``) overlaps one."""
+        before, after = bisect_right(self.starts, start) - 1, bisect_left(self.starts, start)
+        if before >= 0 and (self.ends[before] >= end or not only_whole and self.ends[before] > start):
+            return True
+        return after < len(self.starts) and (
+            self.ends[after] <= end or not only_whole and self.starts[after] < end)
+
+    def add(self, start: int, end: int) -> None:
+        at = bisect_left(self.starts, start)
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+
+
+def suppressed(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
+    """The detections that stay, in order.
+
+    By falling priority, wider first: what lies inside an earlier one, or holds it, goes. A name
+    without a version (priority 0) goes where it only meets another.
+    """
+    stays, out = _Stays(), []
+    for start, end, rule in sorted(found, key=lambda f: (-f[2].priority, f[0] - f[1], f[0], f[2].label)):
+        if not stays.meets(start, end, bool(rule.priority)):
+            stays.add(start, end)
+            out.append((start, end, rule))
+    return sorted(out, key=lambda f: f[:2])
+
+
+def _spaces_before(joined, space, places: list[int]) -> dict[int, int]:
+    """How many spaces stand before each place, counted once along the text."""
+    counts, last, total = {}, 0, 0
+    for at in sorted(places):
+        total += joined.count(space, last, at)
+        counts[at], last = total, at
+    return counts
+
+
 def detect(words: list[bytes]) -> list[tuple[int, int, str, float]]:
     """``(first word, one past the last word, label, confidence)`` of what stays, in order."""
     present = {w.decode("utf-8", "surrogatepass") for w in set(words)}
     if not present & keywords():
         return []
     joined = " " + b" ".join(words).decode("utf-8", "surrogatepass") + " "
-    found = [
+    stays = suppressed([
         (m.start(), m.end(), rule)
         for rule in rules() if all(present & need for need in rule.needs)
         for m in rule.pattern.finditer(joined)
-    ]
-    # By falling priority, wider first: what lies inside an earlier one, or holds it, goes.
-    found.sort(key=lambda f: (-f[2].priority, f[0] - f[1], f[0], f[2].label))
-    stays = []
-    for start, end, rule in found:
-        # A name without a version goes where it only meets another.
-        if not any(a <= start and end <= b or start <= a and b <= end or not rule.priority and a < end and start < b
-                   for a, b, _ in stays):
-            stays.append((start, end, rule))
-    return sorted(
-        (joined.count(" ", 0, start) - 1, joined.count(" ", 0, end), rule.label, rule.confidence)
-        for start, end, rule in stays)
+    ])
+    at = _spaces_before(joined, " ", [x for start, end, _ in stays for x in (start, end)])
+    return [(at[start] - 1, at[end], rule.label, rule.confidence) for start, end, rule in stays]
 
 
 def base_places(words: list[bytes]) -> list[tuple[int, str]]:
     """``(first word, label)`` of every place where a base phrase's words stand in a row."""
     joined = b" " + b" ".join(words) + b" "
-    places = []
+    found = []
     for phrase, label in BASE.items():
         seek = b" " + phrase.encode() + b" "
         at = joined.find(seek)
         while at >= 0:
-            places.append((joined.count(b" ", 0, at), label))
+            found.append((at, label))
             at = joined.find(seek, at + 1)
-    return sorted(places)
+    before = _spaces_before(joined, b" ", [at for at, _ in found])
+    return sorted((before[at], label) for at, label in found)
 
 
 SCANNED = (

@@ -139,3 +139,56 @@ def test_grant_texts_headers_and_names_without_version():
     }
     assert {t: labels(t) for t in wanted} == {t: [label] for t, label in wanted.items()}
     assert labels("licensed under the GPL version 3") == ["gpl-3"]
+
+
+def test_suppression_against_all_pairs():
+    import random
+
+    rng = random.Random(8)
+    kinds = [licenses.Rule(f"l{i}", (), re.compile("x"), p, 0.5) for i, p in enumerate((6, 5, 5, 2, 1, 0, 0))]
+    for _ in range(300):
+        found = []
+        for _ in range(rng.randrange(1, 25)):
+            start = rng.randrange(40)
+            found.append((start, start + rng.randrange(1, 12), rng.choice(kinds)))
+        stays = []
+        for start, end, rule in sorted(found, key=lambda f: (-f[2].priority, f[0] - f[1], f[0], f[2].label)):
+            if not any(a <= start and end <= b or start <= a and b <= end or not rule.priority and a < end and start < b
+                       for a, b, _ in stays):
+                stays.append((start, end, rule))
+        assert licenses.suppressed(found) == sorted(stays, key=lambda f: f[:2])
+
+
+def test_word_numbers_of_detections():
+    text = "é released under the MIT license. x " * 50
+    w = words(text)
+    for first, past, label, _ in licenses.detect(licenses.words_of(text)):
+        assert w[first:past] == ["released", "under", "the", "mit", "license"] and label == "mit"
+    assert len(licenses.detect(licenses.words_of(text))) == 50
+
+
+def test_time_follows_the_length():
+    import time
+
+    took = []
+    for n in (4_000, 16_000):
+        w = licenses.words_of("released under the MIT license and see the GPL license " * n)
+        begin = time.time()
+        assert len(licenses.detect(w)) == 2 * n and len(licenses.base_places(w)) == n
+        took.append(time.time() - begin)
+    assert took[1] < 10 * max(took[0], 0.1)
+
+
+def test_license_texts_beyond_names():
+    wanted = {
+        "You may not use this file except in compliance with the License.": "apache-2",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "mpl-2",
+        "made available under the terms of the Eclipse Public License v1.0": "epl-1",
+        "https://creativecommons.org/licenses/by-nc-sa/4.0/": "cc-by-nc-sa",
+        "https://creativecommons.org/publicdomain/zero/1.0/": "cc0-1",
+        "This Font Software is licensed under the SIL Open Font License, Version 1.1.": "ofl-1.1",
+        "You should have received a copy of the GNU General Public License": "gpl",
+        "has been placed in the public domain by its author": "public-domain",
+    }
+    for text, label in wanted.items():
+        assert label in labels(text), text
