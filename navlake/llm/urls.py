@@ -33,7 +33,11 @@ RULES = (
 )
 
 # Words in a host that mark a URL as rejected when the models are trained.
-REJECTED_HOST_WORDS = ("pills", "casino", "bets", "spam", "ads", "viagra", "porn", "loans", "poker")
+REJECTED_HOST_WORDS = (
+    "ads", "adult", "bet", "bets", "betting", "bingo", "casino", "cheap", "cialis", "clickbait", "crack", "cracked",
+    "dating", "escort", "escorts", "forex", "gambling", "hookup", "jackpot", "keygen", "loan", "loans", "lottery",
+    "malware", "nude", "nudes", "payday", "pharma", "phishing", "pills", "poker", "popunder", "porn", "roulette",
+    "sex", "slots", "spam", "torrent", "torrents", "viagra", "warez", "webcam", "xxx")
 
 START, END = "\x02", "\x03"
 
@@ -57,9 +61,10 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str, str]])
     return chosen
 
 
-def _judged_text(host: Column, path: Column) -> Column:
-    """What the models read: the host without its last two names, and the path."""
-    return F.concat(F.regexp_replace(host, r"[^.]*\.?[^.]*$", ""), path)
+def judged_text(url: Column, host: Column) -> Column:
+    """What the models read: the whole URL behind its scheme, the host in lower case."""
+    rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(.*)$", 1)
+    return F.coalesce(F.when(F.contains(url, F.lit("://")), F.concat(host, rest)).otherwise(url), F.lit(""))
 
 
 def _grams(text: str) -> Column:
@@ -135,33 +140,40 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
                rejected_words: Sequence[str] = REJECTED_HOST_WORDS) -> DataFrame:
     """``pages`` with ``host, path, rule, verdict, score``.
 
-    Where a rule fits, it gives the verdict. Accepted URLs, for training, are those a rule
-    allows; rejected ones those a rule blocks or, without a rule, with a rejected word in the
-    host; URLs on which the two disagree train neither. Every labelled URL counts, as often as
-    it occurs: four of five judged texts (by a hash) train the models, the fifth calibrates the
-    cut. A null url or one without ``://`` has empty host and path and is judged by the empty
-    text. Repeated rows are judged alike; an empty table gives no rows; input columns with one
-    of the five names are replaced.
+    Where a rule fits, it gives the verdict. Accepted URLs, for training, are those a rule allows
+    or no rule knows, rejected ones those with a rejected word in the host and those a rule blocks;
+    an allowed URL with such a word trains neither. Every URL counts, as often as it occurs: four of
+    five judged texts (by a hash) train the models, the fifth calibrates the cut, by the URLs
+    without a rule, as only those are judged by it. A null url is judged by the empty text, one
+    without ``://`` by what it is, with empty host and path. Repeated rows are judged alike; an
+    empty table gives no rows; input columns with one of the five names are replaced, all others kept
+    whatever their names.
     """
-    plain = pages.drop("host", "path", "rule", "verdict", "score", "judged")
-    parsed = plain.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
-    ruled = parsed.withColumn("_rule", rule_for(F.col("host"), F.col("path"), rules))
-    named = ruled.withColumn("judged", _judged_text(F.col("host"), F.col("path")))
+    own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "score")]
+    parsed = pages.select(
+        F.struct(*[F.col(f"`{c}`") for c in own]).alias("page"), "url",
+        host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    named = parsed.select(
+        "page", "host", "path", rule_for(F.col("host"), F.col("path"), rules).alias("found"),
+        judged_text(F.col("url"), F.col("host")).alias("judged"))
     bad_word = F.col("host").rlike(rf"(^|[.-])({'|'.join(rejected_words)})([.-]|$)")
-    verdict = F.col("_rule.verdict")
+    verdict, unruled = F.col("found.verdict"), F.col("found.verdict").isNull()
+
+    def times(condition: Column) -> Column:
+        return F.sum(F.when(condition, 1).otherwise(0))
+
     per_text = cut(named.groupBy("judged").agg(
-        F.sum(F.when((verdict == "allow") & ~bad_word, 1).otherwise(0)).alias("accepted"),
-        F.sum(F.when((verdict == "block") | (verdict.isNull() & bad_word), 1).otherwise(0)).alias("rejected")))
+        times((unruled | (verdict == "allow")) & ~bad_word).alias("accepted"),
+        times((verdict == "block") | (unruled & bad_word)).alias("rejected"),
+        times(unruled & ~bad_word).alias("good"), times(unruled & bad_word).alias("bad")))
     trains = F.pmod(F.xxhash64("judged"), F.lit(5)) != 0
     scored = cut(text_scores(per_text.select(
         "judged", F.when(trains, F.col("accepted")).otherwise(0).alias("accepted"),
         F.when(trains, F.col("rejected")).otherwise(0).alias("rejected"))))
-    edge = best_cut(scored.join(per_text, "judged").where(~trains))
-    spread = F.xxhash64("judged").alias("_spread")
+    edge = best_cut(scored.join(per_text, "judged").where(~trains).select(
+        "score", F.col("good").alias("accepted"), F.col("bad").alias("rejected")))
+    spread = F.xxhash64("judged").alias("spread")
     by_model = F.when(F.col("score") >= edge, "allow").otherwise("block")
-    return (
-        named.select("*", spread).join(scored.select("*", spread), ["judged", "_spread"])
-        .withColumn("rule", F.col("_rule.rule"))
-        .withColumn("verdict", F.coalesce(F.col("_rule.verdict"), by_model))
-        .drop("_rule", "_spread", "judged")
-    )
+    return named.select("*", spread).join(scored.select("*", spread), ["judged", "spread"]).select(
+        *[F.col("page")[c].alias(c) for c in own], "host", "path", F.col("found.rule").alias("rule"),
+        F.coalesce(verdict, by_model).alias("verdict"), "score")

