@@ -5,12 +5,16 @@ labelled documents show to be toxic carry a weight; words inside an exception ph
 count. The sum of the weights, taken by length, is calibrated to a score between 0 and 1.
 """
 
+import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from navlake.llm.common import cut
@@ -18,9 +22,6 @@ from navlake.llm.common import cut
 #: Labelled rows used to learn the lexicon, about; chosen by a hash of doc_id.
 SAMPLE_ROWS = 20_000
 
-#: Entries the learned lexicon holds at most, those seen in most toxic documents.
-LEXICON_ENTRIES = 4_000
-
 #: Least toxic documents with an entry, and least log-odds, to enter the lexicon.
 LEAST_TOXIC = 5
 LEAST_WEIGHT = 2.0
@@ -44,25 +45,36 @@ EXCEPTIONS = (
     "sore loser", "control freak", "nothing stupid", "host parasite", "parasite host",
 )
 
-# Letters that look like a Latin one (Cyrillic, Greek), and digits or signs written for one.
-LOOK_ALIKE = dict(zip("авекмнорстухіјѕԁԛԝһӏαβεικνορτυχ", "abekmhopctyxijsdqwhlabeiknoptux"))
-SUBSTITUTED = dict(zip("013457@$", "oieastas"))
+# Letters that look like a Latin one (Cyrillic, Greek, small capitals, others), and digits or signs written for one.
+LOOK_ALIKE = dict(zip(
+    "авекмнорстухіјѕԁԛԝһӏғгпицѵ" "αβεικνορτυχγηκρωϲ" "ᴀʙᴄᴅᴇɢʜɪᴊᴋʟᴍɴᴏᴘʀᴛᴜᴠᴡʏᴢ" "ıȷøłđħŧɑɡɩαο",
+    "abekmhopctyxijsdqwhlfrnucv" "abeikvoptuxynkpwc" "abcdeghijklmnoprtuvwyz" "ijoldhtagiao"))
+SUBSTITUTED = dict(zip("0134578@$€£¢", "oieastbaselc"))
 
 
 def _fold_table() -> dict[int, str]:
     table = {i: " " for i in range(128) if not chr(i).isalpha()}
     table |= {ord(k): v for k, v in {**LOOK_ALIKE, **SUBSTITUTED}.items()}
-    table |= {0xFF41 + i: chr(97 + i) for i in range(26)}  # full-width letters
     table |= {i: "" for i in (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)}  # invisible
     return table
 
 
 FOLD = _fold_table()
+_MARKS = regex.compile(r"\p{M}+")
+_GAPS = regex.compile(r"[^\p{L}]+")
 
 
 def fold(text: str | None) -> str:
-    """Words in lower case with look-alikes undone, one space before, between and after."""
-    return f" {' '.join((text or '').lower().translate(FOLD).split())} "
+    """Words in lower case with look-alikes undone, one space before, between and after.
+
+    Full-width and other compatible forms become plain, accents and other marks go, and whatever is no
+    letter separates words, in any script.
+    """
+    low = (text or "").lower()
+    if not low.isascii():
+        low = _MARKS.sub("", unicodedata.normalize("NFKD", low)).lower()
+    low = low.translate(FOLD)
+    return f" {' '.join(low.split() if low.isascii() else _GAPS.sub(' ', low).split())} "
 
 
 @dataclass(frozen=True)
@@ -99,7 +111,10 @@ def features(folded: str, automaton: ahocorasick.Automaton) -> tuple[float, floa
         elif weight > best.get(start, 0.0):
             best[start] = weight
     if spared:
-        best = {s: w for s, w in best.items() if not any(a <= s < b for a, b in spared)}
+        # Found by their ends; where one begins after another has begun, the furthest end so far counts.
+        spared.sort()
+        begins, reach = [a for a, _ in spared], list(accumulate((b for _, b in spared), max))
+        best = {s: w for s, w in best.items() if (i := bisect_right(begins, s)) == 0 or reach[i - 1] <= s}
     total, words = sum(best.values()), max(1, folded.count(" ") - 1)
     return np.log1p(total), np.log1p(100 * total / words), np.log1p(words)
 
@@ -146,7 +161,8 @@ def fold_of(doc_id: Column) -> Column:
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
     """A lexicon and its calibration from labelled documents outside fold 0.
 
-    About ``sample_rows`` labelled rows are used, those with the smallest hashes. Equal texts
+    Every word and stem of the sample that enough toxic texts hold is in it, if its odds are high; the
+    sample bounds how many there are. About ``sample_rows`` labelled rows are used, those with the smallest hashes. Equal texts
     count once, so a much-copied document does not make its words look toxic. Only entries of
     the lexicon and three numbers per sampled document reach the driver. Labels without an id
     or a value are left out; without usable labels the base words score by a fixed line.
@@ -158,7 +174,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     # A bounded number of rows of two numbers each.
     chosen = F.broadcast(usable.where(draw < share))
-    texts = docs.join(chosen, "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
+    texts = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
     sample = cut(texts.groupBy(F.xxhash64("text").alias("same")).agg(
         F.first("text").alias("text"), F.max("toxic").alias("toxic")))
     base = {w: BASE_WEIGHT for w in BASE_WORDS}
@@ -179,8 +195,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     kept = (
         entries.groupBy("e.entry", "e.stem").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
         .where(F.col("t") >= LEAST_TOXIC).withColumn("weight", odds)
-        .where(F.col("weight") >= LEAST_WEIGHT)
-        .orderBy(F.desc("t"), "entry", "stem").limit(LEXICON_ENTRIES).collect())
+        .where(F.col("weight") >= LEAST_WEIGHT).collect())
     known = Lexicon(
         base | {r["entry"]: r["weight"] for r in kept if not r["stem"]},
         {r["entry"]: r["weight"] for r in kept if r["stem"]})
@@ -211,14 +226,20 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
     columns with one of the three names are replaced.
     """
     lexicon = learn(docs, labels, sample_rows)
-    plain = docs.drop("held_out", "score", "predicted")
-    return (
-        plain.withColumn("held_out", F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False)))
-        .withColumn("score", scores(F.col("text"), lexicon))
-        .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
-    )
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("held_out", "score", "predicted")]
+    text_score = scores(F.col("text"), lexicon)
+    return docs.select(
+        *own, F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), text_score.alias("score"),
+    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not judged toxic, with their own columns."""
-    return score_documents(docs, labels).where("predicted = 0").select(*docs.columns)
+    """The documents that are not judged toxic, with their own columns whatever their names.
+
+    Null and empty texts are judged by the calibration; repeated rows go or stay alike; an empty table
+    gives no rows.
+    """
+    lexicon = learn(docs, labels)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    judged = whole.select("doc", scores(F.col("doc.text"), lexicon).alias("score"))
+    return judged.where("score < 0.5").select("doc.*")

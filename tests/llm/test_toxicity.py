@@ -1,3 +1,5 @@
+import math
+import time
 import zlib
 
 import pytest
@@ -13,6 +15,58 @@ def test_folding_undoes_disguise():
     assert toxicity.fold(None) == toxicity.fold("") == "  "
 
 
+def test_folding_of_signs_marks_and_other_scripts():
+    for text in ("“idiot”", "idiot…", "idiot—really", "idïot", "«IDIOT»", "id\u0456ot", "ᴵᴰᴵᴼᵀ", "1di0t", "idiot、"):
+        assert toxicity.fold(text).split()[0] == "idiot", text
+    assert toxicity.fold("Über\u00a0die Straße") == " uber die straße "
+    assert len(toxicity.LOOK_ALIKE) < 200
+
+
+def features_by_hand(folded, lexicon):
+    """Total weight by looking at every word and every exception in turn."""
+    words = folded.split()
+    spared = set()
+    for phrase in toxicity.EXCEPTIONS:
+        p = phrase.split()
+        for i in range(len(words)):
+            if words[i:i + len(p)] == p:
+                spared |= set(range(i, i + len(p)))
+    total = 0.0
+    for i, word in enumerate(words):
+        weights = [lexicon.words.get(word, 0.0)] + [w for stem, w in lexicon.stems.items() if word.startswith(stem)]
+        total += 0.0 if i in spared else max(weights)
+    return total, len(words)
+
+
+def test_matches_against_brute_force():
+    rng = __import__("random").Random(6)
+    lexicon = toxicity.Lexicon({"trash": 2.0, "clown": 3.0, "pig": 1.5}, {"clow": 1.0, "tra": 0.5, "garbage": 2.5, "clown": 3.5})
+    automaton = lexicon.automaton()
+    words = ["trash", "can", "bag", "clown", "clowns", "class", "fish", "pig", "iron", "guinea", "garbage", "truck", "trap", "a", "collection"]
+    for _ in range(400):
+        folded = toxicity.fold(" ".join(rng.choices(words, k=rng.randrange(12))))
+        total, n = features_by_hand(folded, lexicon)
+        got = toxicity.features(folded, automaton)
+        want = (math.log1p(total), math.log1p(100 * total / max(1, n)), math.log1p(max(1, n)))
+        assert all(abs(a - b) < 1e-9 for a, b in zip(got, want)), folded
+
+
+def test_many_exceptions_take_little_time():
+    automaton = toxicity.Lexicon({"trash": 2.0}, {}).automaton()
+    begin = time.time()
+    assert toxicity.features(toxicity.fold("trash can trash " * 40_000), automaton)[0] > 0
+    assert time.time() - begin < 5
+
+
+def test_columns_of_any_name_are_kept(docs_of, spark):
+    none = spark.createDataFrame([(None, 1)], "doc_id long, toxic int")
+    docs = docs_of((1, "a"), (None, None)).selectExpr("*", "'y' as doc", "'y' as x", "'y' as toxic")
+    assert toxicity.keep_clean(docs, none).exceptAll(docs).isEmpty()
+    out = toxicity.score_documents(docs, none)
+    own = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
+    assert out.select(*own).exceptAll(docs.select(*own)).isEmpty()
+
+
 def test_weights_exceptions_and_length():
     found = toxicity.Lexicon({"trash": 2.0, "clown": 3.0}, {"clow": 1.0}).automaton()
     total = lambda text: round(float(pytest.importorskip("numpy").expm1(toxicity.features(toxicity.fold(text), found)[0])), 6)
