@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -62,26 +63,27 @@ def number_rows(frame: DataFrame, order: list, number: str, total: str) -> DataF
     together. Rows equal in all of ``order`` are numbered in any order; a hot run of them is
     split over partitions, as the place in the input is the last sort key.
     """
-    spread = cut(frame.withColumn("_input", F.monotonically_increasing_id()))
+    input_, at, part, before_ = (f"{name}_{uuid.uuid4().hex}" for name in ("input", "at", "part", "before"))
+    spread = cut(frame.withColumn(input_, F.monotonically_increasing_id()))
     placed = cut(
-        spread.sort(*order, "_input").drop("_input")
-        .withColumn("_at", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftrightunsigned("_at", 33).cast("int"))
+        spread.sort(*order, input_).drop(input_)
+        .withColumn(at, F.monotonically_increasing_id())
+        .withColumn(part, F.shiftrightunsigned(at, 33).cast("int"))
     )
-    every = Window.orderBy("_part")
+    every = Window.orderBy(part)
     before = (
-        placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+        placed.groupBy(part).agg(F.count(F.lit(1)).alias("rows"))
         .select(
-            "_part",
-            (F.sum("_rows").over(every) - F.col("_rows")).alias("_before"),
-            F.sum("_rows").over(Window.partitionBy()).alias(total),
+            part,
+            (F.sum("rows").over(every) - F.col("rows")).alias(before_),
+            F.sum("rows").over(Window.partitionBy()).alias(total),
         )
     )
     # One row per partition of the sort, however many rows those hold.
     return (
-        placed.join(F.broadcast(before), "_part")
-        .withColumn(number, F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1))
-        .drop("_part", "_at", "_before")
+        placed.join(F.broadcast(before), part)
+        .withColumn(number, F.col(before_) + F.col(at).bitwiseAND((1 << 33) - 1))
+        .drop(part, at, before_)
     )
 
 

@@ -12,14 +12,20 @@ from navlake.llm.common import ascii_lower, cut, repeat_rows
 #: Bits in one block of the filter: what one bitmap aggregate holds, 4096 bytes.
 BLOCK_BITS = 32_768
 
-#: Blocks of the filter. 2048 blocks are 8 MiB when broadcast, whatever the input; a filter
-#: that is too small for its input lets more rows shuffle but changes no result.
-BLOCKS = 2048
+#: Rows per block, which gives a row 16 bits; fewest and most blocks. The most are 64 MiB when
+#: broadcast, enough for 33 million rows; beyond that more rows shuffle, which changes no result.
+BLOCK_ROWS = 2048
+FEWEST, MOST = 64, 16_384
 
 #: Bits that a row sets.
 PROBES = 3
 
 
+def blocks_for(rows: int) -> int:
+    """Blocks of a filter for so many rows."""
+    return min(MOST, max(FEWEST, -(-rows // BLOCK_ROWS)))
+
+
 def _block(digest: Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(digest, F.lit(1)), F.lit(blocks)).cast("int")
 
@@ -32,7 +38,7 @@ def _bits(digest: Column) -> list[Column]:
     ]
 
 
-def repeated_bits(digests: DataFrame, digest: str = "digest", blocks: int = BLOCKS) -> DataFrame:
+def repeated_bits(digests: DataFrame, digest: str = "digest", blocks: int = FEWEST) -> DataFrame:
     """Blocks of the filter (``block``, ``bits``) with the bits that two rows or more set."""
     spread = digests.select(
         _block(F.col(digest), blocks).alias("block"),
@@ -47,21 +53,26 @@ def _is_set(bits: Column, bit: Column) -> Column:
     return F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(bit, F.lit(8)))), F.lit(2)) == 1
 
 
-def possibly_repeated(digests: DataFrame, blocks: int = BLOCKS) -> DataFrame:
-    """``digests`` with ``maybe``: false only where no other row has the same digest."""
+def possibly_repeated(digests: DataFrame, blocks: int | None = None) -> DataFrame:
+    """``digests`` with ``maybe``: false only where no other row has the same digest.
+
+    The filter is as large as the counted rows ask, if its ``blocks`` are not given.
+    """
+    if blocks is None:
+        blocks = blocks_for(digests.count())
     filled = repeated_bits(digests, blocks=blocks)
     hit = F.lit(True)
     for bit in _bits(F.col("digest")):
         hit = hit & _is_set(F.col("bits"), bit)
     return (
         digests.withColumn("block", _block(F.col("digest"), blocks))
-        .join(F.broadcast(filled), "block", "left")  # at most `blocks` rows of 4 KiB
+        .join(F.broadcast(filled), "block", "left")  # at most MOST rows of 4 KiB
         .withColumn("maybe", F.coalesce(hit, F.lit(False)))
         .drop("block", "bits")
     )
 
 
-def exact_groups(docs: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+def exact_groups(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Texts are equal when identical after lower-casing A-Z; a null counts as empty. Of equal
@@ -98,13 +109,19 @@ def exact_groups(docs: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     )
 
 
-def drop_copies(docs: DataFrame, blocks: int = BLOCKS) -> DataFrame:
-    """The documents that ``exact_groups`` keeps, with all their columns.
+def drop_copies(docs: DataFrame, blocks: int | None = None) -> DataFrame:
+    """One row of each text, with all its columns: that of the largest doc_id, a null being the smallest.
 
-    Needs a doc_id that names one row, as it selects by it.
+    Of rows that share text and doc_id one stays, the greatest by its text as written. A null
+    text counts as empty; an empty table gives no rows. Only rows whose text may be repeated move.
     """
-    kept = exact_groups(docs, blocks).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    normal = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.unhex(F.sha2(normal, 256)).alias("digest"))
+    looked_up = possibly_repeated(whole, blocks)
+    best = looked_up.where("maybe").groupBy("digest").agg(
+        F.max_by("doc", F.struct("doc.doc_id", "doc.text")).alias("doc"))
+    return looked_up.where(~F.col("maybe")).select("doc").unionByName(best.select("doc")).select("doc.*")
 
 
 ORACLE = """

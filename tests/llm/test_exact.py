@@ -29,7 +29,7 @@ def got(frame):
     return sorted((tuple(r) for r in frame.collect()), key=str)
 
 
-@pytest.mark.parametrize("blocks", [1, 64, exact.BLOCKS])
+@pytest.mark.parametrize("blocks", [1, exact.FEWEST, None])
 def test_odd_rows_with_any_size_of_filter(odd, blocks):
     assert got(exact.exact_groups(odd, blocks)) == by_hand([r[:2] for r in ODD])
 
@@ -61,3 +61,17 @@ def test_kept_documents_and_plan(docs_of):
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3]
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_one_row_of_each_text_is_kept_with_its_columns(docs_of):
+    rows = [(None, "only null"), (1, "Twice"), (1, "Twice"), (1, "twice"), (None, None), (None, ""), (2, "x"), (None, "X")]
+    docs = docs_of(*rows).selectExpr("*", "'y' as maybe_", "'y' as doc", "'y' as bits")
+    kept = exact.drop_copies(docs)
+    assert kept.columns == docs.columns and kept.exceptAll(docs).isEmpty()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(
+        [(None, "only null"), (1, "twice"), (None, ""), (2, "x")], key=repr)
+
+
+def test_filters_grow_with_the_rows():
+    sizes = [exact.blocks_for(n) for n in (0, 1, 200_000, 10_000_000, 10 ** 12)]
+    assert sizes == [exact.FEWEST, exact.FEWEST, 98, 4883, exact.MOST]
