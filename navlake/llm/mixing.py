@@ -70,31 +70,37 @@ def copies_of(rate: Column, key: Column, seed: str = SEED) -> Column:
     return (whole + F.when(draw < rate - whole, 1).otherwise(0)).cast("long")
 
 
+def _planned(docs: DataFrame, seed: str) -> DataFrame:
+    """``doc`` (all columns of ``docs``), ``size, source_size, target, copies``."""
+    sized = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "source", word_count(F.col("text")).alias("size"))
+    targets = cut(source_targets(sized))
+    key = F.coalesce(F.col("doc.doc_id").cast("string"), F.md5(F.coalesce("doc.text", F.lit(""))))
+    return join_small(sized, targets, "source").select(
+        "doc", "size", "source_size", "target", copies_of(F.col("rate"), key, seed).alias("copies"))
+
+
 def with_copies(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """``docs`` with ``size, source_size, target, copies``.
 
     Nulls: a null text has size 0, a null source is a source of its own, and a row without
     doc_id draws by its text. Rows that repeat a doc_id share its draw. A source without words
     has target 0 and its documents are not taken. Input columns with one of the four names are
-    replaced; an empty table gives no rows.
+    replaced, all others kept whatever their names; an empty table gives no rows.
     """
-    plain = docs.drop("size", "source_size", "target", "copies")
-    sized = plain.withColumn("size", word_count(F.col("text")))
-    targets = cut(source_targets(sized).withColumnRenamed("rate", "_rate"))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
-    return (
-        join_small(sized, targets, "source")
-        .withColumn("copies", copies_of(F.col("_rate"), key, seed))
-        .drop("_rate")
-    )
+    names = ["size", "source_size", "target", "copies"]
+    own = [F.col("doc")[c].alias(c) for c in docs.columns if c not in names]
+    return _planned(docs, seed).select(*own, *names)
 
 
 def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """The mix: rows of ``docs`` with their own columns, each as often as it is taken."""
-    taken = with_copies(docs, seed).where("copies > 0")
+    """The mix: rows of ``docs`` with their own columns, each as often as it is taken.
+
+    Nulls, repeated rows and empty tables as in ``with_copies``.
+    """
     # At most CEILING copies of a row.
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return taken.withColumn("_copy", each).select(*docs.columns)
+    return _planned(docs, seed).where("copies > 0").select("doc", each.alias("copy")).select("doc.*")
 
 
 ORACLE = f"""

@@ -66,10 +66,15 @@ def shard_rows(rows: DataFrame, order: list[str], shards: int, seed: int = SEED)
     )
 
 
-def write_shards(sharded: DataFrame, path: str) -> None:
-    """One directory per shard, its rows in slot order over one or more files."""
+def write_shards(sharded: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+    """One directory per shard, its rows in slot order over files of up to ``rows_per_file`` slots.
+
+    Each file is a task's work, so a shard of any size is written by many. An empty table writes no
+    shard; null columns are written as they are.
+    """
+    piece = F.floor(F.col("slot") / rows_per_file)
     (
-        sharded.repartition("shard").sortWithinPartitions("shard", "slot")
+        sharded.repartition(F.col("shard"), piece).sortWithinPartitions("shard", "slot")
         .write.mode("overwrite").partitionBy("shard").parquet(path)
     )
 

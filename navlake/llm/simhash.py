@@ -172,15 +172,17 @@ def digest(groups: DataFrame) -> DataFrame:
         "fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
-def keep_one(docs: DataFrame, shingle: int = 5, distance: int = 2, segments: int = 5,
+def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, segments: int = 5,
              dense: int = DENSE) -> DataFrame:
     """``docs`` with one document of each group, that of the smallest doc_id, its columns as they are.
 
     A null doc_id comes last, then the hash of the text decides; of rows that repeat a document
-    one stays. Documents in no group pass without being grouped. An empty table gives no rows.
+    one stays. A null text counts as empty; documents without words are copies of each other.
+    Documents in no group pass without being grouped. An empty table gives no rows.
     """
-    printed = docs.withColumn("_print", fingerprints(F.col("text"), shingle))
-    counted = cut(printed.groupBy(F.col("_print").alias("fingerprint")).agg(F.count(F.lit(1)).alias("rows")))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    printed = whole.select("doc", fingerprints(F.col("doc.text"), shingle).alias("print"))
+    counted = cut(printed.groupBy(F.col("print").alias("fingerprint")).agg(F.count(F.lit(1)).alias("rows")))
     roots = components(links(counted.select("fingerprint"), distance, segments, dense), "a", "b")
     rooted = counted.join(roots, counted["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "rows", F.coalesce("root", "fingerprint").alias("root"), F.col("node").isNotNull().alias("linked"))
@@ -190,10 +192,9 @@ def keep_one(docs: DataFrame, shingle: int = 5, distance: int = 2, segments: int
     shared = cut(
         rooted.join(named.withColumn("is_root", F.lit(True)), "fingerprint", "left")
         .where("rows > 1 or linked or is_root")
-        .select(F.col("fingerprint").alias("_print"), F.xxhash64("fingerprint").alias("_spread"), F.col("root").alias("_root")))
-    joined = printed.withColumn("_spread", F.xxhash64("_print")).join(shared, ["_print", "_spread"], "left")
-    alone = joined.where("_root is null").select(*docs.columns)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"))
-    first = joined.where("_root is not null").groupBy("_root").agg(
-        F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias("_kept"))
-    return alone.unionByName(first.select("_kept.*"))
+        .select(F.col("fingerprint").alias("print"), F.xxhash64("fingerprint").alias("spread"), "root"))
+    joined = printed.withColumn("spread", F.xxhash64("print")).join(shared, ["print", "spread"], "left")
+    alone = joined.where("root is null").select("doc")
+    order = F.struct(F.col("doc.doc_id").isNull(), "doc.doc_id", F.xxhash64("doc.text"))
+    first = joined.where("root is not null").groupBy("root").agg(F.min_by("doc", order).alias("doc"))
+    return alone.unionByName(first.select("doc")).select("doc.*")
