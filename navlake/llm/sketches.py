@@ -4,7 +4,7 @@ A sketch is a table of cells; each paragraph digest is added to one cell in each
 sections, as a count and an exclusive-or sum. Cells of two versions subtract, which leaves
 what differs; a cell with one digest left gives it up, and peeling it from its other cells frees
 more. Digests are dealt into parts by hash, so a part is small however long the text is. A
-fingerprint has as many parts as its text's digests ask for, and a part that can't be peeled by
+fingerprint has as many parts as its text's digests ask for, and a part too dense to be peeled by
 itself is sketched larger: two fingerprints alone tell which digests differ.
 """
 
@@ -18,16 +18,17 @@ def _spread_class(low: int, high: int, step: int, width: int) -> str:
     return "".join(f"\\u{c:04x}-\\u{c + width - 1:04x}" for c in range(low, high, step))
 
 
-#: Where a text is cut into paragraphs: at line ends and behind sentences.
-PARAGRAPH = r"\n|(?<=[.!?]) |(?<=[\u3002\uff01\uff1f])"
+#: Signs that end a sentence where a space follows, and those that do so by themselves. A text is cut
+#: into paragraphs behind them and at line ends.
+SENTENCE_ENDS = (". ", "! ", "? ")
+FULL_STOPS = ("\u3002", "\uff01", "\uff1f")
 
 #: A paragraph of so many characters is cut further, at places that the character before them
-#: decides, so that an insertion moves no other cut: behind some words, and in scripts without
-#: spaces behind some signs.
+#: decides, so that an insertion moves no other cut: at some spaces, then, in scripts without
+#: spaces, behind some signs.
 LONG_PARAGRAPH = 400
-INSIDE = (
-    r"(?<=[bcdfgBCDFG05]) |(?<=[" + _spread_class(0x370, 0x2000, 64, 16) + r"]) |(?<=["
-    + _spread_class(0x3000, 0xD700, 256, 12) + "])")
+AT_SPACES = " (?<=[bcdfgBCDFG05" + _spread_class(0x370, 0x2000, 64, 16) + "] )"
+BEHIND_SIGNS = "(?<=[" + _spread_class(0x3000, 0xD700, 256, 12) + "])"
 
 SECTIONS = 3
 
@@ -38,27 +39,36 @@ CELLS = (8, 32, 256)
 PART_DIGESTS = 6
 
 #: Parts that are dealt out in one step; more are dealt in two.
-DEAL = 64
+DEAL = 16
 
-ROUNDS = 6
+ROUNDS = 4
 
 #: Low bits of a key that are a check sum of the others.
 CHECK_BITS = 16
 
 
 def _bound(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, however often it is referred to."""
-    return F.transform(F.array(value), use)[0]
+    """``use(value)`` with the value computed once, however often it is referred to.
+
+    ``element_at`` knows its type from the start; an index would work it out for every row.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def paragraphs(text: Column) -> Column:
-    def further(piece: Column) -> Column:
-        return F.when(F.length(piece) > LONG_PARAGRAPH, F.split(piece, INSIDE, -1)).otherwise(F.array(piece))
+    ended = text
+    for sign in SENTENCE_ENDS:
+        ended = F.replace(ended, F.lit(sign), F.lit(sign[0] + "\n"))
+    for sign in FULL_STOPS:
+        ended = F.replace(ended, F.lit(sign), F.lit(sign + "\n"))
 
-    pieces = F.split(text, PARAGRAPH, -1)
-    return F.when(
-        F.exists(pieces, lambda p: F.length(p) > LONG_PARAGRAPH), F.flatten(F.transform(pieces, further))
-    ).otherwise(pieces)
+    def further(pieces: Column, pattern: str) -> Column:
+        return F.when(F.exists(pieces, lambda p: F.length(p) > LONG_PARAGRAPH), F.flatten(F.transform(
+            pieces, lambda p: F.when(F.length(p) > LONG_PARAGRAPH, F.split(p, pattern, -1)).otherwise(F.array(p))
+        ))).otherwise(pieces)
+
+    return _bound(F.split(ended, "\n", -1), lambda pieces: _bound(
+        further(pieces, AT_SPACES), lambda some: further(some, BEHIND_SIGNS)))
 
 
 def _checked(bits: Column) -> Column:
@@ -88,38 +98,43 @@ def digests(text: Column) -> Column:
     return _bound(F.sort_array(F.transform(paragraphs(text), lambda p: F.xxhash64(p))), keys)
 
 
-def parts_of(keys: Column) -> Column:
-    """How many parts a set of digests is dealt into."""
-    return F.greatest(F.lit(1), F.ceil(F.size(keys) / PART_DIGESTS).cast("int"))
+def parts_of(*keys: Column) -> Column:
+    """How many parts sets of digests are dealt into."""
+    total = F.size(keys[0])
+    for more in keys[1:]:
+        total = total + F.size(more)
+    return F.greatest(F.lit(1), F.ceil(total / PART_DIGESTS).cast("int"))
 
 
 def _part_number(key: Column, parts: Column) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(-3)), parts).cast("int")
+    """The part by the key's upper bits."""
+    return F.shiftright(F.shiftrightunsigned(key, 33) * parts, 31).cast("int")
 
 
 def dealt(keys: Column, parts: Column) -> Column:
     """Array of the digests of each part; many parts by way of groups of neighbouring ones."""
 
     def direct(some: Column, low: Column, count: Column) -> Column:
-        return F.transform(
-            F.sequence(low, low + count - 1), lambda n: F.filter(some, lambda k: _part_number(k, parts) == n))
+        numbered = F.transform(some, lambda k: F.struct(k.alias("k"), _part_number(k, parts).alias("n")))
+        return _bound(numbered, lambda all_: F.transform(
+            F.sequence(low, low + count - 1), lambda n: F.filter(all_, lambda k: k["n"] == n)["k"]))
 
     def by_groups() -> Column:
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.floor((parts - 1) / DEAL).cast("int")), lambda g: _bound(
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.floor((parts - 1) / DEAL).cast("int")), lambda g: direct(
             F.filter(keys, lambda k: F.floor(_part_number(k, parts) / DEAL) == g),
-            lambda some: direct(some, g * DEAL, F.least(F.lit(DEAL), parts - g * DEAL)))))
+            g * DEAL, F.least(F.lit(DEAL), parts - g * DEAL))))
 
     return F.when(parts == 1, F.array(keys)).when(
         parts <= DEAL, direct(keys, F.lit(0), parts)).otherwise(by_groups())
 
 
 def _placed(keys: Column, level: int) -> Column:
-    """Each key with its cell in each section."""
+    """Each key with its cells, one in each section."""
 
     def place(key: Column) -> Column:
-        return _bound(F.xxhash64(key, F.lit(level)), lambda bits: F.struct(key.alias("key"), *[
-            F.shiftrightunsigned(bits, 16 * section).bitwiseAND(CELLS[level] - 1).cast("int").alias(f"at{section}")
-            for section in range(SECTIONS)]))
+        return _bound(F.xxhash64(key, F.lit(level)), lambda bits: F.struct(key.alias("key"), F.array(*[
+            F.shiftrightunsigned(bits, 16 * section).bitwiseAND(CELLS[level] - 1).cast("int") + CELLS[level] * section
+            for section in range(SECTIONS)]).alias("at")))
 
     return F.transform(keys, place)
 
@@ -132,14 +147,13 @@ def sketch(keys: Column, level: int = 0) -> Column:
     """Array of cells ``n, key``, section by section."""
     empty = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"))
 
-    def filled(placed: Column, section: int) -> Column:
+    def filled(placed: Column) -> Column:
         return F.transform(
-            F.sequence(F.lit(0), F.lit(CELLS[level] - 1)), lambda c: F.aggregate(
-                F.filter(placed, lambda k: k[f"at{section}"] == c), empty,
+            F.sequence(F.lit(0), F.lit(SECTIONS * CELLS[level] - 1)), lambda c: F.aggregate(
+                F.filter(placed, lambda k: F.array_contains(k["at"], c)), empty,
                 lambda cell, k: _change(cell, k["key"], F.lit(1))))
 
-    return _bound(_placed(keys, level), lambda placed: F.concat(
-        *[filled(placed, section) for section in range(SECTIONS)]))
+    return _bound(_placed(keys, level), filled)
 
 
 def subtract(left: Column, right: Column) -> Column:
@@ -149,27 +163,20 @@ def subtract(left: Column, right: Column) -> Column:
 
 def peel(difference: Column, level: int = 0) -> Column:
     """Array of ``key, n`` (1 only left, -1 only right) that differ; null if peeling gets stuck."""
-    cells = CELLS[level]
-
     def turn(state: Column, _: Column) -> Column:
         single = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & _is_key(c["key"]))
-        freed = F.array_distinct(F.transform(single, lambda c: F.struct(c["key"].alias("key"), c["n"].alias("n"))))
-        return _bound(freed, lambda found: F.when(F.size(found) > 0, taken(state, found)).otherwise(state))
+        return _bound(F.array_distinct(single), lambda found: F.when(
+            F.size(found) > 0, taken(state, found)).otherwise(state))
 
     def taken(state: Column, found: Column) -> Column:
         placed = F.zip_with(_placed(found["key"], level), found["n"], lambda p, n: F.struct(
-            p["key"].alias("key"), *[p[f"at{s}"].alias(f"at{s}") for s in range(SECTIONS)], (-n).alias("by")))
-
-        def less(freed: Column, section: int) -> Column:
-            return F.transform(
-                F.slice(state["cells"], section * cells + 1, cells), lambda cell, at: F.aggregate(
-                    F.filter(freed, lambda k: k[f"at{section}"] == at), cell,
-                    lambda c, k: _change(c, k["key"], k["by"])))
+            p["key"].alias("key"), p["at"].alias("at"), (-n).alias("by")))
+        left = _bound(placed, lambda freed: F.transform(state["cells"], lambda cell, at: F.aggregate(
+            F.filter(freed, lambda k: F.array_contains(k["at"], at)), cell,
+            lambda c, k: _change(c, k["key"], k["by"]))))
+        return F.struct(left.alias("cells"), F.flatten(F.array(state["found"], found)).alias("found"))
 
-        left = _bound(placed, lambda freed: F.concat(*[less(freed, s) for s in range(SECTIONS)]))
-        return F.struct(left.alias("cells"), F.concat(state["found"], found).alias("found"))
-
-    start = F.struct(difference.alias("cells"), F.array().cast("array<struct<key:bigint,n:int>>").alias("found"))
+    start = F.struct(difference.alias("cells"), F.array().cast("array<struct<n:int,key:bigint>>").alias("found"))
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(ROUNDS * (level + 1))), start, turn,
         lambda s: F.when(~F.exists(s["cells"], lambda c: (c["n"] != 0) | (c["key"] != 0)), s["found"]))
@@ -187,10 +194,9 @@ def _differing(left: Column, right: Column, level: int = 0) -> Column:
 def likeness(left: Column, right: Column) -> Column:
     """1 less the share of digests that differ, among those of both texts.
 
-    Both are dealt into as many parts as the one with more digests, so that it is the same for
-    whoever takes the digests back out of two fingerprints.
+    Both are dealt into as many parts as the digests of the two together ask for.
     """
-    parts = F.greatest(parts_of(left), parts_of(right))
+    parts = parts_of(left, right)
 
     def of(count: Column) -> Column:
         each = F.arrays_zip(dealt(left, count).alias("l"), dealt(right, count).alias("r"))
@@ -208,13 +214,14 @@ def _cell_bytes(cells: Column) -> Column:
 
 
 def _part_text(keys: Column, level: int = 0) -> Column:
-    """A part's sketch, of the first level that gives its digests back."""
-    def written(cells: Column) -> Column:
-        if level == len(CELLS) - 1:
-            return _cell_bytes(cells)
-        return F.when(peel(cells, level).isNotNull(), _cell_bytes(cells)).otherwise(_part_text(keys, level + 1))
+    """A part's sketch, of the first level at which it is sparse and no two digests share all their cells.
 
-    return _bound(sketch(keys, level), written)
+    Such a sketch gives its digests back, but for rare circles of more than two.
+    """
+    if level == len(CELLS) - 1:
+        return _cell_bytes(sketch(keys, level))
+    fits = (F.size(keys) <= 2 * CELLS[level]) & (F.size(F.array_distinct(_placed(keys, level)["at"])) == F.size(keys))
+    return F.when(fits, _cell_bytes(sketch(keys, level))).otherwise(_part_text(keys, level + 1))
 
 
 def fingerprint(keys: Column) -> Column:
