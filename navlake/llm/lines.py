@@ -55,10 +55,15 @@ def blocks(early: list[int], late: list[int]) -> list[list[int]]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """``id, doc, text``: the place of a document in order, and all its columns."""
+    """``id, doc``: the place of a document in order, and all its columns."""
     return docs.select(
         F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("id"),
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+
+
+def _text() -> Column:
+    """The text of a row of ``_keyed``, taken where it is needed, so that a row holds it once."""
+    return F.coalesce(F.col("doc.text"), F.lit(""))
 
 
 def document_pairs(keyed: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
@@ -68,7 +73,7 @@ def document_pairs(keyed: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     documents hold a run, each meets the first one only, by a join that Spark can split. Eight
     bytes a run travel, no text does.
     """
-    listed = cut(keyed.select("id", listed_runs(F.col("text"), least).alias("runs")))
+    listed = cut(keyed.select("id", listed_runs(_text(), least).alias("runs")))
     held = listed.select("id", F.posexplode("runs").alias("at", "key"))
     shared = cut(
         held.groupBy("key").agg(
@@ -111,9 +116,8 @@ def dedup_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     are replaced, all others kept whatever their names.
     """
     keyed = _keyed(docs)
-    found = cut(repeated_blocks(keyed, least))
-    joined = keyed.join(found, "id", "left").select(
-        "doc", less(F.col("text"), F.col("keys"), least).alias("less"))
+    joined = keyed.join(repeated_blocks(keyed, least), "id", "left").select(
+        "doc", less(_text(), F.col("keys"), least).alias("less"))
     own = [c for c in docs.columns if c not in ("n_lines", "removed_lines")]
     lines = F.split(F.col("doc.text"), "\n", -1)
     return joined.select(

@@ -24,7 +24,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.digest(lines.dedup_lines(documents(spark, sf_dir)))
+    return lines.digest(lines.dedup_lines(documents(spark, sf_dir).select("doc_id", "text")))
 
 
 def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
