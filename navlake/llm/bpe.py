@@ -67,11 +67,12 @@ def encode_pieces(text: Column, ranks: Ranks, decoded: bool = False) -> Column:
     def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         coder = encoding(ranks)
         for batch in batches:
-            found = [coder.encode_to_numpy(t or "", disallowed_special=()) for t in batch]
-            yield pd.DataFrame({
-                "ids": pd.Series([ids.astype("<u4").tobytes() for ids in found], dtype=object),
-                "decoded": pd.Series([coder.decode_bytes(ids.tolist()) if decoded else None for ids in found], dtype=object),
-            })
+            packed, back = [], []
+            for t in batch:
+                ids = coder.encode_to_numpy(t or "", disallowed_special=())
+                packed.append(ids.astype("<u4").tobytes())
+                back.append(coder.decode_bytes(ids.tolist()) if decoded else None)
+            yield pd.DataFrame({"ids": pd.Series(packed, dtype=object), "decoded": pd.Series(back, dtype=object)})
 
     return of_batches(text)
 

@@ -17,7 +17,7 @@ SMALL_ROWS = 100_000
 
 #: Bytes of a batch that a Python worker gets at once. Results, and what a worker holds while
 #: it makes them, are several times that; idle workers keep what they have had.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "2m"
 
 
 def let_workers_import(spark: SparkSession) -> None:
