@@ -16,7 +16,7 @@ from navlake.operators.dedupe import dedupe_nav
 from navlake.operators.labels import filter_universe
 from navlake.schema import FEED_ORDER, KEY, NAV_COLUMNS
 from navlake.sources.layers import (
-    LOG_SCHEMA, bucketed_table, find_history, layers, loads_of, log_of, read_log)
+    LOG_SCHEMA, bucketed_table, find_history, layers, live_entries, loads_of, log_of, read_log)
 from navlake.sources.tables import as_nav_history, find_table, read_raw_nav
 
 # Fixed value: years of raw files kept by default.
@@ -158,7 +158,7 @@ def backfill_funds(
 
 def stored_span(spark: SparkSession, path: str) -> DataFrame:
     """``date_from, latest``: first and last date of a stored history, from its log alone."""
-    return read_log(spark, path).agg(
+    return live_entries(read_log(spark, path)).agg(
         F.min("first_date").alias("date_from"), F.max("last_date").alias("latest"))
 
 

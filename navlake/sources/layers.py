@@ -40,17 +40,21 @@ def find_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log's entries that count, one per year of the base and per load and year after it."""
+    """All entries of the log; none where there is no log."""
     try:
-        log = spark.read.schema(LOG_SCHEMA).parquet(log_of(path))
+        return spark.read.schema(LOG_SCHEMA).parquet(log_of(path))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], LOG_SCHEMA)
+
+
+def live_entries(log: DataFrame) -> DataFrame:
+    """The entries that count: one per year of the base, and one per load and year after it."""
     base = log.where("is_base").groupBy("year").agg(F.max("load").alias("base"))
     entries = log.join(F.broadcast(base), "year", "left")  # a row per calendar year
     live = (F.col("load") > F.coalesce("base", F.lit(-1))) | (F.col("is_base") & (F.col("load") == F.col("base")))
-    return entries.where(live).select(*log.columns).distinct()
+    return entries.where(live).select(*log.columns)
 
 
 @dataclass(frozen=True)
@@ -67,12 +71,17 @@ class Layers:
 
 
 def layers(spark: SparkSession, path: str) -> Layers:
-    """As many entries reach the driver as there are years, and loads since they were compacted."""
-    rows = read_log(spark, path).collect()
-    buckets = {r["buckets"] for r in rows if r["is_base"]}
+    """What counts, by the log's entries: they are fewer than the files that Spark lists for the table."""
+    rows = read_log(spark, path).select("load", "year", "is_base", "buckets").distinct().collect()
+    base: dict[int, tuple[int, int | None]] = {}
+    for r in rows:
+        if r["is_base"]:
+            base[r["year"]] = max(base.get(r["year"], (-1, None)), (r["load"], r["buckets"]))
+    buckets = {n for _, n in base.values()}
     return Layers(
         buckets.pop() if len(buckets) == 1 else None,
-        tuple(sorted((r["year"], r["load"]) for r in rows if not r["is_base"])),
+        tuple(sorted((r["year"], r["load"]) for r in rows
+                     if not r["is_base"] and r["load"] > base.get(r["year"], (-1, None))[0])),
         max((r["load"] for r in rows), default=0),
     )
 
