@@ -72,6 +72,26 @@ def possibly_repeated(digests: DataFrame, blocks: int | None = None) -> DataFram
     )
 
 
+def possibly_among(rows: DataFrame, members: DataFrame, column: str) -> DataFrame:
+    """``rows`` with ``maybe``: false only where no row of ``members`` has the value of ``column``.
+
+    The filter is as large as the counted members ask.
+    """
+    blocks = blocks_for(members.count())
+    placed = members.select(
+        _block(F.col(column), blocks).alias("block"), F.explode(F.array(*_bits(F.col(column)))).alias("bit"))
+    filled = placed.groupBy("block").agg(F.bitmap_construct_agg(F.col("bit").cast("long")).alias("bits"))
+    hit = F.lit(True)
+    for bit in _bits(F.col(column)):
+        hit = hit & _is_set(F.col("bits"), bit)
+    return (
+        rows.withColumn("block", _block(F.col(column), blocks))
+        .join(F.broadcast(filled), "block", "left")  # at most MOST rows of 4 KiB
+        .withColumn("maybe", F.coalesce(hit, F.lit(False)))
+        .drop("block", "bits")
+    )
+
+
 def exact_groups(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
 

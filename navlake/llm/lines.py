@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from navlake.llm.common import cut
+from navlake.llm.exact import possibly_among
 from navlake.llm.passages import less, listed_runs
 
 #: Words a block must have to be deleted, and a run to bring two documents together.
@@ -116,8 +117,13 @@ def dedup_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     are replaced, all others kept whatever their names.
     """
     keyed = _keyed(docs)
-    joined = keyed.join(repeated_blocks(keyed, least), "id", "left").select(
+    found = cut(repeated_blocks(keyed, least))
+    # Texts move only to meet what is to go from them: a Bloom filter lets most others pass.
+    marked = possibly_among(keyed, found.select("id"), "id")
+    moved = marked.where("maybe").join(found, "id", "left").select(
         "doc", less(_text(), F.col("keys"), least).alias("less"))
+    passed = marked.where(~F.col("maybe")).select("doc", F.lit(None).cast(moved.schema["less"].dataType).alias("less"))
+    joined = moved.unionByName(passed)
     own = [c for c in docs.columns if c not in ("n_lines", "removed_lines")]
     lines = F.split(F.col("doc.text"), "\n", -1)
     return joined.select(

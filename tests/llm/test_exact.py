@@ -75,3 +75,11 @@ def test_one_row_of_each_text_is_kept_with_its_columns(docs_of):
 def test_filters_grow_with_the_rows():
     sizes = [exact.blocks_for(n) for n in (0, 1, 200_000, 10_000_000, 10 ** 12)]
     assert sizes == [exact.FEWEST, exact.FEWEST, 98, 4883, exact.MOST]
+
+
+def test_members_of_a_set_are_never_missed(spark):
+    rows = spark.range(2000).selectExpr("id", "'x' as text")
+    marked = exact.possibly_among(rows, spark.range(0, 2000, 50).toDF("id"), "id").where("maybe")
+    ids = {r["id"] for r in marked.collect()}
+    assert set(range(0, 2000, 50)) <= ids and len(ids) < 60
+    assert exact.possibly_among(rows, spark.range(0).toDF("id"), "id").where("maybe").isEmpty()
