@@ -33,10 +33,10 @@ BEHIND_SIGNS = "(?<=[" + _spread_class(0x3000, 0xD700, 256, 12) + "])"
 SECTIONS = 3
 
 #: Cells per section of a part, by level: each level is a larger sketch for parts that the one before fails for.
-CELLS = (8, 32, 256)
+CELLS = (16, 64, 512)
 
 #: Digests a part should hold.
-PART_DIGESTS = 6
+PART_DIGESTS = 10
 
 #: Parts that are dealt out in one step; more are dealt in two.
 DEAL = 16
@@ -209,8 +209,9 @@ def likeness(left: Column, right: Column) -> Column:
 
 def _cell_bytes(cells: Column) -> Column:
     """The cells as text: nine bytes each, a count and a key, in base 64."""
-    return F.base64(F.unhex(F.array_join(F.transform(cells, lambda c: F.concat(
+    lines = F.base64(F.unhex(F.array_join(F.transform(cells, lambda c: F.concat(
         F.lpad(F.hex(c["n"].cast("long")), 2, "0"), F.lpad(F.hex(c["key"]), 16, "0"))), "")))
+    return F.translate(lines, "\r\n", "")
 
 
 def _part_text(keys: Column, level: int = 0) -> Column:
