@@ -19,7 +19,8 @@ HEADLINE = [
     "coverage_report", "freshness_report", "chunk_coverage", "duplicate_stats",
     "upsert_scheme_master", "resolve_company",
     "parse_daily_feed", "parse_labelled_feed", "merge_nav_history", "daily_update",
-    "returns_from_lake", "ingest_stream_daily", "rebuild_nav_history", "read_raw_nav",
+    "returns_from_lake", "returns_over_loads", "compact_nav_history",
+    "ingest_stream_daily", "rebuild_nav_history", "read_raw_nav",
 ]
 
 
