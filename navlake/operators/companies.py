@@ -32,7 +32,7 @@ def resolve_company(
     open_keys = found.where("exact_code is null").select("key").distinct()
     # Counted before they are joined: a short prefix that every name has is one row per task.
     prefixes = (
-        _prefixes(listed).groupBy("key")
+        _prefixes(listed, open_keys).groupBy("key")
         .agg(F.count(F.lit(1)).alias("candidates"), F.min("code").alias("prefix_code"))
         .join(open_keys, "key", "left_semi")
     )
@@ -67,7 +67,7 @@ def company_candidates(
     listed = catalogue.select(
         F.col("name").alias("company"), "code", F.lower("name").alias("lower_name")
     )
-    return _prefixes(listed, "company").join(ambiguous, "key", "left_semi").select(
+    return _prefixes(listed, ambiguous, "company").join(ambiguous, "key", "left_semi").select(
         "key", "company", "code"
     )
 
@@ -96,8 +96,12 @@ def _keyed(names: DataFrame, aliases: DataFrame | None) -> DataFrame:
     return keyed.select("name", F.lower("key").alias("key"))
 
 
-def _prefixes(listed: DataFrame, *columns: str) -> DataFrame:
-    length = F.length("lower_name")
-    cuts = F.transform(F.sequence(F.lit(0), length), lambda n: F.substring(
-        F.col("lower_name"), F.lit(1), n))
-    return listed.select("code", *columns, F.explode(cuts).alias("key"))
+def _prefixes(listed: DataFrame, asked: DataFrame, *columns: str) -> DataFrame:
+    """Prefixes of the catalogue's names in the lengths that the ``asked`` keys have; others meet no key.
+
+    The names are dealt out first, as a catalogue is often a single split.
+    """
+    lengths = asked.select(F.length("key").alias("cut")).distinct()  # at most those of the longest key
+    dealt = listed.repartition(int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions")), "code")
+    return dealt.join(F.broadcast(lengths), F.col("cut") <= F.length("lower_name")).select(
+        "code", *columns, F.substring("lower_name", F.lit(1), F.col("cut")).alias("key"))

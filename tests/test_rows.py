@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from navlake.operators import asof, companies, dedupe, labels, quality, summary
 from navlake.sources import universe
@@ -249,3 +250,16 @@ def test_company_candidates_and_unresolved(spark, master_of):
     master = master_of(("1", "Harbor", "C", "x"), ("2", "Nobody", "C", "x"), ("3", None, "C", "x"))
     assert [(r["fund_house"], r["error"]) for r in
             companies.unresolved_companies(master, catalogue).collect()] == [("Nobody", "unknown")]
+
+
+def test_only_prefixes_of_asked_lengths_are_made(spark, conf):
+    """A catalogue of one split is dealt out, and its names are cut to the lengths that keys have."""
+    catalogue = spark.createDataFrame([(f"Fund {i:04d}", i) for i in range(60)], "name string, code long").coalesce(1)
+    asked = spark.createDataFrame([("fund 00",), ("zzz",), ("fund 003",)], "key string")
+    made = companies._prefixes(catalogue.withColumn("lower_name", F.lower("name")), asked)
+    assert {len(r["key"]) for r in made.collect()} == {3, 7, 8}
+    assert made.count() == 180
+    assert "Exchange hashpartitioning" in made._jdf.queryExecution().executedPlan().toString()
+    names = spark.createDataFrame([("Fund 003",), ("fund 0031",), ("",), ("Fund 00310",)], "name string")
+    found = {r["name"]: (r["candidates"], r["error"]) for r in companies.resolve_company(names, catalogue).collect()}
+    assert found == {"Fund 003": (10, "ambiguous"), "fund 0031": (1, None), "": (60, "ambiguous"), "Fund 00310": (0, "unknown")}
