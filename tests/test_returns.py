@@ -234,3 +234,11 @@ def test_unknown_convention(market):
     _, nav, master = market
     with pytest.raises(ValueError):
         returns.fund_returns(nav, master, "1Y", "other")
+
+
+def test_since_inception_needs_no_anchor(spark, nav_of, master_of):
+    nav, master = nav_of(("a", "2023-01-01", 10), ("a", "2024-01-01", 20)), master_of(("a", "H", "C", "A"))
+    rows = returns.fund_returns(nav, master, "SI")
+    assert [r["return_pct"] for r in rows.collect()] == [100.0]
+    assert "anchor" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "anchor" in returns.fund_returns(nav, master, ["SI", "1Y"])._jdf.queryExecution().optimizedPlan().toString()
