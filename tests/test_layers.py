@@ -291,3 +291,37 @@ def test_stream_scans_each_batch_once(spark, tmp_path):
     assert len(stored(spark, home.history)) == 5
     days = tables.read_raw_nav(spark, home.raw).select("ingest_date").distinct().count()
     assert days == 3
+
+
+def test_rows_of_one_feed_file_do_not_meet_in_one_task(spark, conf):
+    """The ranks of the splits go to every task, and in the feed order the number is a long."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = spark.range(1000).selectExpr(
+        "cast(id % 90 as string) as scheme_code", "date'2024-01-01' as nav_date", "cast(id as double) as nav",
+        "timestamp_seconds(if(id < 0, 0, 9)) as feed_time", "if(id < 0, 'none', 'one') as feed_file", "id % 3 as feed_block", "id as feed_row")
+    for order in (FEED_ORDER, FEED_ORDER[:2]):
+        numbered = dedupe.with_ingest_number(rows, order)
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert dict(dedupe.with_ingest_number(rows, FEED_ORDER).dtypes)["ingest"] == "bigint"
+    best = {r["scheme_code"]: r["nav"] for r in dedupe.dedupe_nav(rows, FEED_ORDER, order_is_unique=True).collect()}
+    order = {str(k): max((i % 3, i) for i in range(k, 1000, 90))[1] for k in range(90)}
+    assert best == {k: float(v) for k, v in order.items()}
+
+
+def test_a_rebuild_takes_more_tasks_for_more_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(history, "TASK_ROWS", 50)
+    monkeypatch.setattr(history, "BUCKET_ROWS", 100)
+    tasks, write = [], history.write_nav_history
+    monkeypatch.setattr(history, "write_nav_history", lambda *a: (
+        tasks.append(spark.conf.get("spark.sql.shuffle.partitions")), write(*a)))
+    rows = spark.range(1500).selectExpr(
+        "cast(id % 300 as string) as scheme_code", "date_add(date'2024-01-01', cast(id / 300 as int)) as nav_date",
+        "cast(id as double) as nav")
+    raw, path = str(tmp_path / "raw"), str(tmp_path / "history")
+    history.write_raw(rows, raw, "daily", "2024-02-01")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    history.rebuild_nav_history(spark, raw, path)
+    assert tasks == ["30"] and layers.layers(spark, path).buckets == 15
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert tables.read_nav_history(spark, path).count() == 1500
