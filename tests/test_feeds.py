@@ -1,7 +1,10 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from navlake.functions import text
+from navlake.operators.carry import carry_forward
 from navlake.sources import feeds
 
 
@@ -199,3 +202,46 @@ def test_history_titles_cross_splits(spark, landed, conf):
     parsed = feeds.parse_history_feed(feed)
     assert parsed.count() == 1800
     assert parsed.where("cast(scheme_code as double) <> nav").count() == 0
+
+
+def test_dates_of_every_month_and_none_of_a_part(spark):
+    texts = [f"{d}-{m}-2024" for d in ("1", "09", "29") for m in "Jan FEB mar Apr May jun Jul Aug Sep Oct Nov Dec".split()]
+    odd = ["31-Feb-2024", "29-Feb-2023", "00-Jan-2024", "32-Jan-2024", "1-Anf-2024", "1-abc-2024", "1-Feb-0000",
+           "1-Feb-24", "Feb-2024", "1--2024", "001-Feb-2024", "", None, "1-Feb-0001", "31-Dec-9999"]
+    rows = spark.createDataFrame([(t,) for t in texts + odd], "t string").select(
+        "t", text.feed_date(F.col("t")).alias("day"),
+        F.when(F.col("t").rlike(text._DATE), F.try_to_date("t", "d-MMM-yyyy")).alias("by_pattern"))
+    found = rows.collect()
+    assert all(r["day"] == r["by_pattern"] for r in found)
+    assert sum(r["day"] is not None for r in found) == len(texts) + 2
+    plan = rows.select("day")._jdf.queryExecution().optimizedPlan().toString()
+    assert "gettimestamp" not in plan.lower()
+
+
+def test_lines_pass_or_are_stripped(spark):
+    texts = ["a", "", " ", " a", "a\t", "a b", "　a", "a ", "éaé", "a\n", "a\x85b", "a\x85", "a;\x1c", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert all(r[0] == r[1] for r in rows.select(text.strip_line(F.col("t")), text.strip(F.col("t"))).collect())
+    split = rows.select(text.split_lines(F.col("t")), F.split("t", text.OTHER_LINE_ENDS), "t").collect()
+    assert all(r[0] == r[1] for r in split if r[2] is not None)
+
+
+def test_lines_are_written_as_parquet_and_blocks_by_number(spark, tmp_path):
+    """A file of two splits; what the first names is carried into the second, not into the next file."""
+    parts = [("f", 0, 0, None), ("f", 0, 1, "x"), ("f", 0, 2, None), ("f", 9, 5, None), ("f", 9, 6, "y"), ("f", 9, 7, None),
+             ("g", 0, 0, None), ("g", 3, 1, None)]
+    lines = spark.createDataFrame(parts, "feed_file string, feed_block long, feed_row long, v string")
+    carried = carry_forward(lines, ["v"])
+    got = {tuple(r[:3]): r[3] for r in carried.select("feed_file", "feed_block", "feed_row", "v").collect()}
+    assert [got[p[:3]] for p in parts] == [None, "x", "x", "x", "y", "y", None, None]
+    plan = carried._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" in plan and "LogicalRDD" not in plan
+    assert "windowspecdefinition(block_number" in plan
+
+
+def test_history_values_are_parsed_once(spark, tmp_path):
+    (tmp_path / "feed.txt").write_text("Scheme Code;n;p;o;Date;Net Asset Value;i;i\n7;n;p;o;01-Feb-2024;5;i;i\n8;n;p;o;x;5;i;i\n")
+    rows = feeds.parse_history_feed(feeds.read_feed(spark, str(tmp_path)))
+    assert [(r["scheme_code"], r["nav"]) for r in rows.collect()] == [("7", 5.0)]
+    conditions = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in line]
+    assert not any("cast" in line.lower() and "rlike" in line.lower() for line in conditions)
