@@ -27,7 +27,9 @@ FULL_STOPS = ("\u3002", "\uff01", "\uff1f")
 #: decides, so that an insertion moves no other cut: at some spaces, then, in scripts without
 #: spaces, behind some signs.
 LONG_PARAGRAPH = 400
-AT_SPACES = " (?<=[bcdfgBCDFG05" + _spread_class(0x370, 0x2000, 64, 16) + "] )"
+#: A sign of one byte is not held against the many ranges of the others.
+AT_SPACES = (
+    r" (?:(?<=[bcdfgBCDFG05] )|(?<=[^\u0000-\u007f] )(?<=[" + _spread_class(0x370, 0x2000, 64, 16) + "] ))")
 BEHIND_SIGNS = "(?<=[" + _spread_class(0x3000, 0xD700, 256, 12) + "])"
 
 SECTIONS = 3
@@ -50,17 +52,20 @@ CHECK_BITS = 16
 def _bound(value: Column, use) -> Column:
     """``use(value)`` with the value computed once, however often it is referred to.
 
-    ``element_at`` knows its type from the start; an index would work it out for every row.
+    That is the start and the end of an aggregate of nothing: unlike a transform, it makes no copy of an array.
     """
-    return F.element_at(F.transform(F.array(value), use), 1)
+    return F.aggregate(F.array().cast("array<int>"), value, lambda same, _: same, use)
 
 
 def paragraphs(text: Column) -> Column:
     ended = text
     for sign in SENTENCE_ENDS:
         ended = F.replace(ended, F.lit(sign), F.lit(sign[0] + "\n"))
+    plain = ended
     for sign in FULL_STOPS:
         ended = F.replace(ended, F.lit(sign), F.lit(sign + "\n"))
+    # Characters of one byte each hold no such stop.
+    ended = F.when(F.octet_length(text) == F.length(text), plain).otherwise(ended)
 
     def further(pieces: Column, pattern: str) -> Column:
         return F.when(F.exists(pieces, lambda p: F.length(p) > LONG_PARAGRAPH), F.flatten(F.transform(
@@ -86,9 +91,9 @@ def digests(text: Column) -> Column:
 
     def occurrence(all_: Column, h: Column, i: Column) -> Column:
         # Equal hashes stand together: the distance to the first of them, by halving steps.
-        return F.aggregate(
+        return F.when(F.get(all_, i - 1) == h, F.aggregate(
             F.array(*[F.lit(1 << j) for j in range(30, -1, -1)]), F.lit(0),
-            lambda t, step: F.when((i - t - step >= 0) & (F.get(all_, i - t - step) == h), t + step).otherwise(t))
+            lambda t, step: F.when((i - t - step >= 0) & (F.get(all_, i - t - step) == h), t + step).otherwise(t))).otherwise(0)
 
     def keys(all_: Column) -> Column:
         return F.when(
@@ -128,58 +133,113 @@ def dealt(keys: Column, parts: Column) -> Column:
         parts <= DEAL, direct(keys, F.lit(0), parts)).otherwise(by_groups())
 
 
+def _place(key: Column, level: int) -> Column:
+    """The key's cells in all sections, sixteen bits for each."""
+    mask = sum(CELLS[level] - 1 << 16 * section for section in range(SECTIONS))
+    return F.xxhash64(key, F.lit(level)).bitwiseAND(F.lit(mask).cast("long"))
+
+
 def _placed(keys: Column, level: int) -> Column:
-    """Each key with its cells, one in each section."""
+    """Each key with its cells ``s0, s1, s2``, one in each section."""
+    return F.transform(
+        F.transform(keys, lambda k: F.struct(k.alias("key"), _place(k, level).alias("place"))),
+        lambda k: F.struct(k["key"].alias("key"), *[
+            F.shiftrightunsigned(k["place"], 16 * section).bitwiseAND(CELLS[level] - 1).cast("int").alias(f"s{section}")
+            for section in range(SECTIONS)]))
+
+
+def _sum(keys: Column) -> Column:
+    return F.aggregate(keys, F.lit(0).cast("long"), lambda total, k: total.bitwiseXOR(k["key"]))
 
-    def place(key: Column) -> Column:
-        return _bound(F.xxhash64(key, F.lit(level)), lambda bits: F.struct(key.alias("key"), F.array(*[
-            F.shiftrightunsigned(bits, 16 * section).bitwiseAND(CELLS[level] - 1).cast("int") + CELLS[level] * section
-            for section in range(SECTIONS)]).alias("at")))
 
-    return F.transform(keys, place)
+def _cell(n: Column, key: Column) -> Column:
+    return F.struct(n.alias("n"), key.alias("key"))
 
 
-def _change(cell: Column, key: Column, by: Column) -> Column:
-    return F.struct((cell["n"] + by).alias("n"), cell["key"].bitwiseXOR(key).alias("key"))
+def _empty() -> Column:
+    return _cell(F.lit(0), F.lit(0).cast("long"))
 
 
 def sketch(keys: Column, level: int = 0) -> Column:
-    """Array of cells ``n, key``, section by section."""
-    empty = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"))
+    """Array of cells ``n, key``, section by section.
 
-    def filled(placed: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(SECTIONS * CELLS[level] - 1)), lambda c: F.aggregate(
-                F.filter(placed, lambda k: F.array_contains(k["at"], c)), empty,
-                lambda cell, k: _change(cell, k["key"], F.lit(1))))
+    Bits of the positions taken in a section, modulo 64, spare most of its empty cells a look at the keys.
+    """
+
+    def filled(placed: Column, section: int) -> Column:
+        at = f"s{section}"
+        taken = F.aggregate(placed, F.lit(0).cast("long"), lambda bits, k: bits.bitwiseOR(
+            F.call_function("shiftleft", F.lit(1).cast("long"), k[at])))
+        return _bound(taken, lambda bits: F.transform(
+            F.transform(F.sequence(F.lit(0), F.lit(CELLS[level] - 1)), lambda c: F.call_function(
+                "shiftleft", F.lit(1).cast("long"), c)), lambda bit, c: F.when(bits.bitwiseAND(bit) == 0, _empty()
+            ).otherwise(_bound(F.filter(placed, lambda k: k[at] == c), lambda some: _cell(F.size(some), _sum(some))))))
 
-    return _bound(_placed(keys, level), filled)
+    return _bound(_placed(keys, level), lambda placed: F.concat(*[
+        filled(placed, section) for section in range(SECTIONS)]))
 
 
 def subtract(left: Column, right: Column) -> Column:
-    return F.zip_with(left, right, lambda a, b: F.struct(
-        (a["n"] - b["n"]).alias("n"), a["key"].bitwiseXOR(b["key"]).alias("key")))
+    """The cells of sketches subtracted; one with no digest in either stays empty."""
+    return F.zip_with(left, right, lambda a, b: F.when((a["n"] == 0) & (b["n"] == 0), _empty()).otherwise(
+        _cell(a["n"] - b["n"], a["key"].bitwiseXOR(b["key"]))))
 
 
 def peel(difference: Column, level: int = 0) -> Column:
-    """Array of ``key, n`` (1 only left, -1 only right) that differ; null if peeling gets stuck."""
+    """Array of ``key, n`` (1 only left, -1 only right) that differ; null if peeling gets stuck.
+
+    Only cells that hold something are gone through. In a turn, the cells left with a single key give it
+    up, and these keys are taken out of the others. Each must be ``met`` in all its sections, else the sum
+    of several keys was taken for one, and the sketch is stuck.
+    """
+
+    def cell(n: Column, key: Column, of: Column, met: Column) -> Column:
+        return F.struct(
+            n.alias("n"), key.alias("key"), of["section"].alias("section"), of["at"].alias("at"), met.alias("met"))
+
+    def holding(cells: Column) -> Column:
+        return F.filter(cells, lambda c: (c["n"] != 0) | (c["key"] != 0))
+
+    def belongs(place: Column, to: Column) -> Column:
+        own = F.call_function("shiftrightunsigned", place, to["section"] * 16)
+        return own.bitwiseAND(CELLS[level] - 1) == to["at"]
+
+    def single(c: Column) -> Column:
+        return (F.abs(c["n"]) == 1) & _is_key(c["key"]) & belongs(_place(c["key"], level), c)
+
     def turn(state: Column, _: Column) -> Column:
-        single = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & _is_key(c["key"]))
-        return _bound(F.array_distinct(single), lambda found: F.when(
-            F.size(found) > 0, taken(state, found)).otherwise(state))
-
-    def taken(state: Column, found: Column) -> Column:
-        placed = F.zip_with(_placed(found["key"], level), found["n"], lambda p, n: F.struct(
-            p["key"].alias("key"), p["at"].alias("at"), (-n).alias("by")))
-        left = _bound(placed, lambda freed: F.transform(state["cells"], lambda cell, at: F.aggregate(
-            F.filter(freed, lambda k: F.array_contains(k["at"], at)), cell,
-            lambda c, k: _change(c, k["key"], k["by"]))))
-        return F.struct(left.alias("cells"), F.flatten(F.array(state["found"], found)).alias("found"))
-
-    start = F.struct(difference.alias("cells"), F.array().cast("array<struct<n:int,key:bigint>>").alias("found"))
+        return F.when(F.size(state["cells"]) == 0, state).otherwise(taking(state))
+
+    def taking(state: Column) -> Column:
+        return _bound(F.filter(state["cells"], single), lambda alone: _bound(
+            F.concat(found(alone, 1), found(alone, -1)), lambda keys: _bound(
+                taken(state["cells"], keys), lambda left: F.struct(
+                    holding(left).alias("cells"), F.concat(state["found"], keys).alias("found"),
+                    (state["right"] & (F.aggregate(left, F.size(alone), lambda met, c: met + c["met"])
+                                       == SECTIONS * F.size(keys))).alias("right")))))
+
+    def found(alone: Column, n: int) -> Column:
+        return F.transform(F.array_distinct(F.filter(alone, lambda c: c["n"] == n)["key"]), lambda k: F.struct(
+            k.alias("key"), F.lit(n).alias("n"), _place(k, level).alias("place")))
+
+    def taken(cells: Column, keys: Column) -> Column:
+        others = _bound(keys["key"], lambda gone: F.filter(
+            cells, lambda c: (F.abs(c["n"]) != 1) | ~F.array_contains(gone, c["key"])))
+        return F.transform(others, lambda c: F.aggregate(
+            keys, cell(c["n"], c["key"], c, F.lit(0)), lambda c, k: F.when(belongs(k["place"], c), cell(
+                c["n"] - k["n"], c["key"].bitwiseXOR(k["key"]), c, c["met"] + 1)).otherwise(c)))
+
+    def numbered(c: Column, i: Column) -> Column:
+        return F.when((c["n"] != 0) | (c["key"] != 0), F.struct(
+            c["n"].alias("n"), c["key"].alias("key"), F.floor(i / CELLS[level]).cast("int").alias("section"),
+            (i % CELLS[level]).alias("at"), F.lit(0).alias("met")))
+
+    start = F.struct(
+        F.array_compact(F.transform(difference, numbered)).alias("cells"),
+        F.array().cast("array<struct<key:bigint,n:int,place:bigint>>").alias("found"), F.lit(True).alias("right"))
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(ROUNDS * (level + 1))), start, turn,
-        lambda s: F.when(~F.exists(s["cells"], lambda c: (c["n"] != 0) | (c["key"] != 0)), s["found"]))
+        lambda s: F.when(s["right"] & (F.size(s["cells"]) == 0), s["found"]))
 
 
 def _differing(left: Column, right: Column, level: int = 0) -> Column:
@@ -209,9 +269,9 @@ def likeness(left: Column, right: Column) -> Column:
 
 def _cell_bytes(cells: Column) -> Column:
     """The cells as text: nine bytes each, a count and a key, in base 64."""
-    lines = F.base64(F.unhex(F.array_join(F.transform(cells, lambda c: F.concat(
-        F.lpad(F.hex(c["n"].cast("long")), 2, "0"), F.lpad(F.hex(c["key"]), 16, "0"))), "")))
-    return F.translate(lines, "\r\n", "")
+    lines = F.base64(F.unhex(F.array_join(F.transform(cells, lambda c: F.when(c["n"] == 0, "0" * 18).otherwise(F.concat(
+        F.lpad(F.hex(c["n"].cast("long")), 2, "0"), F.lpad(F.hex(c["key"]), 16, "0")))), "")))
+    return F.replace(lines, F.lit("\r\n"), F.lit(""))
 
 
 def _part_text(keys: Column, level: int = 0) -> Column:
@@ -221,7 +281,8 @@ def _part_text(keys: Column, level: int = 0) -> Column:
     """
     if level == len(CELLS) - 1:
         return _cell_bytes(sketch(keys, level))
-    fits = (F.size(keys) <= 2 * CELLS[level]) & (F.size(F.array_distinct(_placed(keys, level)["at"])) == F.size(keys))
+    places = F.transform(keys, lambda k: _place(k, level))
+    fits = (F.size(keys) <= 2 * CELLS[level]) & (F.size(F.array_distinct(places)) == F.size(keys))
     return F.when(fits, _cell_bytes(sketch(keys, level))).otherwise(_part_text(keys, level + 1))
 
 

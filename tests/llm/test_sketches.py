@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import itertools
 import re
 import struct
 
@@ -174,3 +175,24 @@ def test_too_small_a_sketch_is_stuck_and_a_larger_one_is_not(spark):
     assert one == 120
     near_ = sketches.likeness(F.col("l"), F.col("r"))
     assert frame.select(near_.alias("x")).first()["x"] == pytest.approx(1 - 120 / 160)
+
+
+def test_a_sum_of_digests_is_not_taken_for_one(spark):
+    """Three digests share a cell, and their sum has a right check sum: that cell gives up no fourth one."""
+    def section_0(key):
+        seed = xxhash.xxh64_intdigest(struct.pack("<Q", key), 42)
+        return xxhash.xxh64_intdigest(struct.pack("<i", 0), seed) % sketches.CELLS[0]
+
+    signed = lambda k: k - (1 << 64) if k >> 63 else k
+    some = [k for k in (k % (1 << 64) for k in keys(*range(4000))) if section_0(k) == 0][:200]
+    sums = (((a, b), c) for a, b, c in itertools.combinations(some, 3) if checked(a ^ b ^ c) == a ^ b ^ c)
+    found = list(itertools.islice(sums, 5))
+    rows = [([signed(k) for k in left], [signed(right)]) for left, right in found]
+    frame = spark.createDataFrame(rows, "l array<long>, r array<long>")
+    assert [r["n"] for r in frame.select(sketches._differing(F.col("l"), F.col("r")).alias("n")).collect()] == [3] * 5
+
+
+def test_a_space_is_a_cut_by_the_sign_before_it():
+    plain = " (?<=[bcdfgBCDFG05" + sketches._spread_class(0x370, 0x2000, 64, 16) + "] )"
+    text = "".join(chr(c) + " " for c in range(1, 0xD800))
+    assert re.split(sketches.AT_SPACES, text) == re.split(plain, text)
